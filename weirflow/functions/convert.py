@@ -1,149 +1,140 @@
-"""Forgiving text conversions as column expressions.
+r"""Forgiving text conversions.
 
-All of them take a text column, never raise under ANSI mode, do not depend on
-the session time zone and stay inside whole-stage code generation.
+Each function takes the SQL text of a string expression and returns the SQL
+text of the converted value, for use in ``F.expr`` or ``spark.sql``. None of
+them raises under ANSI mode or depends on the session time zone, and all stay
+inside whole-stage code generation.
+
+Patterns end in ``\z``, because ``$`` would also match before a final line
+separator.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
-from weirflow.schema import MONEY
-
 # Below this an all-digit date is epoch days, else epoch millis.
 EPOCH_DAYS_LIMIT = 100_000
 MILLIS_PER_DAY = 86_400_000
 # The last millisecond whose microseconds still fit in 64 bits.
 MAX_EPOCH_MILLIS = 9_223_372_036_854_775
 
-# Accepted syntax. \z, because $ would also match before a final
-# line separator.
-DIGITS = r"^[0-9]+\z"
-DATETIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}\z"
-DECIMAL = r"^[+-]?[0-9]*\.?[0-9]+([eE][+-]?[0-9]+)?\z"
-PLAIN_DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
-EXPONENT = r"[eE]([+-]?[0-9]+)\z"
+# Accepted syntax.
+DIGITS = r"r'^[0-9]+\z'"
+DATETIME = r"r'^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}\z'"
+DECIMAL = r"r'^[+-]?[0-9]*\.?[0-9]+([eE][+-]?[0-9]+)?\z'"
+PLAIN_DECIMAL = r"r'^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z'"
+EXPONENT = r"r'[eE]([+-]?[0-9]+)\z'"
 JDBC_TIMESTAMP = (
-    r"^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2}) +"
-    r"([0-9]{1,5}):([0-9]{1,5}):([0-9]{1,5})(\.[0-9]{1,9})?\z"
+    r"r'^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} "
+    r"[0-9]{1,5}:[0-9]{1,5}:[0-9]{1,5}(\.[0-9]{1,9})?\z'"
 )
 
 # Every character up to U+0020: what counts as blank at the ends of a value.
-BLANKS = "".join(map(chr, range(0x21)))
+BLANKS = "".join(f"\\u{code:04x}" for code in range(0x21))
+
+ZERO = "CAST(0 AS DECIMAL(10,2))"
 
 
-def java_trim(text: Column) -> Column:
+def java_trim(text: str) -> str:
     """Drop every character up to U+0020 at both ends (blanks, tabs, controls)."""
-    return F.trim(text, F.lit(BLANKS))
+    return f"trim(BOTH '{BLANKS}' FROM {text})"
 
 
-def _epoch(number: Column) -> Column:
+def _epoch(number: str) -> str:
     """Epoch days when small, else epoch milliseconds; NULL beyond the range."""
-    in_days = number < EPOCH_DAYS_LIMIT
-    rest = F.when(in_days, F.lit(0)).otherwise(number % F.lit(MILLIS_PER_DAY))
-    days = F.when(in_days, number).otherwise(
-        F.round((number - rest) / F.lit(MILLIS_PER_DAY)).cast("bigint")
-    )
-    seconds = (rest.cast("decimal(18,6)") / 1000).cast("decimal(18,6)")
-    origin = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
-    return F.when(
-        number <= MAX_EPOCH_MILLIS,
-        origin + F.make_dt_interval(days.cast("int"), F.lit(0), F.lit(0), seconds),
+    days = f"IF({number} < {EPOCH_DAYS_LIMIT}, {number}, {number} div {MILLIS_PER_DAY})"
+    rest = f"IF({number} < {EPOCH_DAYS_LIMIT}, 0, {number} % {MILLIS_PER_DAY})"
+    return (
+        f"IF({number} <= {MAX_EPOCH_MILLIS}, TIMESTAMP_NTZ '1970-01-01 00:00:00' + "
+        f"make_dt_interval(CAST({days} AS INT), 0, 0, CAST({rest} / 1000BD AS DECIMAL(18,6))), NULL)"
     )
 
 
-def _lenient_wall_clock(text: Column) -> Column:
+def _lenient_wall_clock(text: str) -> str:
     """For text in the DATETIME form that is no real time: a day up to 31 is
     clamped to the month's last day, and exactly 24:00:00 is the next midnight."""
     year, month, day, hour, minute, second = (
-        F.substring(text, start, width).try_cast("int")
+        f"try_cast(substr({text}, {start}, {width}) AS INT)"
         for start, width in ((1, 4), (6, 2), (9, 2), (12, 2), (15, 2), (18, 2))
     )
-    valid = (
-        month.between(1, 12)
-        & day.between(1, 31)
-        & (minute <= 59)
-        & (second <= 59)
-        & ((hour <= 23) | (F.substring(text, 12, 8) == "24:00:00"))
-    )
-    month_end = F.day(F.last_day(F.make_date(year, month, F.lit(1))))
-    date = F.make_date(year, month, F.least(day, month_end))
-    return F.when(
-        valid,
-        date.cast("timestamp_ntz")
-        + F.make_dt_interval(F.lit(0), hour, minute, second.cast("decimal(18,6)")),
+    first = f"make_date({year}, {month}, 1)"
+    return (
+        f"IF({month} BETWEEN 1 AND 12 AND {day} BETWEEN 1 AND 31 AND {minute} <= 59 "
+        f"AND {second} <= 59 AND ({hour} <= 23 OR substr({text}, 12, 8) = '24:00:00'), "
+        f"CAST({first} AS TIMESTAMP_NTZ) + make_dt_interval("
+        f"least({day}, day(last_day({first}))) - 1, {hour}, {minute}, "
+        f"CAST({second} AS DECIMAL(18,6))), NULL)"
     )
 
 
-def _wall_clock(text: Column) -> Column:
-    """For text in the DATETIME form. Nearly every value is a real time and
-    takes the plain cast; only the rest pays for the lenient reading."""
-    return F.when(
-        text >= "0001", F.coalesce(text.try_cast("timestamp_ntz"), _lenient_wall_clock(text))
-    )
-
-
-def parse_datetime(text: Column) -> Column:
+def parse_datetime(text: str) -> str:
     """Text to a zone-less timestamp.
 
     All digits: epoch days below 100,000, else epoch milliseconds (UTC).
     Otherwise ``yyyy-MM-dd HH:mm:ss``, with ``T`` allowed in place of the blank.
     Anything else is NULL: fractions, zones, bare dates and signs included.
+
+    Nearly every value is a real time and takes the plain cast; only the rest
+    pays for the lenient reading.
     """
     trimmed = java_trim(text)
-    spaced = F.replace(trimmed, F.lit("T"), F.lit(" "))
-    return F.when(
-        trimmed.rlike(DIGITS), _epoch(trimmed.try_cast("bigint"))
-    ).when(spaced.rlike(DATETIME), _wall_clock(spaced))
+    spaced = f"replace({trimmed}, 'T', ' ')"
+    number = f"try_cast({trimmed} AS BIGINT)"
+    return (
+        f"CASE WHEN {spaced} RLIKE {DATETIME} THEN IF({spaced} >= '0001', "
+        f"coalesce(try_cast({spaced} AS TIMESTAMP_NTZ), {_lenient_wall_clock(spaced)}), NULL) "
+        f"WHEN {trimmed} RLIKE {DIGITS} THEN {_epoch(number)} END"
+    )
 
 
-def _exponent_in_range(text: Column) -> Column:
+def _exponent_in_range(text: str) -> str:
     """Whether the exponent, if any, fits in 32 bits."""
-    exponent = F.regexp_extract(text, EXPONENT, 1).try_cast("bigint")
-    fits = F.coalesce(exponent.between(-(2**31) + 1, 2**31 - 1), F.lit(False))
-    return ~F.lower(text).contains("e") | fits
+    exponent = f"try_cast(regexp_extract({text}, {EXPONENT}, 1) AS BIGINT)"
+    return (
+        f"(NOT contains(lower({text}), 'e') OR "
+        f"coalesce(abs({exponent}) <= 2147483647, false))"
+    )
 
 
-def parse_decimal(text: Column) -> Column:
+def parse_decimal(text: str) -> str:
     """Text to DECIMAL(10,2), rounding half up.
 
     Blank or NULL stays NULL; text that is not a number is 0. A number too
     large for the column is NULL; see :func:`decimal_overflow`.
     """
     trimmed = java_trim(text)
-    number = F.when(_exponent_in_range(trimmed), trimmed.try_cast(MONEY)).otherwise(
-        F.lit(0).cast(MONEY)
-    )
-    return F.when(trimmed == "", F.lit(None).cast(MONEY)).otherwise(
-        F.when(trimmed.rlike(DECIMAL), number).otherwise(F.lit(0).cast(MONEY))
+    return (
+        f"CASE WHEN {trimmed} RLIKE {DECIMAL} THEN "
+        f"IF({_exponent_in_range(trimmed)}, try_cast({trimmed} AS DECIMAL(10,2)), {ZERO}) "
+        f"WHEN {trimmed} <> '' THEN {ZERO} END"
     )
 
 
-def decimal_overflow(text: Column, parsed: Column) -> Column:
+def decimal_overflow(text: str, parsed: str) -> str:
     """True where :func:`parse_decimal` met a number it could not store."""
-    return F.coalesce(parsed.isNull() & text.rlike(r"[^\x00-\x20]"), F.lit(False))
+    return f"({parsed} IS NULL AND coalesce({java_trim(text)} <> '', false))"
 
 
-def jdbc_timestamp(text: Column) -> Column:
+def jdbc_timestamp(text: str) -> str:
     """JDBC escape text ``yyyy-m-d h:m:s[.f]`` to a zone-less timestamp. Day and
     time parts beyond their range roll over into the next unit."""
     trimmed = java_trim(text)
     year, month, day, hour, minute, second = (
-        F.regexp_extract(trimmed, JDBC_TIMESTAMP, g).try_cast("int") for g in range(1, 7)
+        f"try_cast(split({trimmed}, '[-: .]')[{part}] AS INT)" for part in range(6)
     )
-    fraction = F.concat(F.lit("0"), F.regexp_extract(trimmed, JDBC_TIMESTAMP, 7))
-    seconds = second + F.substring(fraction, 1, 8).try_cast("decimal(18,6)")
-    valid = trimmed.rlike(JDBC_TIMESTAMP) & month.between(1, 12) & day.between(1, 31)
-    return F.when(
-        valid,
-        F.make_date(F.greatest(year, F.lit(1)), month, F.lit(1)).cast("timestamp_ntz")
-        + F.make_dt_interval(day - 1, hour, minute, seconds.cast("decimal(18,6)")),
+    fraction = f"try_cast(concat('0.', rpad(get(split({trimmed}, '[.]'), 1), 6, '0')) AS DECIMAL(18,6))"
+    return (
+        f"IF({trimmed} RLIKE {JDBC_TIMESTAMP} AND {month} BETWEEN 1 AND 12 "
+        f"AND {day} BETWEEN 1 AND 31 AND {year} >= 1, "
+        f"CAST(make_date({year}, {month}, 1) AS TIMESTAMP_NTZ) + "
+        f"make_dt_interval({day} - 1, {hour}, {minute}, "
+        f"CAST({second} + coalesce({fraction}, 0) AS DECIMAL(18,6))), NULL)"
     )
 
 
-def plain_decimal(text: Column) -> Column:
+def plain_decimal(text: str) -> str:
     """Plain decimal text to DECIMAL(10,2); NULL for anything else. No trimming:
     surrounding blanks make the text invalid."""
-    return F.when(
-        text.rlike(PLAIN_DECIMAL) & _exponent_in_range(text), text.try_cast(MONEY)
+    return (
+        f"IF({text} RLIKE {PLAIN_DECIMAL} AND {_exponent_in_range(text)}, "
+        f"try_cast({text} AS DECIMAL(10,2)), NULL)"
     )

@@ -7,7 +7,9 @@ and ``timestamp``. Further columns are kept.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, functions as F
 
 from weirflow.schema import (
     CORRUPT_FIELD,
@@ -37,49 +39,45 @@ def parse_envelope(feed: DataFrame) -> DataFrame:
     return feed.select("*", F.explode(F.array(parsed)).alias("event"))
 
 
-def is_delete() -> Column:
-    return F.coalesce(F.col("event.op").isin(*DELETE_OPS), F.lit(False))
-
-
-def row_image() -> Column:
-    """The image an event carries: ``before`` of a delete, else ``after``."""
-    return F.when(is_delete(), F.col("event.before")).otherwise(F.col("event.after"))
-
-
-def table_name() -> Column:
-    return F.lower(F.col("event.source.table"))
-
+def _quoted(values: Iterable[str]) -> str:
+    return ", ".join(f"'{v}'" for v in values)
 
-def is_mapped_table() -> Column:
-    return F.coalesce(table_name().isin(*SOURCE_NAMES), F.lit(False))
 
-
-def open_image() -> Column:
-    """The whole row image as a map, for tables without a mapping. This parses
-    the text again, so guard it with a condition."""
-    image = F.from_json("value", OPEN_IMAGE_SCHEMA, STRICT_JSON)
-    return F.when(is_delete(), image["before"]).otherwise(image["after"])
+# SQL text over a parsed event.
+IS_DELETE = f"coalesce(event.op IN ({_quoted(DELETE_OPS)}), false)"
+TABLE_NAME = "lower(event.source.table)"
+IS_MAPPED = f"coalesce({TABLE_NAME} IN ({_quoted(SOURCE_NAMES)}), false)"
+# The image an event carries: before of a delete, else after.
+IMAGE = f"IF({IS_DELETE}, event.before, event.after)"
+# The whole image as a map, for tables without a mapping. This parses the text
+# again, so it is only evaluated for their events.
+OPEN_EVENT = (
+    f"from_json(value, '{OPEN_IMAGE_SCHEMA}', map({_quoted(sum(STRICT_JSON.items(), ()))}))"
+)
+OPEN_IMAGE = (
+    f"CASE WHEN {TABLE_NAME} IS NULL OR {IS_MAPPED} THEN NULL "
+    f"WHEN {IS_DELETE} THEN {OPEN_EVENT}.before ELSE {OPEN_EVENT}.after END"
+)
+TAG = f"lower({IMAGE}.`{TAG_FIELD}`)"
+SOURCE_TABLE = (
+    f"CASE WHEN {IS_MAPPED} THEN {TABLE_NAME} "
+    f"WHEN {TABLE_NAME} IS NOT NULL AND {TAG} IN ({_quoted(SOURCE_NAMES)}) THEN {TAG} END"
+)
+REASON = (
+    f"CASE WHEN event.{CORRUPT_FIELD} IS NOT NULL THEN 'parse_error' "
+    f"WHEN {IS_DELETE} THEN 'delete' "
+    f"WHEN {IMAGE} IS NULL THEN 'no_image' "
+    f"WHEN {TABLE_NAME} IS NULL THEN 'no_table' "
+    f"WHEN size({OPEN_IMAGE}) = 0 THEN 'empty_image' END"
+)
 
 
 def classify(events: DataFrame) -> DataFrame:
     """Add ``source_table``, the source whose sink takes the event (NULL: none),
     and ``reason``, why the event yields no mapped row (NULL: it does)."""
-    unmapped = table_name().isNotNull() & ~is_mapped_table()
-    tag = F.lower(row_image()[TAG_FIELD])
-    source = (
-        F.when(is_mapped_table(), table_name())
-        .when(unmapped & tag.isin(*SOURCE_NAMES), tag)
-    )
-    reason = (
-        F.when(F.col(f"event.{CORRUPT_FIELD}").isNotNull(), "parse_error")
-        .when(is_delete(), "delete")
-        .when(row_image().isNull(), "no_image")
-        .when(table_name().isNull(), "no_table")
-        .when(
-            unmapped & source.isNull() & (F.size(open_image()) == 0), "empty_image"
-        )
+    return events.withColumns(
+        {"source_table": F.expr(SOURCE_TABLE), "reason": F.expr(REASON)}
     )
-    return events.withColumns({"source_table": source, "reason": reason})
 
 
 def image_select(feed: DataFrame) -> DataFrame:
@@ -88,8 +86,8 @@ def image_select(feed: DataFrame) -> DataFrame:
     return events.select(
         *[c for c in feed.columns if c != "value"],
         F.col("event.op").alias("op"),
-        table_name().alias("table_name"),
-        row_image().alias("image"),
+        F.expr(TABLE_NAME).alias("table_name"),
+        F.expr(IMAGE).alias("image"),
     )
 
 
@@ -97,8 +95,8 @@ def passthrough(feed: DataFrame) -> DataFrame:
     """Events of tables without a mapping, with every field of the row image in
     the map ``image``."""
     events = classify(parse_envelope(feed))
-    return events.filter(F.col("reason").isNull() & ~is_mapped_table()).select(
+    return events.filter(f"reason IS NULL AND NOT {IS_MAPPED}").select(
         *[c for c in feed.columns if c != "value"],
-        table_name().alias("table_name"),
-        open_image().alias("image"),
+        F.expr(TABLE_NAME).alias("table_name"),
+        F.expr(OPEN_IMAGE).alias("image"),
     )

@@ -6,8 +6,6 @@ expression that looks at the row's source.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from weirflow.functions.convert import (
@@ -17,18 +15,13 @@ from weirflow.functions.convert import (
     parse_decimal,
     plain_decimal,
 )
-from weirflow.operators.envelope import (
-    classify,
-    is_mapped_table,
-    parse_envelope,
-    row_image,
-)
+from weirflow.operators.envelope import IMAGE, IS_MAPPED, classify, parse_envelope
 from weirflow.schema import (
+    CORRUPT_FIELD,
     DECIMAL_COLUMNS,
     SOURCES,
     TARGET_COLUMNS,
     TIMESTAMP_COLUMNS,
-    SourceTable,
     target_type,
 )
 
@@ -54,54 +47,51 @@ def bind_columns(df: DataFrame, *keep: str) -> DataFrame:
 
 
 def _shared_conversions() -> dict[str, tuple[str, list[str]]]:
-    """Source field -> (kind, sources using it). A field that two sources share
-    is converted once."""
+    """Source field -> (target column of its kind, sources using it). A field
+    that two sources share is converted once."""
     fields: dict[str, tuple[str, list[str]]] = {}
     for source in SOURCES.values():
         for column, field in source.columns.items():
             if column in CONVERTED:
-                kind = "timestamp" if column in TIMESTAMP_COLUMNS else "decimal"
-                fields.setdefault(field, (kind, []))[1].append(source.name)
+                fields.setdefault(field, (column, []))[1].append(source.name)
     return fields
 
 
-def _bound(column: str) -> Column:
-    """A target column from an image that carries it under its own name."""
-    text = F.col("image")[column]
-    if column in TIMESTAMP_COLUMNS:
-        return jdbc_timestamp(text)
-    if column in DECIMAL_COLUMNS:
-        return plain_decimal(text)
-    return text
+def _parsed(column: str, text: str) -> str:
+    return parse_datetime(text) if column in TIMESTAMP_COLUMNS else parse_decimal(text)
 
 
-def _mapped(source: SourceTable, column: str) -> Column:
-    field = source.columns[column]
-    return F.col(f"from_{field}") if column in CONVERTED else F.col("image")[field]
+def _bound(column: str, text: str) -> str:
+    return jdbc_timestamp(text) if column in TIMESTAMP_COLUMNS else plain_decimal(text)
 
 
-def _target_value(column: str) -> Column:
-    bound = F.col(f"bound_{column}") if column in CONVERTED else _bound(column)
-    value = F.when(F.col("by_name"), bound)
-    for source in SOURCES.values():
-        if column in source.columns:
-            value = value.when(F.col("by_source") == source.name, _mapped(source, column))
-    return value
+def _target_value(column: str) -> str:
+    """A target column of any source, from the image or a converted field."""
+    converted = column in CONVERTED
+    whens = [
+        f"WHEN by_source = '{source.name}' THEN "
+        + (f"from_{field}" if converted else f"image.{field}")
+        for source in SOURCES.values()
+        for own, field in source.columns.items()
+        if own == column
+    ]
+    by_name = f"bound_{column}" if converted else f"image.{column}"
+    return f"CASE {' '.join(whens)} WHEN by_name THEN {by_name} END"
 
 
-def _bad_value() -> Column:
+def _bad_value() -> str:
+    """Whether a value cannot be stored: a decimal out of range, or, where
+    columns are bound by name, a text that is not of the column's type."""
     overflow = [
-        (F.col("by_source") == source.name)
-        & decimal_overflow(F.col("image")[field], F.col(f"from_{field}"))
+        f"by_source = '{source.name}' AND " + decimal_overflow(f"image.{field}", f"from_{field}")
         for source in SOURCES.values()
         for column, field in source.columns.items()
         if column in DECIMAL_COLUMNS
     ]
     unread = [
-        F.col("by_name") & F.col("image")[c].isNotNull() & F.col(f"bound_{c}").isNull()
-        for c in CONVERTED
+        f"by_name AND image.{c} IS NOT NULL AND bound_{c} IS NULL" for c in CONVERTED
     ]
-    return F.coalesce(reduce(lambda a, b: a | b, [*overflow, *unread]), F.lit(False))
+    return f"coalesce({' OR '.join(f'({test})' for test in (*overflow, *unread))}, false)"
 
 
 def map_events(events: DataFrame, bind: str = "tagged") -> DataFrame:
@@ -112,38 +102,39 @@ def map_events(events: DataFrame, bind: str = "tagged") -> DataFrame:
     ``bind`` says which rows of unmapped tables are read by target column name:
     ``tagged``, those that name a known source, or ``all``.
     """
-    usable = F.col("reason").isNull()
-    by_name = usable & ~is_mapped_table()
-    if bind == "tagged":
-        by_name = by_name & F.col("source_table").isNotNull()
-    elif bind != "all":
+    if bind not in ("tagged", "all"):
         raise ValueError(f"bind must be 'tagged' or 'all', not {bind!r}")
-    convert = {"timestamp": parse_datetime, "decimal": parse_decimal}
-    staged = events.withColumns({
-        "by_source": F.when(usable & is_mapped_table(), F.col("source_table")),
-        "by_name": by_name,
-        "image": row_image(),
-    })
-    helpers = {
-        f"from_{field}": F.when(
-            F.col("by_source").isin(*users), convert[kind](F.col("image")[field])
-        )
-        for field, (kind, users) in _shared_conversions().items()
-    } | {f"bound_{c}": F.when(F.col("by_name"), _bound(c)) for c in CONVERTED}
-    return (
-        staged.withColumns(helpers)
-        .withColumns({
-            **{c: _target_value(c) for c in TARGET_COLUMNS},
-            "bad_value": _bad_value(),
-        })
-        .drop("by_source", "by_name", "image", *helpers)
+    by_name = f"reason IS NULL AND NOT {IS_MAPPED}"
+    if bind == "tagged":
+        by_name += " AND source_table IS NOT NULL"
+    kept = [F.col(c) for c in events.columns if c != "event"]
+    staged = events.select(
+        *kept,
+        F.expr(f"IF(reason IS NULL AND {IS_MAPPED}, source_table, NULL)").alias("by_source"),
+        F.expr(by_name).alias("by_name"),
+        F.expr(IMAGE).alias("image"),
+    )
+    helpers = [
+        F.expr(
+            f"IF(by_source IN ({', '.join(repr(u) for u in users)}), "
+            f"{_parsed(column, f'image.{field}')}, NULL)"
+        ).alias(f"from_{field}")
+        for field, (column, users) in _shared_conversions().items()
+    ] + [
+        F.expr(f"IF(by_name, {_bound(c, f'image.{c}')}, NULL)").alias(f"bound_{c}")
+        for c in CONVERTED
+    ]
+    return staged.select("*", *helpers).select(
+        *kept,
+        *[F.expr(_target_value(c)).alias(c) for c in TARGET_COLUMNS],
+        F.expr(_bad_value()).alias("bad_value"),
     )
 
 
 def map_source(feed: DataFrame, name: str) -> DataFrame:
     """Mapped rows of one source: its own target columns, nothing else."""
     events = classify(parse_envelope(feed)).filter(
-        F.col("reason").isNull() & (F.col("source_table") == name)
+        f"reason IS NULL AND source_table = '{name}'"
     )
     kept = [c for c in feed.columns if c != "value"]
     return map_events(events).select(*kept, "source_table", *SOURCES[name].owned)
@@ -153,44 +144,42 @@ def matching_key(feed: DataFrame) -> DataFrame:
     """``matching_key``: which target rows an event updates, as a map with the
     NULL parts left out; empty for tables without a mapping."""
     events = classify(parse_envelope(feed)).filter(
-        F.col(f"event._corrupt").isNull()
-        & row_image().isNotNull()
-        & F.col("event.source.table").isNotNull()
+        f"event.{CORRUPT_FIELD} IS NULL AND {IMAGE} IS NOT NULL "
+        "AND event.source.table IS NOT NULL"
     )
-    parts = F.create_map().cast("map<string,string>")
-    key = F.when(F.lit(False), parts)
+    whens = []
     for source in SOURCES.values():
-        pairs = [
-            part
-            for column in source.match_on
-            for part in (F.lit(column), row_image()[source.columns[column]])
-        ]
-        key = key.when(
-            is_mapped_table() & (F.col("source_table") == source.name),
-            F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull()),
+        parts = ", ".join(
+            f"'{c}', {IMAGE}.{source.columns[c]}" for c in source.match_on
         )
+        whens.append(
+            f"WHEN {IS_MAPPED} AND source_table = '{source.name}' "
+            f"THEN map_filter(map({parts}), (k, v) -> v IS NOT NULL)"
+        )
+    key = f"CASE {' '.join(whens)} ELSE CAST(map() AS MAP<STRING, STRING>) END"
     kept = [c for c in feed.columns if c != "value"]
-    return events.select(*kept, "source_table", key.otherwise(parts).alias("matching_key"))
+    return events.select(*kept, "source_table", F.expr(key).alias("matching_key"))
 
 
 # --- sinks -----------------------------------------------------------------
 
 
-def _placeholder(column: str, literals: bool) -> Column:
-    value = F.when(F.lit(False), typed_null(column))
+def _sink_value(column: str, literals: bool) -> str:
+    """A target column as its source's sink writes it."""
+    whens = []
     for source in SOURCES.values():
+        here = f"WHEN source_table = '{source.name}' THEN"
         filled = source.placeholders.get(column)
-        here = F.col("source_table") == source.name
         if filled is not None:
-            copied = F.col(filled[1:]) if filled.startswith("@") else F.lit(filled)
+            copied = filled[1:] if filled.startswith("@") else f"'{filled}'"
             if literals:
-                value = value.when(here, copied)
+                whens.append(f"{here} {copied}")
             elif column == "activity_id":
-                value = value.when(here, F.coalesce(F.col(column), copied))
+                whens.append(f"{here} coalesce({column}, {copied})")
         elif column not in source.columns:
             # a row bound by name may carry columns its sink does not write
-            value = value.when(here, typed_null(column))
-    return value.otherwise(F.col(column))
+            whens.append(f"{here} NULL")
+    return f"CASE {' '.join(whens)} ELSE {column} END" if whens else column
 
 
 def to_sink(mapped: DataFrame, literals: bool = True) -> DataFrame:
@@ -202,30 +191,24 @@ def to_sink(mapped: DataFrame, literals: bool = True) -> DataFrame:
     ``reason`` is extended with the sink's own: ``unknown_table``, ``bad_value``
     and ``null_key``.
     """
-    rows = mapped.withColumns({c: _placeholder(c, literals) for c in TARGET_COLUMNS})
-    return rows.withColumn(
-        "reason",
-        F.coalesce(
-            F.col("reason"),
-            F.when(F.col("source_table").isNull(), "unknown_table")
-            .when(F.col("bad_value"), "bad_value")
-            .when(F.col("activity_id").isNull(), "null_key"),
-        ),
+    values = {c: _sink_value(c, literals) for c in TARGET_COLUMNS}
+    reason = (
+        "coalesce(reason, CASE WHEN source_table IS NULL THEN 'unknown_table' "
+        f"WHEN bad_value THEN 'bad_value' WHEN {values['activity_id']} IS NULL THEN 'null_key' END)"
+    )
+    return mapped.withColumns(
+        {c: F.expr(v) for c, v in {**values, "reason": reason}.items() if v != c}
     )
 
 
 def to_full_row(mapped: DataFrame) -> DataFrame:
     """The row each event writes when all 20 columns are bound by name, with no
     placeholder keys and no regard to the source."""
-    return mapped.withColumn(
-        "reason",
-        F.coalesce(
-            F.col("reason"),
-            F.when(F.col("bad_value"), "bad_value").when(
-                F.col("activity_id").isNull(), "null_key"
-            ),
-        ),
+    reason = (
+        "coalesce(reason, CASE WHEN bad_value THEN 'bad_value' "
+        "WHEN activity_id IS NULL THEN 'null_key' END)"
     )
+    return mapped.withColumn("reason", F.expr(reason))
 
 
 def _settled(rows: DataFrame, kept: list[str]) -> DataFrame:

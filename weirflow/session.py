@@ -26,6 +26,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
         .appName("weirflow")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in {**SETTINGS, **conf}.items():
         builder = builder.config(key, value)

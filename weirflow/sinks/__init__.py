@@ -1,0 +1,20 @@
+from weirflow.sinks.jdbc import upsert_statement, write_jdbc
+from weirflow.sinks.parquet import (
+    compact_log,
+    log_writer,
+    read_log,
+    read_target,
+    target_row,
+    write_target,
+)
+
+__all__ = [
+    "compact_log",
+    "log_writer",
+    "read_log",
+    "read_target",
+    "target_row",
+    "upsert_statement",
+    "write_jdbc",
+    "write_target",
+]

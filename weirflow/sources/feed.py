@@ -9,8 +9,9 @@ size, batch or streaming, no shuffle.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from weirflow.schema import TAG_FIELD, TOPIC_PREFIX
 from weirflow.sources.topics import as_topic
@@ -18,212 +19,226 @@ from weirflow.sources.topics import as_topic
 CUSTOMERS_TOPIC = TOPIC_PREFIX + "customers"
 WIDE_TOPIC = TOPIC_PREFIX + "wide_rows"
 
+STANDARD = "yyyy-MM-dd HH:mm:ss"
 
-def _first_op(key: Column) -> Column:
-    """Operation of the first event of a key; most are creates."""
-    step = key % 10
-    return (
-        F.when(step == 0, "d")
-        .when(step == 1, "u")
-        .when(step == 2, "r")
-        .when(step != 3, "c")
-    )
 
+def _stamp(moment: str, pattern: str = STANDARD) -> str:
+    return f'date_format({moment}, "{pattern}")'
 
-def _event(op: Column, table: Column | str, order: Column, image: Column) -> Column:
-    """Event text. A delete carries its image as ``before``."""
-    table = F.lit(table) if isinstance(table, str) else table
-    deleted = F.coalesce(op == "d", F.lit(False))
-    return F.to_json(F.struct(
-        op.alias("op"),
-        F.struct(table.alias("table"), order.alias("ts_ms")).alias("source"),
-        F.when(deleted, image).alias("before"),
-        F.when(~deleted, image).alias("after"),
-    ))
 
-
-def _named(name: str, value: Column) -> Column:
-    return value.alias(name)
+def _millis(moment: str) -> str:
+    """Epoch milliseconds of a zone-less timestamp, whatever the session zone."""
+    return (
+        f"(unix_date(CAST({moment} AS DATE)) * 86400000L + hour({moment}) * 3600000L "
+        f"+ minute({moment}) * 60000L "
+        f"+ CAST(floor(extract(SECOND FROM {moment}) * 1000) AS BIGINT))"
+    )
 
 
-def _text(prefix: str, number: Column) -> Column:
-    return F.concat(F.lit(prefix), number.cast("string"))
+def _case(selector: str, *values: str | None) -> str:
+    """The value at the position that ``selector`` gives; ``None`` is NULL."""
+    whens = " ".join(
+        f"WHEN {selector} = {n} THEN {value}" for n, value in enumerate(values) if value
+    )
+    return f"CASE {whens} END"
 
 
-def _stamp(moment: Column, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:
-    return F.date_format(moment, pattern)
+def _first_op(key: str) -> str:
+    """Operation of the first event of a key; most are creates."""
+    return (
+        f"CASE {key} % 10 WHEN 0 THEN 'd' WHEN 1 THEN 'u' WHEN 2 THEN 'r' "
+        "WHEN 3 THEN NULL ELSE 'c' END"
+    )
 
 
-def _millis(moment: Column) -> Column:
-    """Epoch milliseconds of a zone-less timestamp, whatever the session zone."""
-    days = F.unix_date(moment.cast("date")).cast("bigint")
-    second = F.floor(F.extract(F.lit("SECOND"), moment) * 1000).cast("bigint")
-    return (
-        days * 86_400_000 + F.hour(moment) * 3_600_000 + F.minute(moment) * 60_000 + second
+def _topic(
+    rows: DataFrame,
+    topic: str,
+    table: str,
+    order: str,
+    op: str,
+    fields: dict[str, str],
+    present: str = "true",
+    broken: str = "false",
+) -> DataFrame:
+    """Messages of one topic. A delete carries its image as ``before``."""
+    names = ", ".join(f"'{name}', {value}" for name, value in fields.items())
+    image = f"IF({present}, named_struct({names}), NULL)"
+    event = (
+        f"to_json(named_struct('op', {op}, "
+        f"'source', named_struct('table', {table}, 'ts_ms', {order}), "
+        f"'before', IF({op} <=> 'd', {image}, NULL), "
+        f"'after', IF({op} <=> 'd', NULL, {image})))"
     )
+    value = f"IF({broken}, '{{ invalid json }}', {event})"
+    return as_topic(rows, topic, F.expr(value), F.expr(order))
 
 
 def activity_feed(orders: DataFrame) -> DataFrame:
     """``job_activity`` events: one per order, and an update with another
     company for every fourth."""
-    key, customer = F.col("o_orderkey"), F.col("o_custkey")
-    start = F.col("o_orderdate") + F.make_dt_interval(secs=(key % 86_400).cast("decimal(18,6)"))
-    end = F.col("o_orderdate") + F.make_dt_interval(F.lit(90), F.lit(17))
-    spelling = key % 6
-    start_text = (
-        F.when(spelling == 0, _stamp(start))
-        .when(spelling == 1, _stamp(start, "yyyy-MM-dd'T'HH:mm:ss"))
-        .when(spelling == 2, F.unix_date(F.col("o_orderdate").cast("date")).cast("string"))
-        .when(spelling == 3, _millis(start).cast("string"))
-        .when(spelling == 4, F.concat(_stamp(start), F.lit(".5")))
-    )
-    end_text = (
-        F.when(key % 50 == 0, "2024-02-30 00:00:00")
-        .when(key % 50 == 1, "2023-04-31T24:00:00")
-        .otherwise(F.concat(F.lit("\t"), _stamp(end), F.lit(" ")))
-    )
-    versions = F.when(key % 4 == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    rows = orders.withColumn("version", F.explode(versions))
-    order = key * 2 + F.col("version")
-    image = F.struct(
-        _named("activity_id", key.cast("string")),
-        _named("job_id", _text("JOB_", customer)),
-        _named("jobdiva_no", _text("JD", key % 1000)),
-        _named("candidate_name", F.col("o_orderpriority")),
-        _named("company_name", _text("CLIENT_", (customer + F.col("version")) % 50)),
-        _named("assignment_start_date", start_text),
-        _named("assignment_end_date", end_text),
-        _named("bcworkerid", _text("BC", customer % 200)),
-    )
-    op = F.when(F.col("version") == 1, "u").otherwise(_first_op(key))
-    return as_topic(
-        rows, TOPIC_PREFIX + "job_activity", _event(op, "job_activity", order, image), order
+    versions = "explode(IF(o_orderkey % 4 = 1, array(0, 1), array(0))) AS version"
+    start = "(o_orderdate + make_dt_interval(0, 0, 0, CAST(o_orderkey % 86400 AS DECIMAL(18,6))))"
+    end = "(o_orderdate + INTERVAL '90 17' DAY TO HOUR)"
+    return _topic(
+        orders.selectExpr("*", versions),
+        topic=TOPIC_PREFIX + "job_activity",
+        table="'job_activity'",
+        order="(2 * o_orderkey + version)",
+        op=f"IF(version = 1, 'u', {_first_op('o_orderkey')})",
+        fields={
+            "activity_id": "CAST(o_orderkey AS STRING)",
+            "job_id": "concat('JOB_', o_custkey)",
+            "jobdiva_no": "concat('JD', o_orderkey % 1000)",
+            "candidate_name": "o_orderpriority",
+            "company_name": "concat('CLIENT_', (o_custkey + version) % 50)",
+            "assignment_start_date": _case(
+                "o_orderkey % 6",
+                _stamp(start),
+                _stamp(start, "yyyy-MM-dd'T'HH:mm:ss"),
+                "CAST(unix_date(CAST(o_orderdate AS DATE)) AS STRING)",
+                f"CAST({_millis(start)} AS STRING)",
+                f"concat({_stamp(start)}, '.5')",
+            ),
+            "assignment_end_date": (
+                "CASE o_orderkey % 50 WHEN 0 THEN '2024-02-30 00:00:00' "
+                f"WHEN 1 THEN '2023-04-31T24:00:00' ELSE concat('\\t', {_stamp(end)}, ' ') END"
+            ),
+            "bcworkerid": "concat('BC', o_custkey % 200)",
+        },
     )
 
 
 def jobs_feed(part: DataFrame) -> DataFrame:
     """``jobs`` events, with some table names in capitals and some locations
     missing."""
-    key = F.col("p_partkey")
-    table = F.when(key % 7 == 0, "JOBS").otherwise("jobs")
-    image = F.struct(
-        _named("job_id", _text("JOB_", key)),
-        _named("job_title", F.col("p_type")),
-        _named("location", F.when(key % 11 != 0, F.col("p_brand"))),
+    return _topic(
+        part,
+        topic=TOPIC_PREFIX + "jobs",
+        table="IF(p_partkey % 7 = 0, 'JOBS', 'jobs')",
+        order="p_partkey",
+        op=_first_op("p_partkey"),
+        fields={
+            "job_id": "concat('JOB_', p_partkey)",
+            "job_title": "p_type",
+            "location": "IF(p_partkey % 11 = 0, NULL, p_brand)",
+        },
     )
-    return as_topic(part, TOPIC_PREFIX + "jobs", _event(_first_op(key), table, key, image), key)
 
 
 def exclusions_feed(supplier: DataFrame) -> DataFrame:
     """``clients_to_exclude`` events."""
-    key = F.col("s_suppkey")
-    image = F.struct(
-        _named("client_id", _text("CLIENT_", key)),
-        _named("exclusion_reason", F.col("s_name")),
-    )
-    return as_topic(
+    return _topic(
         supplier,
-        TOPIC_PREFIX + "clients_to_exclude",
-        _event(_first_op(key), "clients_to_exclude", key, image),
-        key,
+        topic=TOPIC_PREFIX + "clients_to_exclude",
+        table="'clients_to_exclude'",
+        order="s_suppkey",
+        op=_first_op("s_suppkey"),
+        fields={
+            "client_id": "concat('CLIENT_', s_suppkey)",
+            "exclusion_reason": "s_name",
+        },
     )
 
 
 def revenue_feed(events: DataFrame) -> DataFrame:
     """``standard_revenue`` events with dirty amounts and some broken messages."""
-    key, moment = F.col("event_id"), F.col("ts")
-    amount = F.col("value").cast("decimal(12,2)").cast("string")
-    dirty = key % 12
-    revenue = (
-        F.when(dirty == 0, "E8WS")
-        .when(dirty == 1, "")
-        .when(dirty == 2, " 75.50 ")
-        .when(dirty == 3, "5.")
-        .when(dirty == 4, ".5")
-        .when(dirty == 6, F.lit(None))
-        .when(dirty == 7, "+12.345")
-        .when(dirty == 8, "1e3")
-        .when(dirty == 9, "123456789.00")
-        .otherwise(amount)
-    )
-    image = F.struct(
-        _named("bcworkerid", _text("BC", F.col("user_id"))),
-        _named("clienterpid", _text("CLIENT", key % 7)),
-        _named("adjusted_st_bill_rate", amount),
-        _named("adjusted_st_pay_rate", F.col("value")),
-        _named("adj_gph_rst", F.concat(F.lit("+"), amount)),
-        _named("adj_revenue", revenue),
-        _named("st_bill_rate", F.concat(F.lit("\t"), amount, F.lit(" "))),
-        _named("standard_revenue_report_month", _stamp(moment, "yyyy-MM")),
-        _named("assignment_start_date", _stamp(moment)),
-        _named("assignment_end_date", _millis(moment)),
+    amount = "CAST(CAST(value AS DECIMAL(12,2)) AS STRING)"
+    return _topic(
+        events,
+        topic=TOPIC_PREFIX + "standard_revenue",
+        table="'standard_revenue'",
+        order="event_id",
+        op=_first_op("event_id"),
+        broken="event_id % 97 = 0",
+        fields={
+            "bcworkerid": "concat('BC', user_id)",
+            "clienterpid": "concat('CLIENT', event_id % 7)",
+            "adjusted_st_bill_rate": amount,
+            "adjusted_st_pay_rate": "value",
+            "adj_gph_rst": f"concat('+', {amount})",
+            "adj_revenue": _case(
+                "event_id % 12",
+                "'E8WS'", "''", "' 75.50 '", "'5.'", "'.5'", amount, None,
+                "'+12.345'", "'1e3'", "'123456789.00'", amount, amount,
+            ),
+            "st_bill_rate": f"concat('\\t', {amount}, ' ')",
+            "standard_revenue_report_month": _stamp("ts", "yyyy-MM"),
+            "assignment_start_date": _stamp("ts"),
+            "assignment_end_date": _millis("ts"),
+        },
     )
-    event = _event(_first_op(key), "standard_revenue", key, image)
-    broken = F.when(key % 97 == 0, "{ invalid json }").otherwise(event)
-    return as_topic(events, TOPIC_PREFIX + "standard_revenue", broken, key)
 
 
 def unmapped_feed(customer: DataFrame) -> DataFrame:
-    """Events of a table without a mapping; every fifth image is empty."""
-    key = F.col("c_custkey")
-    empty = key % 5 == 0
-    image = F.struct(*[F.when(~empty, F.col(c)).alias(c) for c in customer.columns])
-    return as_topic(customer, CUSTOMERS_TOPIC, _event(_first_op(key), "customers", key, image), key)
+    """Events of a table without a mapping. Some images are empty or missing,
+    and some events do not name their table."""
+    return _topic(
+        customer,
+        topic=CUSTOMERS_TOPIC,
+        table="IF(c_custkey % 17 = 3, NULL, 'customers')",
+        order="c_custkey",
+        op=_first_op("c_custkey"),
+        present="c_custkey % 19 <> 3",
+        fields={c: f"IF(c_custkey % 5 = 0, NULL, {c})" for c in customer.columns},
+    )
 
 
 def wide_rows_feed(orders: DataFrame) -> DataFrame:
     """Events whose images carry target columns under their own names, with
     values that only some readers accept."""
-    key = F.col("o_orderkey")
-    spelling, amount = key % 6, key % 5
-    start = (
-        F.when(spelling == 0, _stamp(F.col("o_orderdate")))
-        .when(spelling == 1, _stamp(F.col("o_orderdate"), "yyyy-M-d H:m:s"))
-        .when(spelling == 2, "2023-2-30 23:59:75.25")
-        .when(spelling == 3, _stamp(F.col("o_orderdate"), "yyyy-MM-dd'T'HH:mm:ss"))
-        .when(spelling == 4, _stamp(F.col("o_orderdate"), "yyyy-MM-dd"))
-    )
-    revenue = (
-        F.when(amount == 0, "12.345")
-        .when(amount == 1, "5.")
-        .when(amount == 2, " 5.00")
-        .when(amount == 3, F.col("o_totalprice").cast("decimal(12,2)").cast("string"))
-    )
-    image = F.struct(
-        _named("activity_id", F.when(key % 13 != 0, _text("W", key))),
-        _named("candidate", F.col("o_orderpriority")),
-        _named("assignment_start_date", start),
-        _named("adjrevenue", revenue),
+    return _topic(
+        orders,
+        topic=WIDE_TOPIC,
+        table="'wide_rows'",
+        order="o_orderkey",
+        op=_first_op("o_orderkey"),
+        fields={
+            "activity_id": "IF(o_orderkey % 13 = 0, NULL, concat('W', o_orderkey))",
+            "candidate": "o_orderpriority",
+            "assignment_start_date": _case(
+                "o_orderkey % 6",
+                _stamp("o_orderdate"),
+                _stamp("o_orderdate", "yyyy-M-d H:m:s"),
+                "'2023-2-30 23:59:75.25'",
+                _stamp("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"),
+                _stamp("o_orderdate", "yyyy-MM-dd"),
+            ),
+            "adjrevenue": _case(
+                "o_orderkey % 5",
+                "'12.345'", "'5.'", "' 5.00'",
+                "CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS STRING)",
+            ),
+        },
     )
-    return as_topic(orders, WIDE_TOPIC, _event(_first_op(key), "wide_rows", key, image), key)
 
 
 def keyed_by_customer_feed(orders: DataFrame) -> DataFrame:
     """Events of three sources that meet on one key, ``activity_id``: each
     image names its source and the target columns it writes."""
-    key = F.col("o_orderkey")
-    kind = key % 3
-    image = F.struct(
-        _named(TAG_FIELD, F.when(kind == 0, "job_activity").when(kind == 1, "Jobs")
-               .otherwise("standard_revenue")),
-        _named("activity_id", F.col("o_custkey").cast("string")),
-        _named("candidate", F.when(kind == 0, F.col("o_orderpriority"))),
-        _named("job_title", F.when((kind == 1) & (key % 2 == 0), F.col("o_orderstatus"))),
-        _named("adjrevenue", F.when(kind == 2, F.col("o_totalprice"))),
+    kind = "o_orderkey % 3"
+    return _topic(
+        orders,
+        topic=WIDE_TOPIC,
+        table="'wide_rows'",
+        order="o_orderkey",
+        op="'c'",
+        fields={
+            TAG_FIELD: _case(kind, "'job_activity'", "'Jobs'", "'standard_revenue'"),
+            "activity_id": "CAST(o_custkey AS STRING)",
+            "candidate": _case(kind, "o_orderpriority"),
+            "job_title": _case(kind, None, "IF(o_orderkey % 2 = 0, o_orderstatus, NULL)"),
+            "adjrevenue": _case(kind, None, None, "o_totalprice"),
+        },
     )
-    return as_topic(orders, WIDE_TOPIC, _event(F.lit("c"), "wide_rows", key, image), key)
 
 
 def change_feed(read: Callable[[str], DataFrame]) -> DataFrame:
     """All topics as one feed; ``read`` gives a base table by name."""
-    feeds = [
+    return reduce(DataFrame.unionByName, [
         activity_feed(read("orders")),
         jobs_feed(read("part")),
         exclusions_feed(read("supplier")),
         revenue_feed(read("events")),
         unmapped_feed(read("customer")),
-    ]
-    feed = feeds[0]
-    for other in feeds[1:]:
-        feed = feed.unionByName(other)
-    return feed
+    ])

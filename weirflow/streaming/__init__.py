@@ -1,0 +1,3 @@
+from weirflow.streaming.ingest import apply_batches, ingest
+
+__all__ = ["apply_batches", "ingest"]
