@@ -36,7 +36,10 @@ ZERO = "CAST(0 AS DECIMAL(10,2))"
 
 def java_trim(text: str) -> str:
     """Drop every character up to U+0020 at both ends (blanks, tabs, controls)."""
-    return f"trim(BOTH '{BLANKS}' FROM {text})"
+    return (
+        f"IF(left({text}, 1) <= ' ' OR right({text}, 1) <= ' ', "
+        f"trim(BOTH '{BLANKS}' FROM {text}), {text})"
+    )
 
 
 def _epoch(number: str) -> str:
@@ -66,32 +69,46 @@ def _lenient_wall_clock(text: str) -> str:
     )
 
 
+def clean_datetime(text: str) -> str:
+    """Bring a date text into the form that :func:`parse_clean_datetime` reads."""
+    return f"replace({java_trim(text)}, 'T', ' ')"
+
+
+def parse_clean_datetime(clean: str) -> str:
+    """Nearly every value is a real time and takes the plain cast; only the
+    rest pays for the lenient reading."""
+    return (
+        f"CASE WHEN {clean} RLIKE {DATETIME} THEN IF({clean} >= '0001', "
+        f"coalesce(try_cast({clean} AS TIMESTAMP_NTZ), {_lenient_wall_clock(clean)}), NULL) "
+        f"WHEN {clean} RLIKE {DIGITS} THEN {_epoch(f'try_cast({clean} AS BIGINT)')} END"
+    )
+
+
 def parse_datetime(text: str) -> str:
     """Text to a zone-less timestamp.
 
     All digits: epoch days below 100,000, else epoch milliseconds (UTC).
     Otherwise ``yyyy-MM-dd HH:mm:ss``, with ``T`` allowed in place of the blank.
     Anything else is NULL: fractions, zones, bare dates and signs included.
-
-    Nearly every value is a real time and takes the plain cast; only the rest
-    pays for the lenient reading.
     """
-    trimmed = java_trim(text)
-    spaced = f"replace({trimmed}, 'T', ' ')"
-    number = f"try_cast({trimmed} AS BIGINT)"
-    return (
-        f"CASE WHEN {spaced} RLIKE {DATETIME} THEN IF({spaced} >= '0001', "
-        f"coalesce(try_cast({spaced} AS TIMESTAMP_NTZ), {_lenient_wall_clock(spaced)}), NULL) "
-        f"WHEN {trimmed} RLIKE {DIGITS} THEN {_epoch(number)} END"
-    )
+    return parse_clean_datetime(clean_datetime(text))
 
 
 def _exponent_in_range(text: str) -> str:
     """Whether the exponent, if any, fits in 32 bits."""
     exponent = f"try_cast(regexp_extract({text}, {EXPONENT}, 1) AS BIGINT)"
     return (
-        f"(NOT contains(lower({text}), 'e') OR "
-        f"coalesce(abs({exponent}) <= 2147483647, false))"
+        f"IF(contains({text}, 'e') OR contains({text}, 'E'), "
+        f"coalesce(abs({exponent}) <= 2147483647, false), true)"
+    )
+
+
+def parse_clean_decimal(clean: str) -> str:
+    """:func:`parse_decimal` for text that is already trimmed."""
+    return (
+        f"CASE WHEN {clean} RLIKE {DECIMAL} THEN "
+        f"IF({_exponent_in_range(clean)}, try_cast({clean} AS DECIMAL(10,2)), {ZERO}) "
+        f"WHEN {clean} <> '' THEN {ZERO} END"
     )
 
 
@@ -101,17 +118,16 @@ def parse_decimal(text: str) -> str:
     Blank or NULL stays NULL; text that is not a number is 0. A number too
     large for the column is NULL; see :func:`decimal_overflow`.
     """
-    trimmed = java_trim(text)
-    return (
-        f"CASE WHEN {trimmed} RLIKE {DECIMAL} THEN "
-        f"IF({_exponent_in_range(trimmed)}, try_cast({trimmed} AS DECIMAL(10,2)), {ZERO}) "
-        f"WHEN {trimmed} <> '' THEN {ZERO} END"
-    )
+    return parse_clean_decimal(java_trim(text))
 
 
-def decimal_overflow(text: str, parsed: str) -> str:
-    """True where :func:`parse_decimal` met a number it could not store."""
-    return f"({parsed} IS NULL AND coalesce({java_trim(text)} <> '', false))"
+def decimal_overflow(clean: str) -> str:
+    """True for trimmed text that is a number too large to store. Up to eight
+    characters without an exponent always fit, so most values are not parsed."""
+    return (
+        f"(length({clean}) > 8 OR contains({clean}, 'e') OR contains({clean}, 'E')) "
+        f"AND {parse_clean_decimal(clean)} IS NULL"
+    )
 
 
 def jdbc_timestamp(text: str) -> str:

@@ -24,69 +24,83 @@ from weirflow.schema import (
 STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
-def parse_envelope(feed: DataFrame) -> DataFrame:
-    """Add ``event``, the parsed change event (NULL for empty text).
+def _quoted(values: Iterable[str]) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
 
-    The one-element ``explode`` keeps the JSON parse in a step of its own:
-    without it the optimizer copies the parse into every later filter and the
-    text is parsed twice per row.
+# SQL text over a raw event ``e`` and its lower-case table name ``t``.
+_TABLE = "t"
+_TAG = f"lower(e.after.`{TAG_FIELD}`)"
+_IS_DELETE = f"coalesce(e.op IN ({_quoted(DELETE_OPS)}), false)"
+_IS_MAPPED = f"coalesce({_TABLE} IN ({_quoted(SOURCE_NAMES)}), false)"
+_EVENT_FIELDS = {
+    "op": "e.op",
+    "ts_ms": "try_cast(e.source.ts_ms AS BIGINT)",
+    "raw_table": "e.source.table",
+    # routing ignores case
+    "table_name": _TABLE,
+    "is_delete": _IS_DELETE,
+    # whether the table has a mapping
+    "mapped": _IS_MAPPED,
+    # the source whose sink takes the event: its table, or the tag that an
+    # unmapped row carries
+    "source_table": (
+        f"CASE WHEN {_IS_MAPPED} THEN {_TABLE} "
+        f"WHEN {_TABLE} IS NOT NULL AND {_TAG} IN ({_quoted(SOURCE_NAMES)}) THEN {_TAG} END"
+    ),
+    # why the event cannot be used, in the order in which it is found out
+    "reason": (
+        f"CASE WHEN e.{CORRUPT_FIELD} IS NOT NULL THEN 'parse_error' "
+        f"WHEN {_IS_DELETE} THEN 'delete' "
+        "WHEN e.after IS NULL THEN 'no_image' "
+        "WHEN e.source.table IS NULL THEN 'no_table' "
+        # this reads the text again, but only where the table has no mapping
+        f"WHEN NOT {_IS_MAPPED} AND get_json_object(value, '$.after') = '{{}}' "
+        "THEN 'empty_image' END"
+    ),
+    "readable": f"e.{CORRUPT_FIELD} IS NULL",
+    "after": "e.after",
+}
+
+
+def parse_envelope(feed: DataFrame, before: bool = False) -> DataFrame:
+    """Add ``event``: the parsed change event and how it is routed.
+
+    Fields: ``op``, ``ts_ms``, ``raw_table``, ``table_name``, ``is_delete``,
+    ``mapped``, ``source_table``, ``reason`` (NULL if usable), ``readable``,
+    ``after`` and, on request, ``before``.
+
+    The one-element ``explode`` keeps all this in a step of its own. Without it
+    the optimizer copies the parse, or the routing, into every later filter and
+    column that looks at it, and does the work several times per row.
     """
-    parsed = F.from_json(
-        "value",
-        envelope_schema(),
-        {"columnNameOfCorruptRecord": CORRUPT_FIELD, **STRICT_JSON},
+    schema = envelope_schema(before).simpleString()
+    options = {"columnNameOfCorruptRecord": CORRUPT_FIELD, **STRICT_JSON}
+    fields = _EVENT_FIELDS | ({"before": "e.before"} if before else {})
+    struct = ", ".join(f"'{name}', {value}" for name, value in fields.items())
+    parsed = f"from_json(value, '{schema}', map({_quoted(sum(options.items(), ()))}))"
+    event = (
+        f"transform(array({parsed}), e -> "
+        f"transform(array(lower(e.source.table)), t -> named_struct({struct}))[0])"
     )
-    return feed.select("*", F.explode(F.array(parsed)).alias("event"))
-
-
-def _quoted(values: Iterable[str]) -> str:
-    return ", ".join(f"'{v}'" for v in values)
+    return feed.select("*", F.expr(f"explode({event})").alias("event"))
 
 
-# SQL text over a parsed event.
-IS_DELETE = f"coalesce(event.op IN ({_quoted(DELETE_OPS)}), false)"
-TABLE_NAME = "lower(event.source.table)"
-IS_MAPPED = f"coalesce({TABLE_NAME} IN ({_quoted(SOURCE_NAMES)}), false)"
-# The image an event carries: before of a delete, else after.
-IMAGE = f"IF({IS_DELETE}, event.before, event.after)"
-# The whole image as a map, for tables without a mapping. This parses the text
-# again, so it is only evaluated for their events.
-OPEN_EVENT = (
-    f"from_json(value, '{OPEN_IMAGE_SCHEMA}', map({_quoted(sum(STRICT_JSON.items(), ()))}))"
-)
-OPEN_IMAGE = (
-    f"CASE WHEN {TABLE_NAME} IS NULL OR {IS_MAPPED} THEN NULL "
-    f"WHEN {IS_DELETE} THEN {OPEN_EVENT}.before ELSE {OPEN_EVENT}.after END"
-)
-TAG = f"lower({IMAGE}.`{TAG_FIELD}`)"
-SOURCE_TABLE = (
-    f"CASE WHEN {IS_MAPPED} THEN {TABLE_NAME} "
-    f"WHEN {TABLE_NAME} IS NOT NULL AND {TAG} IN ({_quoted(SOURCE_NAMES)}) THEN {TAG} END"
-)
-REASON = (
-    f"CASE WHEN event.{CORRUPT_FIELD} IS NOT NULL THEN 'parse_error' "
-    f"WHEN {IS_DELETE} THEN 'delete' "
-    f"WHEN {IMAGE} IS NULL THEN 'no_image' "
-    f"WHEN {TABLE_NAME} IS NULL THEN 'no_table' "
-    f"WHEN size({OPEN_IMAGE}) = 0 THEN 'empty_image' END"
-)
+# The image an event carries: ``before`` of a delete, else ``after``.
+IMAGE = "IF(event.is_delete, event.before, event.after)"
 
 
-def classify(events: DataFrame) -> DataFrame:
-    """Add ``source_table``, the source whose sink takes the event (NULL: none),
-    and ``reason``, why the event yields no mapped row (NULL: it does)."""
-    return events.withColumns(
-        {"source_table": F.expr(SOURCE_TABLE), "reason": F.expr(REASON)}
-    )
+def usable(events: DataFrame) -> DataFrame:
+    return events.filter("event.reason IS NULL")
 
 
 def image_select(feed: DataFrame) -> DataFrame:
     """Every readable event with the row image it carries, deletes included."""
-    events = parse_envelope(feed).filter(F.col(f"event.{CORRUPT_FIELD}").isNull())
+    events = parse_envelope(feed, before=True).filter("event.readable")
     return events.select(
         *[c for c in feed.columns if c != "value"],
-        F.col("event.op").alias("op"),
-        F.expr(TABLE_NAME).alias("table_name"),
+        "event.op",
+        "event.table_name",
         F.expr(IMAGE).alias("image"),
     )
 
@@ -94,9 +108,9 @@ def image_select(feed: DataFrame) -> DataFrame:
 def passthrough(feed: DataFrame) -> DataFrame:
     """Events of tables without a mapping, with every field of the row image in
     the map ``image``."""
-    events = classify(parse_envelope(feed))
-    return events.filter(f"reason IS NULL AND NOT {IS_MAPPED}").select(
+    image = F.from_json("value", OPEN_IMAGE_SCHEMA, STRICT_JSON)["after"]
+    return usable(parse_envelope(feed)).filter("NOT event.mapped").select(
         *[c for c in feed.columns if c != "value"],
-        F.expr(TABLE_NAME).alias("table_name"),
-        F.expr(OPEN_IMAGE).alias("image"),
+        "event.table_name",
+        image.alias("image"),
     )

@@ -9,15 +9,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from weirflow.functions.convert import (
+    clean_datetime,
     decimal_overflow,
+    java_trim,
     jdbc_timestamp,
-    parse_datetime,
-    parse_decimal,
+    parse_clean_datetime,
+    parse_clean_decimal,
     plain_decimal,
 )
-from weirflow.operators.envelope import IMAGE, IS_MAPPED, classify, parse_envelope
+from weirflow.operators.envelope import IMAGE, parse_envelope, usable
 from weirflow.schema import (
-    CORRUPT_FIELD,
     DECIMAL_COLUMNS,
     SOURCES,
     TARGET_COLUMNS,
@@ -46,86 +47,95 @@ def bind_columns(df: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def _shared_conversions() -> dict[str, tuple[str, list[str]]]:
-    """Source field -> (target column of its kind, sources using it). A field
-    that two sources share is converted once."""
+def _clean(field: str, column: str) -> str:
+    """The text of a field that is to be converted, ready for reading."""
+    text = f"event.after.{field}"
+    return clean_datetime(text) if column in TIMESTAMP_COLUMNS else java_trim(text)
+
+
+def _clean_fields() -> dict[str, str]:
+    """Source field -> its cleaned text, for every field that is converted."""
     fields: dict[str, tuple[str, list[str]]] = {}
     for source in SOURCES.values():
         for column, field in source.columns.items():
             if column in CONVERTED:
                 fields.setdefault(field, (column, []))[1].append(source.name)
-    return fields
+    return {
+        field: f"IF(by_source IN ({', '.join(repr(u) for u in users)}), "
+        f"{_clean(field, column)}, NULL)"
+        for field, (column, users) in fields.items()
+    }
 
 
-def _parsed(column: str, text: str) -> str:
-    return parse_datetime(text) if column in TIMESTAMP_COLUMNS else parse_decimal(text)
+def _mapped(column: str, field: str) -> str:
+    if column in TIMESTAMP_COLUMNS:
+        return parse_clean_datetime(f"clean_{field}")
+    if column in DECIMAL_COLUMNS:
+        return parse_clean_decimal(f"clean_{field}")
+    return f"event.after.{field}"
 
 
-def _bound(column: str, text: str) -> str:
-    return jdbc_timestamp(text) if column in TIMESTAMP_COLUMNS else plain_decimal(text)
+def _bound(column: str) -> str:
+    """A column bound by name. Such rows are rare: the lambda keeps their
+    conversion out of the generated code of all others, which the JVM would no
+    longer compile if it grew too large."""
+    if column not in CONVERTED:
+        return f"event.after.{column}"
+    read = jdbc_timestamp if column in TIMESTAMP_COLUMNS else plain_decimal
+    return f"transform(array(event.after.{column}), x -> {read('x')})[0]"
 
 
 def _target_value(column: str) -> str:
-    """A target column of any source, from the image or a converted field."""
-    converted = column in CONVERTED
     whens = [
-        f"WHEN by_source = '{source.name}' THEN "
-        + (f"from_{field}" if converted else f"image.{field}")
+        f"WHEN by_source = '{source.name}' THEN {_mapped(column, field)}"
         for source in SOURCES.values()
         for own, field in source.columns.items()
         if own == column
     ]
-    by_name = f"bound_{column}" if converted else f"image.{column}"
-    return f"CASE {' '.join(whens)} WHEN by_name THEN {by_name} END"
+    return f"CASE {' '.join(whens)} WHEN by_name THEN {_bound(column)} END"
 
 
 def _bad_value() -> str:
     """Whether a value cannot be stored: a decimal out of range, or, where
     columns are bound by name, a text that is not of the column's type."""
-    overflow = [
-        f"by_source = '{source.name}' AND " + decimal_overflow(f"image.{field}", f"from_{field}")
-        for source in SOURCES.values()
-        for column, field in source.columns.items()
-        if column in DECIMAL_COLUMNS
-    ]
-    unread = [
-        f"by_name AND image.{c} IS NOT NULL AND bound_{c} IS NULL" for c in CONVERTED
-    ]
-    return f"coalesce({' OR '.join(f'({test})' for test in (*overflow, *unread))}, false)"
+    whens = []
+    for source in SOURCES.values():
+        decimals = [f for c, f in source.columns.items() if c in DECIMAL_COLUMNS]
+        if decimals:
+            tests = " OR ".join(f"({decimal_overflow(f'clean_{f}')})" for f in decimals)
+            whens.append(f"WHEN by_source = '{source.name}' THEN coalesce({tests}, false)")
+    unread = " OR ".join(
+        f"(event.after.{c} IS NOT NULL AND {_bound(c)} IS NULL)" for c in CONVERTED
+    )
+    return f"CASE {' '.join(whens)} WHEN by_name THEN {unread} ELSE false END"
 
 
 def map_events(events: DataFrame, bind: str = "tagged") -> DataFrame:
-    """Map classified events onto the target: adds its 20 columns and
-    ``bad_value``, true where a value cannot be stored. Rows that already have
-    a reason get NULLs.
+    """Map parsed events onto the target: adds ``source_table``, ``reason``, the
+    20 target columns and ``bad_value``, true where a value cannot be stored.
+    Rows that have a reason get NULLs.
 
     ``bind`` says which rows of unmapped tables are read by target column name:
     ``tagged``, those that name a known source, or ``all``.
     """
     if bind not in ("tagged", "all"):
         raise ValueError(f"bind must be 'tagged' or 'all', not {bind!r}")
-    by_name = f"reason IS NULL AND NOT {IS_MAPPED}"
+    by_name = "event.reason IS NULL AND NOT event.mapped"
     if bind == "tagged":
-        by_name += " AND source_table IS NOT NULL"
+        by_name += " AND event.source_table IS NOT NULL"
     kept = [F.col(c) for c in events.columns if c != "event"]
     staged = events.select(
         *kept,
-        F.expr(f"IF(reason IS NULL AND {IS_MAPPED}, source_table, NULL)").alias("by_source"),
+        "event",
+        F.expr("IF(event.reason IS NULL AND event.mapped, event.source_table, NULL)")
+        .alias("by_source"),
         F.expr(by_name).alias("by_name"),
-        F.expr(IMAGE).alias("image"),
     )
-    helpers = [
-        F.expr(
-            f"IF(by_source IN ({', '.join(repr(u) for u in users)}), "
-            f"{_parsed(column, f'image.{field}')}, NULL)"
-        ).alias(f"from_{field}")
-        for field, (column, users) in _shared_conversions().items()
-    ] + [
-        F.expr(f"IF(by_name, {_bound(c, f'image.{c}')}, NULL)").alias(f"bound_{c}")
-        for c in CONVERTED
-    ]
-    return staged.select("*", *helpers).select(
+    clean = [F.expr(text).alias(f"clean_{field}") for field, text in _clean_fields().items()]
+    return staged.select("*", *clean).select(
         *kept,
+        "event.source_table",
+        "event.reason",
         *[F.expr(_target_value(c)).alias(c) for c in TARGET_COLUMNS],
         F.expr(_bad_value()).alias("bad_value"),
     )
@@ -133,8 +143,8 @@ def map_events(events: DataFrame, bind: str = "tagged") -> DataFrame:
 
 def map_source(feed: DataFrame, name: str) -> DataFrame:
     """Mapped rows of one source: its own target columns, nothing else."""
-    events = classify(parse_envelope(feed)).filter(
-        f"reason IS NULL AND source_table = '{name}'"
+    events = usable(parse_envelope(feed)).filter(
+        f"event.mapped AND event.source_table = '{name}'"
     )
     kept = [c for c in feed.columns if c != "value"]
     return map_events(events).select(*kept, "source_table", *SOURCES[name].owned)
@@ -143,9 +153,8 @@ def map_source(feed: DataFrame, name: str) -> DataFrame:
 def matching_key(feed: DataFrame) -> DataFrame:
     """``matching_key``: which target rows an event updates, as a map with the
     NULL parts left out; empty for tables without a mapping."""
-    events = classify(parse_envelope(feed)).filter(
-        f"event.{CORRUPT_FIELD} IS NULL AND {IMAGE} IS NOT NULL "
-        "AND event.source.table IS NOT NULL"
+    events = parse_envelope(feed, before=True).filter(
+        f"event.readable AND {IMAGE} IS NOT NULL AND event.table_name IS NOT NULL"
     )
     whens = []
     for source in SOURCES.values():
@@ -153,12 +162,14 @@ def matching_key(feed: DataFrame) -> DataFrame:
             f"'{c}', {IMAGE}.{source.columns[c]}" for c in source.match_on
         )
         whens.append(
-            f"WHEN {IS_MAPPED} AND source_table = '{source.name}' "
+            f"WHEN event.mapped AND event.source_table = '{source.name}' "
             f"THEN map_filter(map({parts}), (k, v) -> v IS NOT NULL)"
         )
     key = f"CASE {' '.join(whens)} ELSE CAST(map() AS MAP<STRING, STRING>) END"
     kept = [c for c in feed.columns if c != "value"]
-    return events.select(*kept, "source_table", F.expr(key).alias("matching_key"))
+    return events.select(
+        *kept, "event.source_table", F.expr(key).alias("matching_key")
+    )
 
 
 # --- sinks -----------------------------------------------------------------
@@ -211,25 +222,18 @@ def to_full_row(mapped: DataFrame) -> DataFrame:
     return mapped.withColumn("reason", F.expr(reason))
 
 
-def _settled(rows: DataFrame, kept: list[str]) -> DataFrame:
-    """Close the row: one struct per event, so that a later filter on ``reason``
-    is not pushed below the conversions and made to repeat them."""
-    columns = [*kept, "source_table", "reason", *TARGET_COLUMNS]
-    return rows.select(F.explode(F.array(F.struct(*columns))).alias("row")).select("row.*")
-
-
 def audited_rows(feed: DataFrame, sink: str = "selective", literals: bool = True) -> DataFrame:
     """One row per event of the feed: its target columns, and ``reason`` where
     it does not reach the target."""
     kept = [c for c in feed.columns if c != "value"]
-    events = classify(parse_envelope(feed))
+    events = parse_envelope(feed)
     if sink == "selective":
         rows = to_sink(map_events(events), literals)
     elif sink == "full_row":
         rows = to_full_row(map_events(events, bind="all"))
     else:
         raise ValueError(f"sink must be 'selective' or 'full_row', not {sink!r}")
-    return _settled(rows, kept)
+    return rows.select(*kept, "source_table", "reason", *TARGET_COLUMNS)
 
 
 def changes(feed: DataFrame, sink: str = "selective", literals: bool = True) -> DataFrame:

@@ -135,9 +135,9 @@ def matching_key(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def route_case_insensitive(spark: SparkSession, sf: str) -> DataFrame:
-    rows = mapping.classify(parse_envelope(SOURCE_FEEDS["jobs"](spark, sf)))
+    rows = parse_envelope(SOURCE_FEEDS["jobs"](spark, sf))
     return rows.groupBy(
-        F.col("event.source.table").alias("table_name"), "source_table"
+        F.col("event.raw_table").alias("table_name"), "event.source_table"
     ).agg(F.count("*").alias("events"))
 
 

@@ -154,20 +154,24 @@ def image_fields() -> list[str]:
     return list(dict.fromkeys([*fields, *TARGET_COLUMNS, TAG_FIELD]))
 
 
-def envelope_schema() -> T.StructType:
+def envelope_schema(before: bool = False) -> T.StructType:
     """A change event. Every leaf is text: one odd value must not make the
-    whole event unreadable."""
+    whole event unreadable.
+
+    Without ``before`` only one field of the earlier image is read, enough to
+    see that it is an object.
+    """
     text = T.StringType()
     image = T.StructType([T.StructField(f, text) for f in image_fields()])
     source = T.StructType([T.StructField("table", text), T.StructField("ts_ms", text)])
     return T.StructType([
         T.StructField("op", text),
         T.StructField("source", source),
-        T.StructField("before", image),
+        T.StructField("before", image if before else T.StructType(image.fields[:1])),
         T.StructField("after", image),
         T.StructField(CORRUPT_FIELD, text),
     ])
 
 
-# The same event with open row images, for tables without a mapping.
-OPEN_IMAGE_SCHEMA = "before MAP<STRING, STRING>, after MAP<STRING, STRING>"
+# The image of an event whose table has no mapping.
+OPEN_IMAGE_SCHEMA = "after MAP<STRING, STRING>"
