@@ -123,21 +123,20 @@ def map_events(events: DataFrame, bind: str = "tagged") -> DataFrame:
     by_name = "event.reason IS NULL AND NOT event.mapped"
     if bind == "tagged":
         by_name += " AND event.source_table IS NOT NULL"
-    kept = [F.col(c) for c in events.columns if c != "event"]
-    staged = events.select(
+    kept = [f"`{c}`" for c in events.columns if c != "event"]
+    staged = events.selectExpr(
         *kept,
         "event",
-        F.expr("IF(event.reason IS NULL AND event.mapped, event.source_table, NULL)")
-        .alias("by_source"),
-        F.expr(by_name).alias("by_name"),
+        "IF(event.reason IS NULL AND event.mapped, event.source_table, NULL) AS by_source",
+        f"{by_name} AS by_name",
     )
-    clean = [F.expr(text).alias(f"clean_{field}") for field, text in _clean_fields().items()]
-    return staged.select("*", *clean).select(
+    clean = [f"{text} AS clean_{field}" for field, text in _clean_fields().items()]
+    return staged.selectExpr("*", *clean).selectExpr(
         *kept,
         "event.source_table",
         "event.reason",
-        *[F.expr(_target_value(c)).alias(c) for c in TARGET_COLUMNS],
-        F.expr(_bad_value()).alias("bad_value"),
+        *[f"{_target_value(c)} AS {c}" for c in TARGET_COLUMNS],
+        f"{_bad_value()} AS bad_value",
     )
 
 
@@ -203,13 +202,12 @@ def to_sink(mapped: DataFrame, literals: bool = True) -> DataFrame:
     and ``null_key``.
     """
     values = {c: _sink_value(c, literals) for c in TARGET_COLUMNS}
-    reason = (
+    values["reason"] = (
         "coalesce(reason, CASE WHEN source_table IS NULL THEN 'unknown_table' "
         f"WHEN bad_value THEN 'bad_value' WHEN {values['activity_id']} IS NULL THEN 'null_key' END)"
     )
-    return mapped.withColumns(
-        {c: F.expr(v) for c, v in {**values, "reason": reason}.items() if v != c}
-    )
+    kept = [f"`{c}`" for c in mapped.columns if c not in values]
+    return mapped.selectExpr(*kept, *[f"{value} AS {c}" for c, value in values.items()])
 
 
 def to_full_row(mapped: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from weirflow.operators.mapping import ORDER
 from weirflow.operators.skew import hot_keys, spread_join
@@ -75,22 +75,19 @@ def partial(
     are combined before the shuffle.
     """
     groups = _owner_groups(keys)
-    position = F.struct(*order)
-    merged = changes.groupBy(*keys).agg(*[
-        F.max_by(
-            F.struct(*columns),
-            F.when(F.col("source_table").isin(*owners), position),
-        ).alias("__" + "__".join(owners))
-        for owners, columns in groups.items()
-    ])
-    placed = {
-        column: F.col("__" + "__".join(owners))[column]
-        for owners, columns in groups.items()
-        for column in columns
-    }
-    return merged.select(*[
-        placed[c].alias(c) if c in placed else F.col(c) for c in TARGET_COLUMNS
-    ])
+    position = f"struct({', '.join(order)})"
+    aggregates = []
+    placed = {key: key for key in keys}
+    for owners, columns in groups.items():
+        name = "__".join(owners)
+        sources = ", ".join(f"'{o}'" for o in owners)
+        aggregates.append(F.expr(
+            f"max_by(struct({', '.join(columns)}), "
+            f"IF(source_table IN ({sources}), {position}, NULL))"
+        ).alias(name))
+        placed |= {column: f"{name}.{column}" for column in columns}
+    merged = changes.groupBy(*keys).agg(*aggregates)
+    return merged.selectExpr(*[f"{placed[c]} AS {c}" for c in TARGET_COLUMNS])
 
 
 Changes = DataFrame | Mapping[str, DataFrame]
@@ -111,20 +108,17 @@ def _merge_activity(
     if target is None:
         return fresh
     new, old = fresh.alias("new"), target.select(*TARGET_COLUMNS).alias("old")
-    hit = F.col("new.activity_id").isNotNull()
-    merged = {
-        c: F.when(hit, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")) for c in owned
-    }
-    return old.join(
-        new, F.col("old.activity_id") == F.col("new.activity_id"), "full"
-    ).select(*[merged.get(c, F.col(f"old.{c}")).alias(c) for c in TARGET_COLUMNS])
+    both = old.join(new, F.expr("old.activity_id = new.activity_id"), "full")
+    return both.selectExpr(*[
+        f"IF(new.activity_id IS NULL, old.{c}, new.{c}) AS {c}" if c in owned else f"old.{c}"
+        for c in TARGET_COLUMNS
+    ])
 
 
-def _overwrite(rows: DataFrame, change: Column, columns: Sequence[str]) -> DataFrame:
+def _overwrite(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Set ``columns`` from the struct ``change`` where there is one."""
-    hit = change.isNotNull()
-    return rows.select(*[
-        (F.when(hit, change[c]).otherwise(F.col(c)).alias(c) if c in columns else F.col(c))
+    return rows.selectExpr(*[
+        f"IF(change IS NULL, {c}, change.{c}) AS {c}" if c in columns else c
         for c in TARGET_COLUMNS
     ])
 
@@ -143,14 +137,16 @@ def _last_revenue(
 ) -> DataFrame:
     """Per key, the last revenue change of all, and the last without a client."""
     carried = [c for c in SOURCES["standard_revenue"].owned if c != "bcworkerid"]
-    rows = _of_source(changes, "standard_revenue")
-    for key in keys:
-        rows = rows.filter(F.col(key).isNotNull())
-    position = F.struct(*order)
-    change = F.struct(position.alias("position"), *carried)
-    no_client = F.when(F.col("clienterpid").isNull(), position)
-    return rows.select("*", change.alias("change"), no_client.alias("position_no_client"),
-                       position.alias("position")).groupBy(*keys).agg(
+    position = f"struct({', '.join(order)})"
+    rows = _of_source(changes, "standard_revenue").filter(
+        " AND ".join(f"{key} IS NOT NULL" for key in keys)
+    )
+    return rows.selectExpr(
+        *keys,
+        f"struct({position} AS position, {', '.join(carried)}) AS change",
+        f"{position} AS position",
+        f"IF(clienterpid IS NULL, {position}, NULL) AS position_no_client",
+    ).groupBy(*keys).agg(
         F.max_by("change", "position").alias("any_client"),
         F.max_by("change", "position_no_client").alias("no_client"),
     )
@@ -181,28 +177,22 @@ def match_update(
         return spread_join(left, right, keys, spread_by="activity_id", hot=hot[keys])
 
     jobs = _last_change(changes, "jobs", "job_id", order)
-    rows = _overwrite(
-        joined(rows, jobs, "job_id"), F.col("change"), ("job_title", "location")
-    )
+    rows = _overwrite(joined(rows, jobs, "job_id"), ("job_title", "location"))
     clients = _last_change(changes, "clients_to_exclude", "company_name", order)
-    rows = _overwrite(
-        joined(rows, clients, "company_name"), F.col("change"), ("excluded_reason",)
-    )
+    rows = _overwrite(joined(rows, clients, "company_name"), ("excluded_reason",))
     rows = joined(rows, _last_revenue(changes, ["bcworkerid"], order), "bcworkerid")
-    change = F.col("any_client")
+    change = "any_client"
     if target is not None:
-        same = _last_revenue(changes, pair, order).select(
-            *pair, F.col("any_client").alias("same_client")
-        )
+        same = _last_revenue(changes, pair, order).selectExpr(*pair, "any_client AS same_client")
         rows = joined(rows, same, *pair)
-        same_is_last = F.col("same_client").isNotNull() & F.coalesce(
-            F.col("same_client.position") > F.col("no_client.position"), F.lit(True)
-        )
-        change = F.when(F.col("clienterpid").isNull(), F.col("any_client")).otherwise(
-            F.when(same_is_last, F.col("same_client")).otherwise(F.col("no_client"))
+        change = (
+            "CASE WHEN clienterpid IS NULL THEN any_client "
+            "WHEN same_client IS NULL THEN no_client "
+            "WHEN no_client.position > same_client.position THEN no_client "
+            "ELSE same_client END"
         )
     revenue = [c for c in SOURCES["standard_revenue"].owned if c != "bcworkerid"]
-    return _overwrite(rows.withColumn("change", change), F.col("change"), revenue)
+    return _overwrite(rows.withColumn("change", F.expr(change)), revenue)
 
 
 def merge(

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 # A key with at least this share of the left rows counts as hot. At most
-# 1 / HOT_SHARE keys can, which bounds the broadcast below.
+# 1 / HOT_SHARE keys can, which bounds the broadcast of hot keys.
 HOT_SHARE = 0.005
 # Parts that a hot key's rows are spread over.
 SPREAD = 32
@@ -19,27 +18,30 @@ def hot_keys(
 ) -> list[DataFrame]:
     """For each set of key columns, the keys that may hold at least ``share`` of
     ``rows``: none of those is missed, a few others may be named, and there are
-    never more than ``1 / share``.
+    never more than ``len(key_sets) / share``.
 
-    One pass for all sets, without a shuffle of the rows.
+    One pass for all sets, and no shuffle of the rows. The filter is always
+    true; it reads every column, so that a shuffle that made ``rows`` has the
+    same columns here as where the rows are used and is run once for both.
     """
-    packed = rows.select(*[
-        F.when(
-            reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]),
-            F.to_json(F.struct(*keys)),
-        ).alias(f"set{i}")
+    named = [
+        f"IF({' AND '.join(f'{k} IS NOT NULL' for k in keys)}, "
+        f"concat('{i}', to_json(struct({', '.join(keys)}))), NULL)"
         for i, keys in enumerate(key_sets)
-    ])
-    items = packed.freqItems(packed.columns, share)
+    ]
+    packed = (
+        rows.filter(f"xxhash64({', '.join(rows.columns)}) % 2 < 2")
+        .selectExpr(f"explode(array({', '.join(named)})) AS named")
+    )
+    items = packed.freqItems(["named"], share / len(key_sets)).selectExpr(
+        "explode(named_freqItems) AS named"
+    )
     found = []
     for i, keys in enumerate(key_sets):
-        schema = ", ".join(f"`{k}` STRING" for k in keys)
-        key = F.from_json("key", schema)
-        named = items.select(F.explode(f"set{i}_freqItems").alias("key"))
-        found.append(
-            named.filter(F.col("key").isNotNull()).select(F.explode(F.array(key)).alias("key"))
-            .select("key.*")
-        )
+        schema = ", ".join(f"{k} STRING" for k in keys)
+        found.append(items.filter(f"named LIKE '{i}%'").selectExpr(
+            f"inline(array(from_json(substr(named, 2), '{schema}')))"
+        ))
     return found
 
 
@@ -58,20 +60,15 @@ def spread_join(
     which match nothing, are spread over all tasks. The result does not depend
     on which keys are taken as hot.
     """
-    hot = F.broadcast(hot.withColumn("__hot", F.lit(True)))
-    spread = F.xxhash64(spread_by)
-    no_key = F.expr(" OR ".join(f"`{k}` IS NULL" for k in keys))
-    salted = left.join(hot, list(keys), "left").withColumn(
-        "__salt",
-        F.when(no_key, spread).when(F.col("__hot"), F.pmod(spread, F.lit(parts))).otherwise(
-            F.lit(0).cast("bigint")
-        ),
-    ).drop("__hot")
-    copies = right.join(hot, list(keys), "left").withColumn(
-        "__salt",
-        F.explode(
-            F.when(F.col("__hot"), F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint")))
-            .otherwise(F.array(F.lit(0).cast("bigint")))
-        ),
-    ).drop("__hot")
+    hot = F.broadcast(hot.selectExpr("*", "true AS __hot"))
+    no_key = " OR ".join(f"{k} IS NULL" for k in keys)
+    salted = left.join(hot, list(keys), "left").selectExpr(
+        *left.columns,
+        f"CASE WHEN {no_key} THEN xxhash64({spread_by}) "
+        f"WHEN __hot THEN pmod(xxhash64({spread_by}), {parts}L) ELSE 0L END AS __salt",
+    )
+    copies = right.join(hot, list(keys), "left").selectExpr(
+        *right.columns,
+        f"explode(IF(__hot, sequence(0L, {parts - 1}L), array(0L))) AS __salt",
+    )
     return salted.join(copies, [*keys, "__salt"], "left").drop("__salt")

@@ -23,6 +23,7 @@ from weirflow.sources import (
     read_table,
     revenue_feed,
     split_topics,
+    spread,
     stream_change_files,
     unmapped_feed,
     wide_rows_feed,
@@ -40,19 +41,33 @@ def query(fn: Query) -> Query:
     return fn
 
 
+# The unique column of each base table that events are derived from.
+KEYS = {
+    "orders": "o_orderkey",
+    "part": "p_partkey",
+    "supplier": "s_suppkey",
+    "events": "event_id",
+    "customer": "c_custkey",
+}
+
+
+def _rows(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spread(read_table(spark, sf, name), KEYS[name])
+
+
 def _feed(spark: SparkSession, sf: str) -> DataFrame:
-    return change_feed(lambda name: read_table(spark, sf, name))
+    return change_feed(lambda name: _rows(spark, sf, name))
 
 
 def _wide_feed(spark: SparkSession, sf: str) -> DataFrame:
-    return wide_rows_feed(read_table(spark, sf, "orders"))
+    return wide_rows_feed(_rows(spark, sf, "orders"))
 
 
 SOURCE_FEEDS = {
-    "job_activity": lambda spark, sf: activity_feed(read_table(spark, sf, "orders")),
-    "jobs": lambda spark, sf: jobs_feed(read_table(spark, sf, "part")),
-    "clients_to_exclude": lambda spark, sf: exclusions_feed(read_table(spark, sf, "supplier")),
-    "standard_revenue": lambda spark, sf: revenue_feed(read_table(spark, sf, "events")),
+    "job_activity": lambda spark, sf: activity_feed(_rows(spark, sf, "orders")),
+    "jobs": lambda spark, sf: jobs_feed(_rows(spark, sf, "part")),
+    "clients_to_exclude": lambda spark, sf: exclusions_feed(_rows(spark, sf, "supplier")),
+    "standard_revenue": lambda spark, sf: revenue_feed(_rows(spark, sf, "events")),
 }
 
 
@@ -108,7 +123,7 @@ for _name in SOURCES:
 
 @query
 def map_unknown_passthrough(spark: SparkSession, sf: str) -> DataFrame:
-    rows = passthrough(unmapped_feed(read_table(spark, sf, "customer")))
+    rows = passthrough(unmapped_feed(_rows(spark, sf, "customer")))
     return rows.select("offset", "table_name", F.explode("image").alias("field", "value"))
 
 
@@ -259,7 +274,7 @@ def merge_replace_row_composite(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def merge_partial(spark: SparkSession, sf: str) -> DataFrame:
-    feed = keyed_by_customer_feed(read_table(spark, sf, "orders"))
+    feed = keyed_by_customer_feed(_rows(spark, sf, "orders"))
     return merging.merge(mapping.changes(feed, literals=False), "partial")
 
 
@@ -344,7 +359,7 @@ def _stored(feed: DataFrame, spark: SparkSession) -> str:
 
 
 def _ingested(
-    spark: SparkSession, topics: str, log: str, literals: bool = True, files: int = 2
+    spark: SparkSession, topics: str, log: str, literals: bool = True, files: int = 16
 ) -> DataFrame:
     feed = stream_change_files(spark, topics, files_per_batch=files)
     run = ingest(
@@ -368,42 +383,42 @@ def stream_replay_idempotent(spark: SparkSession, sf: str) -> DataFrame:
     log is compacted before it is merged."""
     topics = _stored(_feed(spark, sf), spark)
     log, compacted = work_folder(spark, "log"), work_folder(spark, "log")
-    _ingested(spark, topics, log, files=1)
-    _ingested(spark, topics, log, files=3)
+    _ingested(spark, topics, log, files=12)
+    _ingested(spark, topics, log, files=20)
     compact_log(spark, log, compacted)
     return merging.merge(read_log(spark, compacted), "replace_row")
 
 
 @query
 def stream_partial(spark: SparkSession, sf: str) -> DataFrame:
-    feed = keyed_by_customer_feed(read_table(spark, sf, "orders"))
-    topics = _stored(feed.repartition("offset"), spark)
-    changes = _ingested(spark, topics, work_folder(spark, "log"), literals=False)
+    feed = keyed_by_customer_feed(_rows(spark, sf, "orders"))
+    topics = _stored(feed, spark)
+    changes = _ingested(spark, topics, work_folder(spark, "log"), literals=False, files=3)
     return merging.merge(changes, "partial")
 
 
 # --- generated events --------------------------------------------------------
 
 
-def _ids(spark: SparkSession, sf: str, table: str, key: str) -> DataFrame:
-    return read_table(spark, sf, table).select(F.col(key).alias("i"))
+def _ids(spark: SparkSession, sf: str, table: str) -> DataFrame:
+    return _rows(spark, sf, table).select(F.col(KEYS[table]).alias("i"))
 
 
 @query
 def gen_batch(spark: SparkSession, sf: str) -> DataFrame:
-    return generator.batch_events(_ids(spark, sf, "orders", "o_orderkey"))
+    return generator.batch_events(_ids(spark, sf, "orders"))
 
 
 @query
 def gen_performance(spark: SparkSession, sf: str) -> DataFrame:
-    return generator.performance_events(_ids(spark, sf, "orders", "o_orderkey"))
+    return generator.performance_events(_ids(spark, sf, "orders"))
 
 
 @query
 def golden_scenarios(spark: SparkSession, sf: str) -> DataFrame:
-    return generator.scenario_events(_ids(spark, sf, "part", "p_partkey"))
+    return generator.scenario_events(_ids(spark, sf, "part"))
 
 
 @query
 def gen_target_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return generator.target_rows(_ids(spark, sf, "customer", "c_custkey"))
+    return generator.target_rows(_ids(spark, sf, "customer"))

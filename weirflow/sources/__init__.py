@@ -8,7 +8,7 @@ from weirflow.sources.feed import (
     unmapped_feed,
     wide_rows_feed,
 )
-from weirflow.sources.tables import read_table, stream_table
+from weirflow.sources.tables import read_table, spread, stream_table
 from weirflow.sources.topics import (
     as_topic,
     read_change_files,
@@ -29,6 +29,7 @@ __all__ = [
     "read_topics",
     "revenue_feed",
     "split_topics",
+    "spread",
     "stream_change_files",
     "stream_table",
     "unmapped_feed",
