@@ -5,7 +5,8 @@ text of the converted value, for use in ``F.expr`` or ``spark.sql``. None of
 them raises under ANSI mode or depends on the session time zone, and all stay
 inside whole-stage code generation.
 
-Patterns end in ``\z``, because ``$`` would also match before a final line
+Every part is itself safe for any text, because Spark may evaluate a part that
+occurs in several conditions ahead of them. Patterns end in ``\z``, because ``$`` would also match before a final line
 separator.
 """
 
@@ -55,11 +56,10 @@ def _epoch(number: str) -> str:
 def _lenient_wall_clock(text: str) -> str:
     """For text in the DATETIME form that is no real time: a day up to 31 is
     clamped to the month's last day, and exactly 24:00:00 is the next midnight."""
-    year, month, day, hour, minute, second = (
-        f"try_cast(substr({text}, {start}, {width}) AS INT)"
-        for start, width in ((1, 4), (6, 2), (9, 2), (12, 2), (15, 2), (18, 2))
+    month, day, hour, minute, second = (
+        f"try_cast(substr({text}, {start}, 2) AS INT)" for start in (6, 9, 12, 15, 18)
     )
-    first = f"make_date({year}, {month}, 1)"
+    first = f"try_cast(concat(substr({text}, 1, 8), '01') AS DATE)"
     return (
         f"IF({month} BETWEEN 1 AND 12 AND {day} BETWEEN 1 AND 31 AND {minute} <= 59 "
         f"AND {second} <= 59 AND ({hour} <= 23 OR substr({text}, 12, 8) = '24:00:00'), "
@@ -135,13 +135,13 @@ def jdbc_timestamp(text: str) -> str:
     time parts beyond their range roll over into the next unit."""
     trimmed = java_trim(text)
     year, month, day, hour, minute, second = (
-        f"try_cast(split({trimmed}, '[-: .]')[{part}] AS INT)" for part in range(6)
+        f"try_cast(get(split({trimmed}, '[-: .]'), {part}) AS INT)" for part in range(6)
     )
     fraction = f"try_cast(concat('0.', rpad(get(split({trimmed}, '[.]'), 1), 6, '0')) AS DECIMAL(18,6))"
     return (
         f"IF({trimmed} RLIKE {JDBC_TIMESTAMP} AND {month} BETWEEN 1 AND 12 "
         f"AND {day} BETWEEN 1 AND 31 AND {year} >= 1, "
-        f"CAST(make_date({year}, {month}, 1) AS TIMESTAMP_NTZ) + "
+        f"CAST(try_cast(concat_ws('-', {year}, {month}, '1') AS DATE) AS TIMESTAMP_NTZ) + "
         f"make_dt_interval({day} - 1, {hour}, {minute}, "
         f"CAST({second} + coalesce({fraction}, 0) AS DECIMAL(18,6))), NULL)"
     )

@@ -6,6 +6,8 @@ expression that looks at the row's source.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from weirflow.functions.convert import (
@@ -21,6 +23,7 @@ from weirflow.operators.envelope import IMAGE, parse_envelope, usable
 from weirflow.schema import (
     DECIMAL_COLUMNS,
     SOURCES,
+    SOURCE_NAMES,
     TARGET_COLUMNS,
     TIMESTAMP_COLUMNS,
     target_type,
@@ -53,13 +56,13 @@ def _clean(field: str, column: str) -> str:
     return clean_datetime(text) if column in TIMESTAMP_COLUMNS else java_trim(text)
 
 
-def _clean_fields() -> dict[str, str]:
+def _clean_fields(sources: Sequence[str]) -> dict[str, str]:
     """Source field -> its cleaned text, for every field that is converted."""
     fields: dict[str, tuple[str, list[str]]] = {}
-    for source in SOURCES.values():
-        for column, field in source.columns.items():
+    for name in sources:
+        for column, field in SOURCES[name].columns.items():
             if column in CONVERTED:
-                fields.setdefault(field, (column, []))[1].append(source.name)
+                fields.setdefault(field, (column, []))[1].append(name)
     return {
         field: f"IF(by_source IN ({', '.join(repr(u) for u in users)}), "
         f"{_clean(field, column)}, NULL)"
@@ -85,38 +88,52 @@ def _bound(column: str) -> str:
     return f"transform(array(event.after.{column}), x -> {read('x')})[0]"
 
 
-def _target_value(column: str) -> str:
+def _bindable(sources: Sequence[str]) -> list[str]:
+    """Target columns that a row of these sources can fill."""
+    return [c for c in TARGET_COLUMNS if any(c in SOURCES[name].columns for name in sources)]
+
+
+def _target_value(column: str, sources: Sequence[str], bindable: Sequence[str]) -> str:
     whens = [
-        f"WHEN by_source = '{source.name}' THEN {_mapped(column, field)}"
-        for source in SOURCES.values()
-        for own, field in source.columns.items()
-        if own == column
+        f"WHEN by_source = '{name}' THEN {_mapped(column, SOURCES[name].columns[column])}"
+        for name in sources
+        if column in SOURCES[name].columns
     ]
-    return f"CASE {' '.join(whens)} WHEN by_name THEN {_bound(column)} END"
+    if column in bindable:
+        whens.append(f"WHEN by_name THEN {_bound(column)}")
+    kind = target_type(column).simpleString()
+    return f"CASE {' '.join(whens)} END" if whens else f"CAST(NULL AS {kind})"
 
 
-def _bad_value() -> str:
+def _bad_value(sources: Sequence[str], bindable: Sequence[str]) -> str:
     """Whether a value cannot be stored: a decimal out of range, or, where
     columns are bound by name, a text that is not of the column's type."""
     whens = []
-    for source in SOURCES.values():
-        decimals = [f for c, f in source.columns.items() if c in DECIMAL_COLUMNS]
+    for name in sources:
+        decimals = [f for c, f in SOURCES[name].columns.items() if c in DECIMAL_COLUMNS]
         if decimals:
             tests = " OR ".join(f"({decimal_overflow(f'clean_{f}')})" for f in decimals)
-            whens.append(f"WHEN by_source = '{source.name}' THEN coalesce({tests}, false)")
+            whens.append(f"WHEN by_source = '{name}' THEN coalesce({tests}, false)")
     unread = " OR ".join(
-        f"(event.after.{c} IS NOT NULL AND {_bound(c)} IS NULL)" for c in CONVERTED
+        f"(event.after.{c} IS NOT NULL AND {_bound(c)} IS NULL)"
+        for c in CONVERTED
+        if c in bindable
     )
-    return f"CASE {' '.join(whens)} WHEN by_name THEN {unread} ELSE false END"
+    if unread:
+        whens.append(f"WHEN by_name THEN {unread}")
+    return f"CASE {' '.join(whens)} ELSE false END" if whens else "false"
 
 
-def map_events(events: DataFrame, bind: str = "tagged") -> DataFrame:
+def map_events(
+    events: DataFrame, bind: str = "tagged", sources: Sequence[str] = SOURCE_NAMES
+) -> DataFrame:
     """Map parsed events onto the target: adds ``source_table``, ``reason``, the
     20 target columns and ``bad_value``, true where a value cannot be stored.
     Rows that have a reason get NULLs.
 
     ``bind`` says which rows of unmapped tables are read by target column name:
-    ``tagged``, those that name a known source, or ``all``.
+    ``tagged``, those that name a known source, or ``all``. Only ``sources`` are
+    mapped; naming few of them keeps the plan small.
     """
     if bind not in ("tagged", "all"):
         raise ValueError(f"bind must be 'tagged' or 'all', not {bind!r}")
@@ -130,13 +147,14 @@ def map_events(events: DataFrame, bind: str = "tagged") -> DataFrame:
         "IF(event.reason IS NULL AND event.mapped, event.source_table, NULL) AS by_source",
         f"{by_name} AS by_name",
     )
-    clean = [f"{text} AS clean_{field}" for field, text in _clean_fields().items()]
+    clean = [f"{text} AS clean_{field}" for field, text in _clean_fields(sources).items()]
+    bindable = TARGET_COLUMNS if bind == "all" else _bindable(sources)
     return staged.selectExpr("*", *clean).selectExpr(
         *kept,
         "event.source_table",
         "event.reason",
-        *[f"{_target_value(c)} AS {c}" for c in TARGET_COLUMNS],
-        f"{_bad_value()} AS bad_value",
+        *[f"{_target_value(c, sources, bindable)} AS {c}" for c in TARGET_COLUMNS],
+        f"{_bad_value(sources, bindable)} AS bad_value",
     )
 
 
@@ -146,7 +164,8 @@ def map_source(feed: DataFrame, name: str) -> DataFrame:
         f"event.mapped AND event.source_table = '{name}'"
     )
     kept = [c for c in feed.columns if c != "value"]
-    return map_events(events).select(*kept, "source_table", *SOURCES[name].owned)
+    mapped = map_events(events, sources=(name,))
+    return mapped.select(*kept, "source_table", *SOURCES[name].owned)
 
 
 def matching_key(feed: DataFrame) -> DataFrame:
@@ -174,10 +193,10 @@ def matching_key(feed: DataFrame) -> DataFrame:
 # --- sinks -----------------------------------------------------------------
 
 
-def _sink_value(column: str, literals: bool) -> str:
+def _sink_value(column: str, literals: bool, sources: Sequence[str]) -> str:
     """A target column as its source's sink writes it."""
     whens = []
-    for source in SOURCES.values():
+    for source in map(SOURCES.get, sources):
         here = f"WHEN source_table = '{source.name}' THEN"
         filled = source.placeholders.get(column)
         if filled is not None:
@@ -192,7 +211,9 @@ def _sink_value(column: str, literals: bool) -> str:
     return f"CASE {' '.join(whens)} ELSE {column} END" if whens else column
 
 
-def to_sink(mapped: DataFrame, literals: bool = True) -> DataFrame:
+def to_sink(
+    mapped: DataFrame, literals: bool = True, sources: Sequence[str] = SOURCE_NAMES
+) -> DataFrame:
     """The row each event writes: only its source's columns, with placeholder
     keys where the source has no value of its own.
 
@@ -201,7 +222,7 @@ def to_sink(mapped: DataFrame, literals: bool = True) -> DataFrame:
     ``reason`` is extended with the sink's own: ``unknown_table``, ``bad_value``
     and ``null_key``.
     """
-    values = {c: _sink_value(c, literals) for c in TARGET_COLUMNS}
+    values = {c: _sink_value(c, literals, sources) for c in TARGET_COLUMNS}
     values["reason"] = (
         "coalesce(reason, CASE WHEN source_table IS NULL THEN 'unknown_table' "
         f"WHEN bad_value THEN 'bad_value' WHEN {values['activity_id']} IS NULL THEN 'null_key' END)"
@@ -223,20 +244,34 @@ def to_full_row(mapped: DataFrame) -> DataFrame:
 def audited_rows(feed: DataFrame, sink: str = "selective", literals: bool = True) -> DataFrame:
     """One row per event of the feed: its target columns, and ``reason`` where
     it does not reach the target."""
-    kept = [c for c in feed.columns if c != "value"]
-    events = parse_envelope(feed)
+    return _sink_rows(feed, parse_envelope(feed), sink, literals, SOURCE_NAMES)
+
+
+def _sink_rows(
+    feed: DataFrame, events: DataFrame, sink: str, literals: bool, sources: Sequence[str]
+) -> DataFrame:
     if sink == "selective":
-        rows = to_sink(map_events(events), literals)
+        rows = to_sink(map_events(events, sources=sources), literals, sources)
     elif sink == "full_row":
         rows = to_full_row(map_events(events, bind="all"))
     else:
         raise ValueError(f"sink must be 'selective' or 'full_row', not {sink!r}")
+    kept = [c for c in feed.columns if c != "value"]
     return rows.select(*kept, "source_table", "reason", *TARGET_COLUMNS)
 
 
-def changes(feed: DataFrame, sink: str = "selective", literals: bool = True) -> DataFrame:
-    """The rows of a feed that reach the target, in no particular order."""
-    return accepted(audited_rows(feed, sink, literals))
+def changes(
+    feed: DataFrame,
+    sink: str = "selective",
+    literals: bool = True,
+    sources: Sequence[str] = SOURCE_NAMES,
+) -> DataFrame:
+    """The rows of a feed that reach the target, in no particular order; with
+    the selective sink only those of ``sources``."""
+    events = usable(parse_envelope(feed))
+    if sink == "selective":
+        events = events.filter(F.col("event.source_table").isin(*sources))
+    return accepted(_sink_rows(feed, events, sink, literals, sources))
 
 
 def accepted(rows: DataFrame) -> DataFrame:

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, functions as F
 
 # A key with at least this share of the left rows counts as hot. At most
 # 1 / HOT_SHARE keys can, which bounds the broadcast of hot keys.
-HOT_SHARE = 0.005
+HOT_SHARE = 0.02
 # Parts that a hot key's rows are spread over.
-SPREAD = 32
+SPREAD = 64
 
 
 def hot_keys(

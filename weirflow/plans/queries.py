@@ -110,7 +110,7 @@ def _map_query(source: str) -> Query:
 
 def _sink_query(source: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        rows = mapping.changes(SOURCE_FEEDS[source](spark, sf))
+        rows = mapping.changes(SOURCE_FEEDS[source](spark, sf), sources=[source])
         return rows.select("offset", *SOURCES[source].written)
 
     return run
@@ -281,7 +281,7 @@ def merge_partial(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def merge_match_update(spark: SparkSession, sf: str) -> DataFrame:
     changes = {
-        name: mapping.changes(feed(spark, sf), literals=False)
+        name: mapping.changes(feed(spark, sf), literals=False, sources=[name])
         for name, feed in SOURCE_FEEDS.items()
     }
     return merging.merge(changes, "match_update")

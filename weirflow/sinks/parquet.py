@@ -19,6 +19,7 @@ LOG_SCHEMA = T.StructType([
     T.StructField("timestamp", T.TimestampType()),
     T.StructField("value", T.StringType()),
     *[T.StructField(c, target_type(c)) for c in TARGET_COLUMNS],
+    T.StructField("run", T.StringType()),
     T.StructField("batch_id", T.LongType()),
     T.StructField("outcome", T.StringType()),
     T.StructField("source_table", T.StringType()),
@@ -29,13 +30,14 @@ BUCKETS = 10
 
 
 def log_writer(
-    log: str, sink: str = "selective", literals: bool = True
+    log: str, run: str, sink: str = "selective", literals: bool = True
 ) -> Callable[[DataFrame, int], None]:
     """A function that writes one micro-batch of a feed to a change log.
 
     Each event is parsed once and nothing is shuffled. Events that do not reach
     the target are kept with their text under their own outcome. Writing a
-    batch again replaces it, so a replay leaves the log as it was.
+    batch of the same run again replaces it, so a retry leaves the log as it
+    was. A new run adds to the log; merging is not changed by repeated changes.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -45,10 +47,10 @@ def log_writer(
         (
             rows.withColumn("outcome", outcome)
             .withColumn("value", F.when(F.col("reason").isNotNull(), F.col("text")))
-            .select([c for c in LOG_SCHEMA.names if c != "batch_id"])
+            .select([c for c in LOG_SCHEMA.names if c not in ("run", "batch_id")])
             .write.mode("overwrite")
             .partitionBy("outcome", "source_table")
-            .parquet(f"{log}/batch_id={batch_id}")
+            .parquet(f"{log}/run={run}/batch_id={batch_id}")
         )
 
     return write
@@ -87,10 +89,10 @@ def compact_log(
     does; later changes can be merged on top of it."""
     (
         compact(read_log(spark, log), keys, order)
-        .drop("batch_id")
+        .drop("run", "batch_id")
         .write.mode("overwrite")
         .partitionBy("outcome", "source_table")
-        .parquet(f"{into}/batch_id=-1")
+        .parquet(f"{into}/run=compacted/batch_id=0")
     )
 
 

@@ -7,6 +7,7 @@ change log itself, not streaming state that would grow without bound.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -49,5 +50,9 @@ def ingest(
     name: str = "change_ingest",
     interval: str | None = INTERVAL,
 ) -> StreamingQuery:
-    """Write a feed to a change log, from which the target can be merged."""
-    return apply_batches(feed, log_writer(log, sink, literals), checkpoint, name, interval)
+    """Write a feed to a change log, from which the target can be merged.
+
+    The checkpoint is what makes a run: batches are numbered within it.
+    """
+    run = hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
+    return apply_batches(feed, log_writer(log, run, sink, literals), checkpoint, name, interval)
