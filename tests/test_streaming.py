@@ -1,4 +1,5 @@
 import os
+from types import SimpleNamespace
 
 import pytest
 
@@ -47,7 +48,7 @@ def test_stream_equals_batch_and_replay_changes_nothing(spark, topics, tmp_path)
     first_batch = read_log(spark, log, outcome=None).filter("batch_id = 0")
     offsets = [r.offset for r in first_batch.collect()]
     messages = read_change_files(spark, topics)
-    retry(messages.filter(messages.offset.isin(offsets)), 0)
+    retry(messages.filter(messages["offset"].isin(offsets)), 0)
     assert rows(merging.merge(read_log(spark, log))) == expected
     everything = read_log(spark, log, outcome=None)
     assert everything.count() == len(DROPPED) + 40
@@ -90,11 +91,14 @@ def test_topics_and_folders(spark, feed):
     parts = split_topics(feed("{}", "{}"), ["t", "u"])
     assert [parts[t].count() for t in ("t", "u")] == [2, 0]
     assert work_folder(spark, "x") != work_folder(spark, "x")
-    spark.conf.set("spark.checkpoint.dir", "/shared/work/")
-    try:
-        assert work_folder(spark, "log").startswith("/shared/work/log-")
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+    shared = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: "/shared/work/"))
+    assert work_folder(shared, "log").startswith("/shared/work/log-")
+    unset = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: default),
+        sparkContext=SimpleNamespace(master="yarn"),
+    )
+    with pytest.raises(ValueError):
+        work_folder(unset, "log")
 
 
 def test_upsert_statement():
