@@ -18,21 +18,13 @@ from weirflow.session import local_session
 HEADLINE = (
     "cdc_feed_counts",
     "map_job_activity",
-    "map_standard_revenue",
-    "sink_unified_rows",
     "drop_audit",
     "merge_append",
     "merge_replace_row",
-    "merge_replace_row_composite",
     "merge_partial",
     "merge_match_update",
-    "sink_full_row_upsert",
     "target_count",
-    "target_in_list",
-    "target_delete_where",
     "stream_replace_row",
-    "stream_partial",
-    "gen_batch",
 )
 RUNS = 2
 
