@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import exact_dedup, near_dup, sentencepiece_codec
-from weirflow.llm.common import table
+from weirflow.llm import decontamination, exact_dedup, near_dup, sentencepiece_codec, toxicity
+from weirflow.llm.common import fold, table
 
 
 def tokenizer(name: str) -> str:
@@ -18,6 +18,17 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    grammar = toxicity.fit(docs, table(spark, folder, "labels"), folds=5, held=0)
+    scored = docs.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), toxicity.score(grammar).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op7_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.link(table(spark, folder, "documents"))
 
@@ -34,6 +45,8 @@ def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 
 
 CORPUS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op5_decontamination": op5_decontamination,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_sentencepiece": op9_sentencepiece,
