@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import decontamination, exact_dedup, near_dup, sentencepiece_codec, toxicity
+from weirflow.llm import (
+    decontamination,
+    exact_dedup,
+    near_dup,
+    secrets,
+    sentencepiece_codec,
+    sharding,
+    toxicity,
+    url_filter,
+)
 from weirflow.llm.common import fold, table
 
 
@@ -25,6 +34,31 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(table(spark, folder, "documents"))
+
+    def count(kind: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+
+    return found.select(
+        "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+        F.sha2(secrets.listed(F.col("base")), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"),
+    )
+
+
+#: The rules that op3 is to judge by.
+HOST_RULES = [
+    url_filter.HostRule("net", "/", "block"),
+    url_filter.HostRule("example.net", "/en/", "allow"),
+    url_filter.HostRule("example.com", "/de/", "block"),
+    url_filter.HostRule("org", "/fr/", "allow"),
+]
+
+
+def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge(table(spark, folder, "pages"), HOST_RULES).drop("pattern")
+
+
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -44,15 +78,50 @@ def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece_codec.digests(table(spark, folder, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard(table(spark, folder, "documents"), 40).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 CORPUS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_secrets": op2_secrets,
+    "op3_url_filter": op3_url_filter,
     "op5_decontamination": op5_decontamination,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_sentencepiece": op9_sentencepiece,
+    "op10_sharding": op10_sharding,
 }
 
+_PATTERNS = " OR ".join(f"regexp_matches(lower(coalesce(url, '')), '{p.expression}')" for p in url_filter.PATTERNS)
+
 CORPUS_ORACLES: dict[str, str] = {
+    "op3_url_filter": rf"""
+        WITH split AS (
+            SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+            FROM pages
+        ), parts AS (
+            SELECT page_id, url,
+                   translate(regexp_extract(rest, '(?s)^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                             'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(rest, '(?s)^[^/?#]*([^?#]*)', 1) AS path
+            FROM split
+        ), ruled AS (
+            SELECT page_id, url, host, path, CASE
+                WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+                WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+                WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+                WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule
+            FROM parts
+        )
+        SELECT page_id, host, path, rule, CASE
+            WHEN rule IN ('example.com/de/', 'net/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+            WHEN {_PATTERNS} THEN 'block' ELSE 'allow' END AS verdict
+        FROM ruled
+    """,
     "op8_exact_dedup": r"""
         SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id IS NOT DISTINCT FROM min(doc_id) OVER same AS kept, text_sha256
