@@ -25,6 +25,15 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: A stored table up to this many narrow rows is broadcast; a larger one is joined by shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """A stored table of a few narrow columns, marked for broadcast if its counted rows allow."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

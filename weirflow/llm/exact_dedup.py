@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import shuffle_width, stored
+from weirflow.llm.common import shuffle_width, small_side, stored
 from weirflow.session import work_folder
 
 
@@ -122,7 +122,7 @@ def without_copies(docs: DataFrame, index: DigestIndex) -> DataFrame:
         "copies",
     )
     return docs.join(
-        copies,
-        docs["doc_id"].eqNullSafe(copies["_copy_id"]) & (digest(docs["text"]) == copies["_copy_digest"]),
+        small_side(copies),
+        docs["doc_id"].eqNullSafe(F.col("_copy_id")) & (digest(docs["text"]) == F.col("_copy_digest")),
         "left_anti",
     )

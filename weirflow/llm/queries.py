@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from weirflow.llm import (
     decontamination,
     exact_dedup,
+    html_template,
     near_dup,
+    quality,
     secrets,
     sentencepiece_codec,
     sharding,
@@ -59,10 +61,22 @@ def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(table(spark, folder, "pages"), HOST_RULES).drop("pattern")
 
 
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    network = quality.fit(docs, table(spark, folder, "labels"), folds=4, held=2)
+    scored = docs.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), quality.score(network).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    texts = html_template.main_texts(table(spark, folder, "pages"))
+    return texts.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
 def op7_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.link(table(spark, folder, "documents"))
 
@@ -89,7 +103,9 @@ CORPUS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_secrets": op2_secrets,
     "op3_url_filter": op3_url_filter,
+    "op4_quality": op4_quality,
     "op5_decontamination": op5_decontamination,
+    "op6_html_extraction": op6_html_extraction,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_sentencepiece": op9_sentencepiece,
