@@ -132,18 +132,60 @@ def test_match_update(spark):
         ("standard_revenue", {"bcworkerid": "B1", "clienterpid": "C2",
                               "standard_revenue_report_month": "other"}),
     )
-    got = {r.activity_id: r for r in merging.merge(
-        later, "match_update", order=ORDER, target=first).collect()}
+    got = {r.activity_id: r for r in merging.match_existing(
+        first, later, ORDER).collect()}
     assert len(got) == 3
     assert (got["1"].job_id, got["1"].job_title) == ("J2", "Dev")
     assert (got["1"].clienterpid, got["1"].standard_revenue_report_month) == ("C1", "own")
     last = changes(spark, ("standard_revenue", {"bcworkerid": "B1",
                                                 "standard_revenue_report_month": "any"}))
-    got = {r.activity_id: r for r in merging.merge(
-        last, "match_update", order=ORDER, target=first).collect()}
+    got = {r.activity_id: r for r in merging.match_existing(
+        first, last, ORDER).collect()}
     assert (got["1"].clienterpid, got["1"].standard_revenue_report_month) == (None, "any")
 
 
+def test_match_update_does_not_depend_on_batches(spark):
+    rows = changes(
+        spark,
+        ("jobs", {"job_id": "J1", "job_title": "Dev"}),
+        ("clients_to_exclude", {"company_name": "Co", "excluded_reason": "Why"}),
+        A("1", job_id="J1", bcworkerid="B1"), A("1", job_id="J2", bcworkerid="B1"), A("2", job_id="J1"),
+        ("standard_revenue", {"bcworkerid": "B1", "clienterpid": "C1"}),
+        ("standard_revenue", {"bcworkerid": "B1", "standard_revenue_report_month": "m"}),
+    )
+    expected = table(merging.merge(rows, "match_update", order=ORDER))
+    assert len(expected) == 2
+    for cut in range(1, 7):
+        early, late = rows.filter(f"ord < {cut}"), rows.filter(f"ord >= {cut}")
+        for kept, batch in ((early, late), (late, early)):
+            target = merging.compact(kept, order=ORDER)
+            assert table(merging.merge(batch, "match_update", order=ORDER, target=target)) == expected
+
+
+@pytest.mark.parametrize("keys", [("activity_id",), COMPOSITE_KEY])
+@pytest.mark.parametrize("mode", [m for m in merging.MODES if m != "append"])
+def test_compaction_loses_nothing(spark, mode, keys):
+    pick = random.Random(11)
+    rows = []
+    for n in range(400):
+        rows.append(pick.choice([
+            A(str(n % 9), job_id=f"J{n % 5}", company_name=f"C{n % 7}", bcworkerid=f"B{n % 4}"),
+            ("clients_to_exclude", {"activity_id": "client_record", "job_id": "client_record",
+                                    "company_name": f"C{n % 7}", "excluded_reason": f"r{n}"}),
+            ("jobs", {"activity_id": f"J{n % 5}", "job_id": f"J{n % 5}", "job_title": f"t{n}"}),
+            ("standard_revenue", {"activity_id": f"B{n % 4}", "bcworkerid": f"B{n % 4}",
+                                  "clienterpid": pick.choice([None, "E1", "E2"]),
+                                  "standard_revenue_report_month": f"m{n}"}),
+        ]))
+    whole = changes(spark, *rows)
+    small = merging.compact(whole, keys, ORDER)
+    assert small.count() < whole.count()
+    assert table(merging.merge(small, mode, keys, ORDER)) == table(merging.merge(whole, mode, keys, ORDER))
+    cut = merging.compact(whole.filter("ord % 3 = 0"), keys, ORDER)
+    later = merging.merge(whole.filter("ord % 3 > 0"), mode, keys, ORDER, target=cut)
+    assert table(later) == table(merging.merge(whole, mode, keys, ORDER))
+
+
 def test_hot_and_missing_keys_are_spread(spark):
     left = spark.range(3000).selectExpr(
         "CAST(id AS STRING) AS pk",
@@ -153,7 +195,7 @@ def test_hot_and_missing_keys_are_spread(spark):
     right = spark.range(60).selectExpr(
         "IF(id = 59, 'hot', CAST(id AS STRING)) AS k", "id AS v"
     )
-    [hot] = hot_keys(left, [("k",)])
+    [hot] = hot_keys(left, [("k",)], share=0.02)
     named = [r.k for r in hot.collect()]
     assert "hot" in named and len(named) <= 50
     joined = spread_join(left, right, ["k"], spread_by="pk", hot=hot)

@@ -11,7 +11,7 @@ def plan(spark, name):
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-BATCH = sorted(n for n in QUERIES if not n.startswith("stream_"))
+BATCH = sorted(n for n in QUERIES if not n.startswith(("stream_", "refresh_", "target_")))
 
 
 @pytest.mark.parametrize("name", BATCH)
@@ -38,3 +38,7 @@ def test_last_change_is_reduced_before_the_shuffle(spark):
 def test_only_used_columns_are_read(spark):
     text = plan(spark, "merge_partial")
     assert "o_orderdate" not in text
+
+
+def test_a_merge_has_one_shuffle(spark):
+    assert plan(spark, "merge_replace_row").count("Exchange") == 1

@@ -7,8 +7,10 @@ from weirflow.operators import mapping, merge as merging
 from weirflow.schema import TARGET_COLUMNS
 from weirflow.session import work_folder
 from weirflow.sinks import (
-    compact_log, log_writer, read_log, read_target, target_row, upsert_statement, write_target,
+    compact_log, log_writer, maintained_row, read_log, read_maintained, read_target, refresh_target,
+    target_row, upsert_statement, write_target,
 )
+from weirflow.sinks.maintained import manifest
 from weirflow.sinks.parquet import changes_by_source
 from weirflow.sources import read_change_files, split_topics, stream_change_files
 from weirflow.streaming import ingest
@@ -64,6 +66,39 @@ def test_stream_equals_batch_and_replay_changes_nothing(spark, topics, tmp_path)
     assert changes_by_source(spark, log)["clients_to_exclude"].count() == 2
 
 
+def test_unfinished_batches_are_not_read(spark, topics, tmp_path):
+    log = str(tmp_path / "log")
+    assert read_log(spark, log).count() == 0
+    run(spark, topics, log, tmp_path, "first", 2)
+    whole = read_log(spark, log, outcome=None).count()
+    [one] = os.listdir(log)
+    os.remove(f"{log}/{one}/batch_id=0/_SUCCESS")  # as if it were being written
+    assert 0 < read_log(spark, log, outcome=None).count() < whole
+
+
+def test_refresh_reads_only_touched_buckets(spark, topics, tmp_path):
+    log, path = str(tmp_path / "log"), str(tmp_path / "target")
+    run(spark, topics, log, tmp_path, "first", 2)
+    batches = refresh_target(spark, log, path)
+    assert batches > 1 and refresh_target(spark, log, path) == 0
+    expected = rows(merging.merge(mapping.changes(read_change_files(spark, topics))))
+    assert rows(read_maintained(spark, path)) == expected
+    before = manifest(spark, path)
+    one = maintained_row(spark, path, {"activity_id": "J3"})
+    assert [r.job_title for r in one.collect()] == ["t38"]
+    assert {name.split("bucket=")[1].split("/")[0] for name in one.inputFiles()} == {
+        str(b) for b in before.versions if f"bucket={b}/" in "".join(one.inputFiles())
+    } and len({name.rsplit("/", 1)[0] for name in one.inputFiles()}) == 1
+    # one more change rewrites its own bucket alone
+    later = read_change_files(spark, topics).filter("value LIKE '%J3%'").limit(1)
+    log_writer(log, "later")(later, 0)
+    assert refresh_target(spark, log, path) == 1
+    after = manifest(spark, path)
+    assert sum(after.versions[b] != before.versions.get(b) for b in after.versions) == 1
+    with pytest.raises(ValueError):
+        refresh_target(spark, log, path, mode="partial")
+
+
 def test_partial_merge_as_a_stateful_stream(spark, topics):
     stream = mapping.changes(stream_change_files(spark, topics, 2), literals=False)
     query = (
@@ -78,12 +113,14 @@ def test_partial_merge_as_a_stateful_stream(spark, topics):
 def test_target_buckets(spark, topics, tmp_path):
     merged = merging.merge(mapping.changes(read_change_files(spark, topics)))
     path = str(tmp_path / "target")
-    write_target(merged, path)
+    write_target(merged, path, buckets=64)
     assert rows(read_target(spark, path)) == rows(merged)
     one = target_row(spark, path, {"activity_id": "J3"})
     assert [r.job_title for r in one.collect()] == ["t38"]
     assert len(one.inputFiles()) >= 1
     assert "PartitionFilters: [isnotnull(bucket" in one._jdf.queryExecution().toString()
+    with pytest.raises(ValueError):
+        target_row(spark, path, {"activity_id": "J3", "job_id": "J3"})
     assert all(name.startswith(("bucket=", "_", ".")) for name in os.listdir(path))
 
 

@@ -1,9 +1,10 @@
 """Merging changes into the keyed target.
 
 ``changes`` are sink rows: the target's columns, ``source_table`` and the
-columns that order them. Every rule is a function of the *set* of changes, so
-replaying, reordering or re-batching a feed gives the same table, and a merged
-or compacted result can be merged again with later changes.
+columns that order them. Every rule of :func:`merge` is a function of the *set*
+of changes, so replaying, reordering or re-batching a feed gives the same table,
+and compacted changes can be merged again with later ones. :func:`match_existing`
+alone updates a table whose changes are no longer at hand; it depends on batches.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from weirflow.operators.mapping import ORDER
 from weirflow.operators.skew import hot_keys, spread_join
-from weirflow.schema import SOURCES, TARGET_COLUMNS, TARGET_KEY
+from weirflow.schema import COMPOSITE_KEY, SOURCES, TARGET_COLUMNS, TARGET_KEY
 
 MODES = ("append", "replace_row", "full_row", "partial", "match_update")
 
@@ -35,12 +36,27 @@ def last_per_key(
     )
 
 
+# Columns by which some rule tells rows of one source apart: the key columns of
+# both key sets and the matching keys.
+TOLD_APART = tuple(dict.fromkeys(
+    [*COMPOSITE_KEY, *(c for s in SOURCES.values() for c in s.match_on)]
+))
+
+
 def compact(
     changes: DataFrame, keys: Sequence[str] = TARGET_KEY, order: Sequence[str] = ORDER
 ) -> DataFrame:
-    """Drop changes that no merge rule but ``append`` can see: only the last
-    one per key and source matters. The result is a set of changes again."""
-    return last_per_key(changes, [*keys, "source_table"], order)
+    """Drop changes that no merge rule but ``append`` can see.
+
+    Rules look at the last change per key, per source and per matching key, with
+    or without a client. Each of those is the last of its own combination of
+    source, key columns and matching columns, of which all are kept here. Other
+    key columns than the two key sets must be named in ``keys``. The result is a
+    set of changes again.
+    """
+    return last_per_key(
+        changes, ["source_table", *dict.fromkeys([*keys, *TOLD_APART])], order
+    )
 
 
 def append(changes: DataFrame) -> DataFrame:
@@ -152,24 +168,13 @@ def _last_revenue(
     )
 
 
-def match_update(
-    changes: Changes, target: DataFrame | None = None, order: Sequence[str] = ORDER
+def _matched(
+    rows: DataFrame, changes: Changes, order: Sequence[str], by_client: bool
 ) -> DataFrame:
-    """A change updates every row that has its matching key; only activity
-    changes add rows.
-
-    Matching looks at the rows as they are after the activity changes of this
-    batch, and the last matching change of each source wins. A revenue change
-    matches on the worker, and on the client only where both sides have one.
-
-    ``changes`` are mapped with ``literals=False``, so that no placeholder takes
-    part in the matching. Give them per source where the feeds are separate:
-    each is then read once.
-    """
-    rows = _merge_activity(target, changes, order)
+    """``rows`` with the last matching change of each other source applied."""
     pair = ("bcworkerid", "clienterpid")
     key_sets = [("job_id",), ("company_name",), ("bcworkerid",)]
-    if target is not None:
+    if by_client:
         key_sets.append(pair)
     hot = dict(zip(key_sets, hot_keys(rows, key_sets)))
 
@@ -182,7 +187,7 @@ def match_update(
     rows = _overwrite(joined(rows, clients, "company_name"), ("excluded_reason",))
     rows = joined(rows, _last_revenue(changes, ["bcworkerid"], order), "bcworkerid")
     change = "any_client"
-    if target is not None:
+    if by_client:
         same = _last_revenue(changes, pair, order).selectExpr(*pair, "any_client AS same_client")
         rows = joined(rows, same, *pair)
         change = (
@@ -195,6 +200,44 @@ def match_update(
     return _overwrite(rows.withColumn("change", F.expr(change)), revenue)
 
 
+def match_update(changes: Changes, order: Sequence[str] = ORDER) -> DataFrame:
+    """A change updates every row that has its matching key; only activity
+    changes add rows.
+
+    Rows are those of the last activity changes, and the last matching change of
+    each other source wins, whichever of the two came first. No activity change
+    carries a client, so by the set of changes alone a revenue change matches on
+    the worker.
+
+    ``changes`` are mapped with ``literals=False``, so that no placeholder takes
+    part in the matching. Give them per source where the feeds are separate:
+    each is then read once.
+    """
+    return _matched(_merge_activity(None, changes, order), changes, order, by_client=False)
+
+
+def match_existing(
+    table: DataFrame, changes: Changes, order: Sequence[str] = ORDER
+) -> DataFrame:
+    """A merged table after one batch of ``changes``, for where the changes that
+    made it are gone.
+
+    Matching looks at the rows as they are after the batch's activity changes. A
+    revenue change matches on the worker, and on the client only where both the
+    row and the change have one. What an earlier batch could not match is lost.
+    """
+    return _matched(_merge_activity(table, changes, order), changes, order, by_client=True)
+
+
+def _with_earlier(changes: Changes, earlier: DataFrame) -> Changes:
+    if not isinstance(changes, Mapping):
+        return earlier.unionByName(changes)
+    return {
+        name: earlier.filter(F.col("source_table") == name).unionByName(rows)
+        for name, rows in changes.items()
+    }
+
+
 def merge(
     changes: Changes,
     mode: str = "replace_row",
@@ -204,16 +247,15 @@ def merge(
 ) -> DataFrame:
     """The target after ``changes``, under one of :data:`MODES`.
 
-    ``target`` is an earlier state: for ``match_update`` a merged table, for
-    the other modes the changes kept so far (see :func:`compact`).
+    ``target`` are the changes kept so far (see :func:`compact`).
     ``full_row`` is ``replace_row`` over rows mapped with ``sink="full_row"``.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
-    if mode == "match_update":
-        return match_update(changes, target, order)
     if target is not None:
-        changes = target.unionByName(changes)
+        changes = _with_earlier(changes, target)
+    if mode == "match_update":
+        return match_update(changes, order)
     if mode == "append":
         return append(changes)
     if mode == "partial":

@@ -6,24 +6,27 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-# A key with at least this share of the left rows counts as hot. At most
-# 1 / HOT_SHARE keys can, which bounds the broadcast of hot keys.
-HOT_SHARE = 0.02
-# Parts that a hot key's rows are spread over.
-SPREAD = 64
+# The frequent-item sketch takes no smaller share than this.
+LEAST_SHARE = 1e-4
+
+
+def shuffle_partitions(rows: DataFrame) -> int:
+    return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def hot_keys(
-    rows: DataFrame, key_sets: Sequence[Sequence[str]], share: float = HOT_SHARE
+    rows: DataFrame, key_sets: Sequence[Sequence[str]], share: float | None = None
 ) -> list[DataFrame]:
     """For each set of key columns, the keys that may hold at least ``share`` of
     ``rows``: none of those is missed, a few others may be named, and there are
-    never more than ``len(key_sets) / share``.
+    never more than ``len(key_sets) / share``. By default a key is hot if it has
+    more than one shuffle partition's share of the rows.
 
     One pass for all sets, and no shuffle of the rows. The filter is always
     true; it reads every column, so that a shuffle that made ``rows`` has the
     same columns here as where the rows are used and is run once for both.
     """
+    share = max(share or 1 / shuffle_partitions(rows), LEAST_SHARE * len(key_sets))
     named = [
         f"IF({' AND '.join(f'{k} IS NOT NULL' for k in keys)}, "
         f"concat('{i}', to_json(struct({', '.join(keys)}))), NULL)"
@@ -51,15 +54,16 @@ def spread_join(
     keys: Sequence[str],
     spread_by: str,
     hot: DataFrame,
-    parts: int = SPREAD,
+    parts: int | None = None,
 ) -> DataFrame:
     """Left join with ``right``, which has one row per key.
 
     Rows of a key in ``hot`` (see :func:`hot_keys`) are spread over ``parts``
-    shuffle keys and its one right row is copied to each; rows without a key,
+    shuffle keys, by default one for each shuffle partition, and its one right row is copied to each; rows without a key,
     which match nothing, are spread over all tasks. The result does not depend
     on which keys are taken as hot.
     """
+    parts = parts or shuffle_partitions(left)
     hot = F.broadcast(hot.selectExpr("*", "true AS __hot"))
     no_key = " OR ".join(f"{k} IS NULL" for k in keys)
     salted = left.join(hot, list(keys), "left").selectExpr(

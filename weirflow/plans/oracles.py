@@ -342,6 +342,21 @@ LEFT JOIN last_job j ON a.job_id = j.job_id
 LEFT JOIN last_client x ON a.company_name = x.company_name
 LEFT JOIN last_revenue r ON a.bcworkerid = r.bcworkerid""")
 
+ORACLES["compact_match_update"] = ORACLES["match_update_two_batches"] = ORACLES["merge_match_update"]
+ORACLES["compact_composite"] = ORACLES["merge_replace_row_composite"]
+ORACLES["refresh_replace_row"] = ORACLES["merge_replace_row"]
+ORACLES["refresh_partial"] = ORACLES["merge_partial"]
+
+_add("target_delete_then_refresh", f"""
+, gone AS (
+  SELECT activity_id AS key, max(ord) AS until FROM stored
+  WHERE ord % 2 = 0 AND (activity_id LIKE 'JOB_1%' OR activity_id LIKE 'client_%' OR activity_id LIKE '1%')
+  GROUP BY activity_id
+)
+SELECT {COLUMNS} FROM stored LEFT JOIN gone ON activity_id = key
+WHERE until IS NULL OR ord > until
+QUALIFY row_number() OVER (PARTITION BY activity_id ORDER BY ord DESC) = 1""")
+
 _add("target_point_lookup", f"SELECT {COLUMNS} FROM merged WHERE activity_id = '101'")
 _add("target_count", "SELECT count(*) AS total_records FROM merged")
 _add("target_like_count", """

@@ -12,7 +12,16 @@ from weirflow.operators import mapping, merge as merging, target
 from weirflow.operators.envelope import image_select as select_images, parse_envelope, passthrough
 from weirflow.schema import COMPOSITE_KEY, SOURCES, TARGET_COLUMNS
 from weirflow.session import work_folder
-from weirflow.sinks.parquet import compact_log, read_log
+from weirflow.sinks import (
+    compact_log,
+    delete_maintained,
+    read_log,
+    read_maintained,
+    read_target,
+    refresh_target,
+    target_row,
+    write_target,
+)
 from weirflow.sources import (
     activity_feed,
     change_feed,
@@ -23,7 +32,6 @@ from weirflow.sources import (
     read_table,
     revenue_feed,
     split_topics,
-    spread,
     stream_change_files,
     unmapped_feed,
     wide_rows_feed,
@@ -52,7 +60,7 @@ KEYS = {
 
 
 def _rows(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spread(read_table(spark, sf, name), KEYS[name])
+    return read_table(spark, sf, name)
 
 
 def _feed(spark: SparkSession, sf: str) -> DataFrame:
@@ -75,6 +83,17 @@ def _target(spark: SparkSession, sf: str) -> DataFrame:
     return merging.merge(mapping.changes(_feed(spark, sf)), "replace_row")
 
 
+def _stored_target(spark: SparkSession, sf: str) -> str:
+    """The merged table, written; its path."""
+    path = work_folder(spark, "target")
+    write_target(_target(spark, sf), path)
+    return path
+
+
+def _read_back(spark: SparkSession, sf: str) -> DataFrame:
+    return read_target(spark, _stored_target(spark, sf))
+
+
 # --- sources -----------------------------------------------------------------
 
 
@@ -287,34 +306,60 @@ def merge_match_update(spark: SparkSession, sf: str) -> DataFrame:
     return merging.merge(changes, "match_update")
 
 
+@query
+def compact_match_update(spark: SparkSession, sf: str) -> DataFrame:
+    changes = mapping.changes(_feed(spark, sf), literals=False)
+    return merging.merge(merging.compact(changes), "match_update")
+
+
+@query
+def compact_composite(spark: SparkSession, sf: str) -> DataFrame:
+    changes = merging.compact(mapping.changes(_feed(spark, sf)))
+    return merging.merge(changes, "replace_row", keys=COMPOSITE_KEY)
+
+
+@query
+def match_update_two_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """What changes match comes before and after what they match on."""
+    earlier = None
+    for names in (["jobs", "clients_to_exclude"], ["job_activity"], ["standard_revenue"]):
+        batch = reduce(DataFrame.unionByName, [
+            mapping.changes(SOURCE_FEEDS[name](spark, sf), literals=False, sources=[name])
+            for name in names
+        ])
+        if names == ["standard_revenue"]:
+            return merging.merge(batch, "match_update", target=earlier)
+        earlier = merging.compact(batch if earlier is None else earlier.unionByName(batch))
+
+
 # --- reading and editing the target -------------------------------------------
 
 
 @query
 def target_point_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    return target.lookup(_target(spark, sf), "101")
+    return target_row(spark, _stored_target(spark, sf), {"activity_id": "101"})
 
 
 @query
 def target_count(spark: SparkSession, sf: str) -> DataFrame:
-    return target.count(_target(spark, sf))
+    return target.count(_read_back(spark, sf))
 
 
 @query
 def target_like_count(spark: SparkSession, sf: str) -> DataFrame:
     where = target.like_any(["JOB_1%", "BC_%", "client_%", "12_"])
-    return target.count(_target(spark, sf), where)
+    return target.count(_read_back(spark, sf), where)
 
 
 @query
 def target_in_list(spark: SparkSession, sf: str) -> DataFrame:
     ids = ["101", "JOB_12", "BC7", "client_record"]
-    return target.report(_target(spark, sf), ids, "test_record")
+    return target.report(_read_back(spark, sf), ids, "test_record")
 
 
 @query
 def target_sample(spark: SparkSession, sf: str) -> DataFrame:
-    return target.sample(_target(spark, sf))
+    return target.sample(_read_back(spark, sf))
 
 
 @query
@@ -325,7 +370,7 @@ def target_delete_where(spark: SparkSession, sf: str) -> DataFrame:
         | target.in_list(["1", "2", "3"])
         | (F.col("company_name") == "CLIENT_7")
     )
-    return target.delete_where(_target(spark, sf), where)
+    return target.delete_where(_read_back(spark, sf), where)
 
 
 # Literal rows, in insertion order; each names a subset of the target's columns.
@@ -359,7 +404,7 @@ def _stored(feed: DataFrame, spark: SparkSession) -> str:
 
 
 def _ingested(
-    spark: SparkSession, topics: str, log: str, literals: bool = True, files: int = 16
+    spark: SparkSession, topics: str, log: str, literals: bool = True, files: int | None = None
 ) -> DataFrame:
     feed = stream_change_files(spark, topics, files_per_batch=files)
     run = ingest(
@@ -383,8 +428,9 @@ def stream_replay_idempotent(spark: SparkSession, sf: str) -> DataFrame:
     log is compacted before it is merged."""
     topics = _stored(_feed(spark, sf), spark)
     log, compacted = work_folder(spark, "log"), work_folder(spark, "log")
-    _ingested(spark, topics, log, files=12)
-    _ingested(spark, topics, log, files=20)
+    cores = spark.sparkContext.defaultParallelism
+    _ingested(spark, topics, log, files=cores)
+    _ingested(spark, topics, log, files=2 * cores)
     compact_log(spark, log, compacted)
     return merging.merge(read_log(spark, compacted), "replace_row")
 
@@ -393,10 +439,49 @@ def stream_replay_idempotent(spark: SparkSession, sf: str) -> DataFrame:
 def stream_partial(spark: SparkSession, sf: str) -> DataFrame:
     feed = keyed_by_customer_feed(_rows(spark, sf, "orders"))
     topics = _stored(feed, spark)
-    changes = _ingested(spark, topics, work_folder(spark, "log"), literals=False, files=3)
+    changes = _ingested(spark, topics, work_folder(spark, "log"), literals=False)
     return merging.merge(changes, "partial")
 
 
+def _halves(feed: DataFrame, spark: SparkSession) -> tuple[str, str]:
+    """The feed as two stored parts, in which keys have changes in both."""
+    return tuple(_stored(feed.filter(f"offset % 2 = {half}"), spark) for half in (0, 1))
+
+
+def _refreshed(spark: SparkSession, feed: DataFrame, mode: str, literals: bool) -> DataFrame:
+    first, second = _halves(feed, spark)
+    log, path = work_folder(spark, "log"), work_folder(spark, "maintained")
+    for topics in (second, first, second):  # the later half comes first, and again
+        _ingested(spark, topics, log, literals)
+        refresh_target(spark, log, path, mode)
+    return read_maintained(spark, path)
+
+
+@query
+def refresh_replace_row(spark: SparkSession, sf: str) -> DataFrame:
+    return _refreshed(spark, _feed(spark, sf), "replace_row", True)
+
+
+@query
+def refresh_partial(spark: SparkSession, sf: str) -> DataFrame:
+    feed = keyed_by_customer_feed(_rows(spark, sf, "orders"))
+    return _refreshed(spark, feed, "partial", False)
+
+
+@query
+def target_delete_then_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """Deleted rows stay away after a replay; later changes of their keys come back."""
+    first, second = _halves(_feed(spark, sf), spark)
+    log, path = work_folder(spark, "log"), work_folder(spark, "maintained")
+    _ingested(spark, first, log)
+    refresh_target(spark, log, path)
+    delete_maintained(spark, path, target.like_any(["JOB_1%", "client_%", "1%"]))
+    for topics in (first, second):
+        _ingested(spark, topics, log)
+        refresh_target(spark, log, path)
+    return read_maintained(spark, path)
+
+
 # --- generated events --------------------------------------------------------
 
 

@@ -1,4 +1,10 @@
 from weirflow.sinks.jdbc import upsert_statement, write_jdbc
+from weirflow.sinks.maintained import (
+    delete_maintained,
+    maintained_row,
+    read_maintained,
+    refresh_target,
+)
 from weirflow.sinks.parquet import (
     compact_log,
     log_writer,
@@ -10,9 +16,13 @@ from weirflow.sinks.parquet import (
 
 __all__ = [
     "compact_log",
+    "delete_maintained",
     "log_writer",
+    "maintained_row",
     "read_log",
+    "read_maintained",
     "read_target",
+    "refresh_target",
     "target_row",
     "upsert_statement",
     "write_jdbc",

@@ -29,6 +29,8 @@ def write_jdbc(
     """
     (
         rows.select(*TARGET_COLUMNS)
+        # a shuffle of its own: only the write is as narrow as the connections
+        .repartition(connections)
         .write.format("jdbc")
         .mode(mode)
         .option("url", url)

@@ -56,15 +56,37 @@ def log_writer(
     return write
 
 
+def found_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern, in any store Spark can read."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(str(status.getPath()) for status in store.globStatus(path) or [])
+
+
+def finished_batches(spark: SparkSession, log: str) -> dict[tuple[str, int], str]:
+    """Folder of each batch that is written in full: its success marker comes last."""
+    folders = [p.removesuffix("/_SUCCESS") for p in found_paths(spark, f"{log}/run=*/batch_id=*/_SUCCESS")]
+    found = {}
+    for folder in folders:
+        run, batch = folder.rsplit("/", 2)[1:]
+        found[run.removeprefix("run="), int(batch.removeprefix("batch_id="))] = folder
+    return found
+
+
 def read_log(
     spark: SparkSession,
     log: str,
     sources: Sequence[str] | None = None,
     outcome: str | None = ACCEPTED,
+    batches: Sequence[tuple[str, int]] | None = None,
 ) -> DataFrame:
-    """Changes kept in a log. Only the folders of the named sources and of the
-    outcome are read (``outcome=None``: of all)."""
-    rows = spark.read.schema(LOG_SCHEMA).option("basePath", log).parquet(log)
+    """Changes kept in a log, of finished batches only. Only the folders of the
+    named sources, batches and of the outcome are read (``outcome=None``: of all)."""
+    finished = finished_batches(spark, log)
+    folders = [finished[b] for b in (finished if batches is None else batches)]
+    if not folders:
+        return spark.createDataFrame([], LOG_SCHEMA)
+    rows = spark.read.schema(LOG_SCHEMA).option("basePath", log).parquet(*folders)
     if outcome is not None:
         rows = rows.filter(F.col("outcome") == outcome)
     if sources is not None:
@@ -84,8 +106,8 @@ def compact_log(
     keys: Sequence[str] = TARGET_KEY,
     order: Sequence[str] = ORDER,
 ) -> None:
-    """Write the accepted changes that still matter as a new log: the last one
-    per key and source. Merging the new log gives what merging the old one
+    """Write the accepted changes that still matter as a new log (see
+    :func:`~weirflow.operators.merge.compact`). Merging the new log gives what merging the old one
     does; later changes can be merged on top of it."""
     (
         compact(read_log(spark, log), keys, order)
@@ -102,14 +124,22 @@ def _bucket(keys: Sequence[str], buckets: int):
     return F.pmod(F.hash(*keys), F.lit(buckets))
 
 
+SPEC = T.StructType([
+    T.StructField("keys", T.ArrayType(T.StringType())), T.StructField("buckets", T.IntegerType()),
+])
+
+
 def write_target(
     rows: DataFrame, path: str, keys: Sequence[str] = TARGET_KEY, buckets: int = BUCKETS
 ) -> None:
     """Write a merged table, hash-distributed over bucket folders by its key.
 
-    No shuffle is added to that of the merge. Write each version to a path of
-    its own and switch readers afterwards.
+    No shuffle is added to that of the merge. Key columns and bucket count are
+    kept beside the table, for readers. Write each version to a path of its own
+    and switch readers afterwards.
     """
+    spark = rows.sparkSession
+    spark.createDataFrame([(list(keys), buckets)], SPEC).write.mode("overwrite").parquet(f"{path}.spec")
     (
         rows.withColumn("bucket", _bucket(keys, buckets))
         .write.mode("overwrite")
@@ -118,25 +148,25 @@ def write_target(
     )
 
 
-def read_target(spark: SparkSession, path: str) -> DataFrame:
+def _read_bucketed(spark: SparkSession, path: str) -> DataFrame:
     fields = [T.StructField(c, target_type(c)) for c in TARGET_COLUMNS]
     schema = T.StructType([*fields, T.StructField("bucket", T.IntegerType())])
-    return spark.read.schema(schema).parquet(path).select(*TARGET_COLUMNS)
+    return spark.read.schema(schema).parquet(path)
 
 
-def target_row(
-    spark: SparkSession,
-    path: str,
-    key: dict[str, str],
-    buckets: int = BUCKETS,
-) -> DataFrame:
-    """The rows of one key, given as all key columns in table order. Only its
-    bucket's folder is read."""
-    fields = [T.StructField(c, target_type(c)) for c in TARGET_COLUMNS]
-    schema = T.StructType([*fields, T.StructField("bucket", T.IntegerType())])
-    rows = spark.read.schema(schema).parquet(path)
-    bucket = F.pmod(F.hash(*[F.lit(v) for v in key.values()]), F.lit(buckets))
-    rows = rows.filter(F.col("bucket") == bucket)
+def read_target(spark: SparkSession, path: str) -> DataFrame:
+    return _read_bucketed(spark, path).select(*TARGET_COLUMNS)
+
+
+def target_row(spark: SparkSession, path: str, key: dict[str, str]) -> DataFrame:
+    """The rows of one key, given as all key columns. Only its bucket's folder is
+    read; the table itself tells its key columns and bucket count."""
+    spec = spark.read.schema(SPEC).parquet(f"{path}.spec").first()
+    if set(key) != set(spec["keys"]):
+        raise ValueError(f"the key columns of this table are {spec['keys']}, not {list(key)}")
+    values = [F.lit(key[c]) for c in spec["keys"]]
+    rows = _read_bucketed(spark, path)
+    rows = rows.filter(F.col("bucket") == F.pmod(F.hash(*values), F.lit(spec["buckets"])))
     for column, value in key.items():
-        rows = rows.filter(F.col(column) == value)
+        rows = rows.filter(F.col(column).eqNullSafe(value))
     return rows.select(*TARGET_COLUMNS)

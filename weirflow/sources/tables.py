@@ -9,15 +9,6 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(rows: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores, where the files have fewer splits than that; a
-    table of enough splits is left as it is."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() >= cores:
-        return rows
-    return rows.repartition(cores, key)
-
-
 def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """The same table as a stream of its files."""
     schema = read_table(spark, folder, name).schema

@@ -69,11 +69,22 @@ def read_change_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TOPIC_SCHEMA).parquet(path)
 
 
+# Files of a micro-batch for each core of the cluster.
+FILES_PER_CORE = 4
+
+
 def stream_change_files(
-    spark: SparkSession, path: str, files_per_batch: int | None = None
+    spark: SparkSession,
+    path: str,
+    files_per_batch: int | None = None,
+    bytes_per_batch: str | None = None,
 ) -> DataFrame:
-    """A stored feed as a stream of its files."""
+    """A stored feed as a stream of its files, by default with a few files for
+    each core in a batch. Give ``bytes_per_batch`` where file sizes vary."""
     reader = spark.readStream.schema(TOPIC_SCHEMA)
-    if files_per_batch is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if bytes_per_batch is not None:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
+    else:
+        files = files_per_batch or FILES_PER_CORE * spark.sparkContext.defaultParallelism
+        reader = reader.option("maxFilesPerTrigger", files)
     return reader.parquet(path)
