@@ -11,7 +11,7 @@ def plan(spark, name):
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-BATCH = sorted(n for n in QUERIES if not n.startswith(("stream_", "refresh_", "target_")))
+BATCH = sorted(n for n in QUERIES if not n.startswith(("stream_", "refresh_", "target_", "ingest_")))
 
 
 @pytest.mark.parametrize("name", BATCH)

@@ -241,14 +241,23 @@ def to_full_row(mapped: DataFrame) -> DataFrame:
     return mapped.withColumn("reason", F.expr(reason))
 
 
-def audited_rows(feed: DataFrame, sink: str = "selective", literals: bool = True) -> DataFrame:
+def _events(feed: DataFrame, event_time: bool) -> DataFrame:
+    """Parsed events, on request with the time their source wrote them, ``ts_ms``,
+    to be used as the first order column."""
+    events = parse_envelope(feed)
+    return events.withColumn("ts_ms", F.col("event.ts_ms")) if event_time else events
+
+
+def audited_rows(
+    feed: DataFrame, sink: str = "selective", literals: bool = True, event_time: bool = False
+) -> DataFrame:
     """One row per event of the feed: its target columns, and ``reason`` where
     it does not reach the target."""
-    return _sink_rows(feed, parse_envelope(feed), sink, literals, SOURCE_NAMES)
+    return _sink_rows(_events(feed, event_time), sink, literals, SOURCE_NAMES)
 
 
 def _sink_rows(
-    feed: DataFrame, events: DataFrame, sink: str, literals: bool, sources: Sequence[str]
+    events: DataFrame, sink: str, literals: bool, sources: Sequence[str]
 ) -> DataFrame:
     if sink == "selective":
         rows = to_sink(map_events(events, sources=sources), literals, sources)
@@ -256,7 +265,7 @@ def _sink_rows(
         rows = to_full_row(map_events(events, bind="all"))
     else:
         raise ValueError(f"sink must be 'selective' or 'full_row', not {sink!r}")
-    kept = [c for c in feed.columns if c != "value"]
+    kept = [c for c in events.columns if c not in ("value", "event")]
     return rows.select(*kept, "source_table", "reason", *TARGET_COLUMNS)
 
 
@@ -265,13 +274,15 @@ def changes(
     sink: str = "selective",
     literals: bool = True,
     sources: Sequence[str] = SOURCE_NAMES,
+    event_time: bool = False,
 ) -> DataFrame:
     """The rows of a feed that reach the target, in no particular order; with
-    the selective sink only those of ``sources``."""
-    events = usable(parse_envelope(feed))
+    the selective sink only those of ``sources``. With ``event_time`` they carry
+    ``ts_ms``; merge them with ``order=("ts_ms", *ORDER)``."""
+    events = usable(_events(feed, event_time))
     if sink == "selective":
         events = events.filter(F.col("event.source_table").isin(*sources))
-    return accepted(_sink_rows(feed, events, sink, literals, sources))
+    return accepted(_sink_rows(events, sink, literals, sources))
 
 
 def accepted(rows: DataFrame) -> DataFrame:

@@ -297,6 +297,11 @@ _add("merge_replace_row_composite", f"""
 SELECT {COLUMNS} FROM stored
 QUALIFY row_number() OVER (PARTITION BY {', '.join(COMPOSITE_KEY)} ORDER BY ord DESC) = 1""")
 
+_add("merge_replace_row_by_ts", f"""
+SELECT {COLUMNS} FROM stored
+QUALIFY row_number() OVER (PARTITION BY activity_id ORDER BY ord) = 1""")
+ORACLES["ingest_metrics"] = ORACLES["drop_audit"]
+
 ORACLES["merge_partial"] = f"""
 WITH latest AS (
   SELECT * FROM orders

@@ -17,6 +17,7 @@ from weirflow.sinks import (
     delete_maintained,
     read_log,
     read_maintained,
+    read_metrics,
     read_target,
     refresh_target,
     target_row,
@@ -291,6 +292,14 @@ def merge_replace_row_composite(spark: SparkSession, sf: str) -> DataFrame:
     return merging.merge(changes, "replace_row", keys=COMPOSITE_KEY)
 
 
+@query
+def merge_replace_row_by_ts(spark: SparkSession, sf: str) -> DataFrame:
+    """Ordered by the time of the source, which here runs against the offsets."""
+    feed = _feed(spark, sf).withColumn("value", F.regexp_replace("value", '"ts_ms":', '"ts_ms":-'))
+    changes = mapping.changes(feed, event_time=True)
+    return merging.merge(changes, "replace_row", order=("ts_ms", *mapping.ORDER))
+
+
 @query
 def merge_partial(spark: SparkSession, sf: str) -> DataFrame:
     feed = keyed_by_customer_feed(_rows(spark, sf, "orders"))
@@ -422,6 +431,15 @@ def stream_replace_row(spark: SparkSession, sf: str) -> DataFrame:
     return merging.merge(changes, "replace_row")
 
 
+@query
+def ingest_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Events per outcome as the ingest counted them while it wrote the log."""
+    feed = _feed(spark, sf).unionByName(_wide_feed(spark, sf))
+    log = work_folder(spark, "log")
+    _ingested(spark, _stored(feed, spark), log)
+    return read_metrics(spark, log).groupBy("reason").agg(F.sum("events").cast("bigint").alias("events"))
+
+
 @query
 def stream_replay_idempotent(spark: SparkSession, sf: str) -> DataFrame:
     """The feed is worked off twice, in different batches, into one log; the

@@ -9,6 +9,7 @@ from weirflow.sinks.parquet import (
     compact_log,
     log_writer,
     read_log,
+    read_metrics,
     read_target,
     target_row,
     write_target,
@@ -21,6 +22,7 @@ __all__ = [
     "maintained_row",
     "read_log",
     "read_maintained",
+    "read_metrics",
     "read_target",
     "refresh_target",
     "target_row",

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from weirflow.operators.mapping import ORDER, audited_rows
 from weirflow.operators.merge import compact
 from weirflow.schema import SOURCE_NAMES, TARGET_COLUMNS, TARGET_KEY, target_type
 
 ACCEPTED = "accepted"
+OUTCOMES = (
+    ACCEPTED, "parse_error", "delete", "no_image", "no_table", "empty_image",
+    "unknown_table", "bad_value", "null_key",
+)
+METRICS = "reason STRING, events BIGINT, seconds DOUBLE"
 
 LOG_SCHEMA = T.StructType([
     T.StructField("topic", T.StringType()),
@@ -18,6 +24,7 @@ LOG_SCHEMA = T.StructType([
     T.StructField("offset", T.LongType()),
     T.StructField("timestamp", T.TimestampType()),
     T.StructField("value", T.StringType()),
+    T.StructField("ts_ms", T.LongType()),
     *[T.StructField(c, target_type(c)) for c in TARGET_COLUMNS],
     T.StructField("run", T.StringType()),
     T.StructField("batch_id", T.LongType()),
@@ -42,20 +49,36 @@ def log_writer(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         text = batch.withColumn("text", F.col("value"))
-        rows = audited_rows(text, sink, literals)
+        rows = audited_rows(text, sink, literals, event_time=True)
         outcome = F.coalesce(F.col("reason"), F.lit(ACCEPTED))
+        seen = Observation()
+        counts = [F.count_if(F.col("outcome") == o).alias(o) for o in OUTCOMES]
+        started = time.time()
         (
             rows.withColumn("outcome", outcome)
+            .observe(seen, F.count("*").alias("events"), *counts)
             .withColumn("value", F.when(F.col("reason").isNotNull(), F.col("text")))
             .select([c for c in LOG_SCHEMA.names if c not in ("run", "batch_id")])
             .write.mode("overwrite")
             .partitionBy("outcome", "source_table")
             .parquet(f"{log}/run={run}/batch_id={batch_id}")
         )
+        counted = seen.get
+        seconds = time.time() - started
+        metrics = [(o, int(counted[o]), seconds) for o in OUTCOMES if counted[o]]
+        (
+            batch.sparkSession.createDataFrame(metrics, METRICS).coalesce(1)
+            .write.mode("overwrite").parquet(f"{log}/_metrics/run={run}/batch_id={batch_id}")
+        )
 
     return write
 
 
+def read_metrics(spark: SparkSession, log: str) -> DataFrame:
+    """Events per outcome and seconds of each batch, counted while it was written."""
+    return spark.read.schema(METRICS).option("basePath", f"{log}/_metrics").parquet(f"{log}/_metrics/run=*")
+
+
 def found_paths(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match a pattern, in any store Spark can read."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
