@@ -7,8 +7,9 @@ differ in at most ``d`` segments. A similarity of 0.8 bounds ``d`` by a quarter
 smaller set's size, so by the pigeonhole principle the first ``d + 1`` segments of each,
 in one fixed order of all (filled ones first), have one in common. Those are the join
 keys. A larger document also takes part in the band below if it is within a quarter of
-it. Candidates whose 256-bit parity sketches differ in more bits than ``d`` are dropped
-(each differing shingle flips one bit), the others are verified on whole shingle sets.
+it. Candidates whose parity sketches differ in more bits than ``d`` are dropped (each
+differing shingle flips one bit): a first sketch of 256 bits, then one of two bits or more
+for each shingle. The others are verified on whole shingle sets.
 
 Linking needs no pair list. In a first round each member of a key's group is compared
 with the smallest member; the links give components. In a second round only members of
@@ -32,10 +33,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import shuffle_width, stored
+from weirflow.llm.common import shuffle_width, small_side, stored
 
 WORDS = 5
 NUMERATOR, DENOMINATOR = 4, 5  # the similarity that links, 0.8
@@ -84,7 +85,16 @@ def shingles(text: str | None) -> np.ndarray:
 def parity_sketch(hashes: np.ndarray) -> np.ndarray:
     """256 bits as four integers, each bit the parity of the number of shingles that fall on it."""
     counts = np.bincount((hashes & np.uint64(255)).astype(np.int64), minlength=256)
-    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def full_sketch(hashes: np.ndarray) -> np.ndarray:
+    """The same with at least two bits for each shingle, a power of two; halves fold into the smaller size."""
+    bits = 256
+    while bits < 2 * len(hashes):
+        bits *= 2
+    counts = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view(np.int64)
 
 
 def band_of(size: int) -> int:
@@ -138,6 +148,12 @@ def join_keys(hashes: np.ndarray) -> np.ndarray:
     return np.concatenate(keys)
 
 
+def lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    flat = np.concatenate(arrays) if arrays else np.empty(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int64()))
+
+
 def profiles(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_shingles, set_id (equal for equal sets), sketch and join keys."""
 
@@ -145,28 +161,28 @@ def profiles(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, 1000):
                 part = batch.slice(start, 1000)
-                sizes, ids, sketches, keys = [], [], [], []
+                sizes, ids, sketches, full, keys = [], [], [], [], []
                 for text in part.column(1).to_pylist():
                     own = shingles(text)
                     sizes.append(len(own))
                     ids.append(hashlib.blake2b(own.tobytes(), digest_size=12).digest())
                     sketches.append(parity_sketch(own))
+                    full.append(full_sketch(own))
                     keys.append(join_keys(own).view(np.int64))
-                offsets = np.cumsum([0, *map(len, keys)]).astype(np.int32)
-                flat = np.concatenate(keys) if keys else np.empty(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
                         pa.array(sizes, pa.int64()),
                         pa.array(ids, pa.binary()),
                         *(pa.array(s, pa.int64()) for s in np.array(sketches, np.int64).reshape(-1, 4).T),
-                        pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int64())),
+                        lists(full),
+                        lists(keys),
                     ],
-                    ["doc_id", "n_shingles", "set_id", "s0", "s1", "s2", "s3", "keys"],
+                    ["doc_id", "n_shingles", "set_id", "s0", "s1", "s2", "s3", "sketch", "keys"],
                 )
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id BIGINT, n_shingles BIGINT, set_id BINARY, s0 BIGINT, s1 BIGINT, s2 BIGINT, s3 BIGINT, keys ARRAY<BIGINT>"
+        run, "doc_id BIGINT, n_shingles BIGINT, set_id BINARY, s0 BIGINT, s1 BIGINT, s2 BIGINT, s3 BIGINT, sketch ARRAY<BIGINT>, keys ARRAY<BIGINT>"
     )
 
 
@@ -178,12 +194,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
                 sets = [shingles(t).view(np.int64) for t in part.column(1).to_pylist()]
-                offsets = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-                flat = np.concatenate(sets) if sets else np.empty(0, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64()))],
-                    ["doc_id", "shingles"],
-                )
+                yield pa.RecordBatch.from_arrays([part.column(0), lists(sets)], ["doc_id", "shingles"])
 
     return docs.mapInArrow(run, "doc_id BIGINT, shingles ARRAY<BIGINT>")
 
@@ -199,21 +210,42 @@ def possible(a: str, b: str):
     )
 
 
+def folded_distance(a: Column, b: Column) -> Column:
+    """Differing bits of two full sketches; the larger, at most twice as large, is folded."""
+
+    def fold(x: Column, size: Column) -> Column:
+        halves = F.zip_with(F.slice(x, F.lit(1), size), F.slice(x, size + 1, size), lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(x) == size, x).otherwise(halves)
+
+    size = F.least(F.size(a), F.size(b))
+    bits = F.zip_with(fold(a, size), fold(b, size), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    return F.aggregate(bits, F.lit(0), lambda total, n: total + n)
+
+
 def candidates(pairs: DataFrame, profile: DataFrame) -> DataFrame:
     """The pairs (a, b) that sizes and sketches allow."""
     known = profile.select("doc_id", "n_shingles", "s0", "s1", "s2", "s3")
     left = known.select(*(F.col(c).alias(f"{c}_a") for c in known.columns))
     right = known.select(*(F.col(c).alias(f"{c}_b") for c in known.columns))
-    return (
+    rough = stored(
         pairs.join(left, F.col("a") == F.col("doc_id_a")).join(right, F.col("b") == F.col("doc_id_b"))
-        .filter(possible("_a", "_b")).select("a", "b").distinct()
+        .filter(possible("_a", "_b")).select("a", "b").distinct(),
+        "rough-candidates",
     )
+    left = profile.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("sketch_a"))
+    right = profile.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("sketch_b"))
+    near = folded_distance(F.col("sketch_a"), F.col("sketch_b")) * (DENOMINATOR + NUMERATOR) <= (
+        F.col("n_a") + F.col("n_b")
+    ) * (DENOMINATOR - NUMERATOR)
+    needed = small_side(stored(rough.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "needed"))
+    left, right = (s.join(needed, s[c] == needed["id"], "left_semi") for s, c in ((left, "a"), (right, "b")))
+    return rough.join(left, "a").join(right, "b").filter(near).select("a", "b").distinct()
 
 
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough."""
     needed = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "needed")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(needed, "doc_id", "left_semi")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(small_side(needed), "doc_id", "left_semi")
     sets = stored(shingle_sets(texts), "shingle-sets")
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
@@ -279,7 +311,7 @@ def spread(keyed: DataFrame, profile: DataFrame) -> DataFrame:
 def near_edges(docs: DataFrame, profile: DataFrame, copies: DataFrame) -> DataFrame:
     """Links (a, b) between different sets, enough of them for whole components."""
     single = profile.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(
-        copies.select(F.col("b").alias("doc_id")), "doc_id", "left_anti"
+        small_side(copies.select(F.col("b").alias("doc_id"))), "doc_id", "left_anti"
     )
     keyed = spread(single.select("doc_id", F.explode("keys").alias("key")), profile)
     group = Window.partitionBy("key", "part")
@@ -315,7 +347,7 @@ def near_edges(docs: DataFrame, profile: DataFrame, copies: DataFrame) -> DataFr
         right,
         (F.col("key") == F.col("key_b")) & (F.col("component") < F.col("component_b")) & possible("_a", "_b"),
     ).select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b")).distinct()
-    second = stored(across.join(first, ["a", "b"], "left_anti"), "candidates")
+    second = stored(candidates(across, profile).join(first, ["a", "b"], "left_anti"), "candidates")
     if second.isEmpty():
         return links
     return links.unionByName(verified(second, docs))
@@ -343,4 +375,4 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     others = stored(
         link(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("_other_id")).distinct(), "near-copies"
     )
-    return docs.join(others, docs["doc_id"].cast("bigint") == others["_other_id"], "left_anti")
+    return docs.join(small_side(others), docs["doc_id"].cast("bigint") == F.col("_other_id"), "left_anti")
