@@ -289,6 +289,7 @@ SELECT reason, count(*) AS events FROM (
     WHEN overflow THEN 'bad_value' ELSE 'accepted' END FROM standard_revenue_all
   UNION ALL SELECT coalesce(reason, 'unknown_table') FROM customers_all
   UNION ALL SELECT CASE WHEN op = 'd' THEN 'delete' ELSE 'unknown_table' END FROM wide_all
+  UNION ALL SELECT CASE WHEN o_orderkey % 5 = 4 THEN 'unknown_table' ELSE 'accepted' END FROM orders
 ) GROUP BY reason""")
 
 _add("merge_append", f"SELECT {COLUMNS} FROM stored")
@@ -303,17 +304,23 @@ QUALIFY row_number() OVER (PARTITION BY activity_id ORDER BY ord) = 1""")
 ORACLES["ingest_metrics"] = ORACLES["drop_audit"]
 
 ORACLES["merge_partial"] = f"""
-WITH latest AS (
-  SELECT * FROM orders
-  QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderkey % 3 ORDER BY o_orderkey DESC) = 1
+WITH known AS (SELECT *, o_orderkey % 5 AS kind FROM orders WHERE o_orderkey % 5 <> 4),
+latest AS (
+  SELECT * FROM known
+  QUALIFY row_number() OVER (PARTITION BY o_custkey, kind ORDER BY o_orderkey DESC) = 1
 ), placed AS (
   SELECT CAST(o_custkey AS VARCHAR) AS activity_id,
-    max(CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority END) AS candidate,
-    max(CASE WHEN o_orderkey % 3 = 1 AND o_orderkey % 2 = 0 THEN o_orderstatus END) AS job_title,
-    max(CASE WHEN o_orderkey % 3 = 2 THEN CAST(o_totalprice AS DECIMAL(10,2)) END) AS adjrevenue
+    max(CASE WHEN kind = 0 THEN o_orderpriority END) AS candidate,
+    max(CASE WHEN kind = 1 AND o_orderkey % 2 = 0 THEN o_orderstatus END) AS job_title,
+    max(CASE WHEN kind = 3 THEN o_orderstatus END) AS excluded_reason,
+    max(CASE WHEN kind = 2 THEN CAST(o_totalprice AS DECIMAL(10,2)) END) AS adjrevenue,
+    arg_max(CASE kind WHEN 0 THEN 'A' ELSE 'J' END || o_orderkey, o_orderkey) FILTER (kind IN (0, 1)) AS job_id,
+    arg_max(CASE kind WHEN 0 THEN 'A' ELSE 'X' END || o_orderkey, o_orderkey) FILTER (kind IN (0, 3)) AS company_name,
+    arg_max(CASE kind WHEN 0 THEN 'A' ELSE 'R' END || o_orderkey, o_orderkey) FILTER (kind IN (0, 2)) AS bcworkerid
   FROM latest GROUP BY o_custkey
 )
-SELECT {_padded({c: c for c in ('activity_id', 'candidate', 'job_title', 'adjrevenue')})}
+SELECT {_padded({c: c for c in (
+    'activity_id', 'candidate', 'job_title', 'adjrevenue', 'excluded_reason', 'job_id', 'company_name', 'bcworkerid')})}
 FROM placed"""
 ORACLES["stream_partial"] = ORACLES["merge_partial"]
 

@@ -267,9 +267,14 @@ def sink_rejects(spark: SparkSession, sf: str) -> DataFrame:
     ])
 
 
+def _audited_feed(spark: SparkSession, sf: str) -> DataFrame:
+    tagged = keyed_by_customer_feed(_rows(spark, sf, "orders"))
+    return _feed(spark, sf).unionByName(_wide_feed(spark, sf)).unionByName(tagged)
+
+
 @query
 def drop_audit(spark: SparkSession, sf: str) -> DataFrame:
-    feed = _feed(spark, sf).unionByName(_wide_feed(spark, sf))
+    feed = _audited_feed(spark, sf)
     return mapping.drop_audit(mapping.audited_rows(feed))
 
 
@@ -434,7 +439,7 @@ def stream_replace_row(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def ingest_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """Events per outcome as the ingest counted them while it wrote the log."""
-    feed = _feed(spark, sf).unionByName(_wide_feed(spark, sf))
+    feed = _audited_feed(spark, sf)
     log = work_folder(spark, "log")
     _ingested(spark, _stored(feed, spark), log)
     return read_metrics(spark, log).groupBy("reason").agg(F.sum("events").cast("bigint").alias("events"))

@@ -214,9 +214,14 @@ def wide_rows_feed(orders: DataFrame) -> DataFrame:
 
 
 def keyed_by_customer_feed(orders: DataFrame) -> DataFrame:
-    """Events of three sources that meet on one key, ``activity_id``: each
-    image names its source and the target columns it writes."""
-    kind = "o_orderkey % 3"
+    """Events of four sources that meet on one key, ``activity_id``, some of them
+    on shared columns: each image names its source and the target columns it
+    writes. Every fifth names a source that is not known."""
+    kind = "o_orderkey % 5"
+
+    def own(prefix: str) -> str:
+        return f"concat('{prefix}', o_orderkey)"
+
     return _topic(
         orders,
         topic=WIDE_TOPIC,
@@ -224,11 +229,18 @@ def keyed_by_customer_feed(orders: DataFrame) -> DataFrame:
         order="o_orderkey",
         op="'c'",
         fields={
-            TAG_FIELD: _case(kind, "'job_activity'", "'Jobs'", "'standard_revenue'"),
+            TAG_FIELD: (
+                f"element_at(array('job_activity', 'Jobs', 'standard_revenue', "
+                f"'Clients_To_Exclude', 'payments'), CAST({kind} + 1 AS INT))"
+            ),
             "activity_id": "CAST(o_custkey AS STRING)",
-            "candidate": _case(kind, "o_orderpriority"),
-            "job_title": _case(kind, None, "IF(o_orderkey % 2 = 0, o_orderstatus, NULL)"),
-            "adjrevenue": _case(kind, None, None, "o_totalprice"),
+            "candidate": f"IF({kind} IN (0, 4), o_orderpriority, NULL)",
+            "job_id": f"CASE {kind} WHEN 0 THEN {own('A')} WHEN 1 THEN {own('J')} END",
+            "company_name": f"CASE {kind} WHEN 0 THEN {own('A')} WHEN 3 THEN {own('X')} END",
+            "bcworkerid": f"CASE {kind} WHEN 0 THEN {own('A')} WHEN 2 THEN {own('R')} END",
+            "job_title": f"IF({kind} = 1 AND o_orderkey % 2 = 0, o_orderstatus, NULL)",
+            "excluded_reason": f"IF({kind} = 3, o_orderstatus, NULL)",
+            "adjrevenue": f"IF({kind} = 2, o_totalprice, NULL)",
         },
     )
 
