@@ -6,17 +6,40 @@ what every event of the derived feeds should become.
 
 from __future__ import annotations
 
-from weirflow.schema import (
-    COMPOSITE_KEY,
-    DECIMAL_COLUMNS,
-    SOURCES,
-    TARGET_COLUMNS,
-    TIMESTAMP_COLUMNS,
-    TOPIC_PREFIX,
-)
 from weirflow.sources.feed import CUSTOMERS_TOPIC, WIDE_TOPIC
 from weirflow.sources import generator
 
+# Spelled out here, not taken from the engine's declarations, which they check.
+TARGET_COLUMNS = (
+    "activity_id job_id jobdiva_no candidate company_name assignment_start_date assignment_end_date job_title "
+    "location excluded_reason sr_assignment_start sr_assignment_end standard_revenue_report_month clienterpid "
+    "bcworkerid adjustedstbillrate adjustedstpayrate adjgphrst adjrevenue stbillrate"
+).split()
+TIMESTAMP_COLUMNS = (
+    "assignment_start_date assignment_end_date sr_assignment_start sr_assignment_end"
+).split()
+DECIMAL_COLUMNS = "adjustedstbillrate adjustedstpayrate adjgphrst adjrevenue stbillrate".split()
+COMPOSITE_KEY = ("activity_id", "job_id", "company_name")
+TOPIC_PREFIX = "pgserver1.public."
+# The target columns each source maps, and those its sink writes.
+OWNED = {
+    "job_activity": (
+        "activity_id job_id jobdiva_no candidate company_name assignment_start_date assignment_end_date bcworkerid"
+    ).split(),
+    "jobs": "job_id job_title location".split(),
+    "clients_to_exclude": "company_name excluded_reason".split(),
+    "standard_revenue": (
+        "sr_assignment_start sr_assignment_end standard_revenue_report_month clienterpid bcworkerid "
+        "adjustedstbillrate adjustedstpayrate adjgphrst adjrevenue stbillrate"
+    ).split(),
+}
+WRITTEN = {
+    "job_activity": OWNED["job_activity"],
+    "jobs": "activity_id job_id company_name job_title location".split(),
+    "clients_to_exclude": "activity_id job_id company_name excluded_reason".split(),
+    "standard_revenue": ["activity_id", "job_id", "company_name", *OWNED["standard_revenue"]],
+}
+
 
 def _op(key: str) -> str:
     return (
@@ -39,7 +62,7 @@ def _topic(name: str) -> str:
 
 def _sunk(name: str, placeholders: dict[str, str]) -> str:
     """A source's stored rows, padded to the whole target."""
-    owned = SOURCES[name].owned
+    owned = OWNED[name]
     columns = ", ".join(
         f"{placeholders.get(c, c if c in owned else _null(c))} AS {c}"
         for c in TARGET_COLUMNS
@@ -182,14 +205,14 @@ _add("cdc_topic_split", f"""
 SELECT topic, op, count(*) AS events FROM {_all_topics('t')}
 WHERE topic <> '{CUSTOMERS_TOPIC}' GROUP BY topic, op""")
 
-for _source in SOURCES.values():
-    _live = "standard_revenue_mapped" if _source.name == "standard_revenue" else f"{_source.name}_live"
-    _add(f"map_{_source.name}", f"""
-SELECT ord AS "offset", '{_source.name}' AS source_table, {', '.join(_source.owned)}
+for _source in OWNED:
+    _live = "standard_revenue_mapped" if _source == "standard_revenue" else f"{_source}_live"
+    _add(f"map_{_source}", f"""
+SELECT ord AS "offset", '{_source}' AS source_table, {', '.join(OWNED[_source])}
 FROM {_live}""")
-    _add(f"sink_{_source.name}", f"""
-SELECT ord AS "offset", {', '.join(_source.written)}
-FROM stored WHERE source_table = '{_source.name}'""")
+    _add(f"sink_{_source}", f"""
+SELECT ord AS "offset", {', '.join(WRITTEN[_source])}
+FROM stored WHERE source_table = '{_source}'""")
 
 _add("map_unknown_passthrough", """
 SELECT ord AS "offset", 'customers' AS table_name, f.field, f.value
@@ -252,7 +275,7 @@ SELECT event_id, CASE event_id % 14
 FROM events"""
 
 _add("sink_revenue_keyless", f"""
-SELECT ord AS "offset", {', '.join(SOURCES['standard_revenue'].owned)}, 'null_key' AS reason
+SELECT ord AS "offset", {', '.join(OWNED['standard_revenue'])}, 'null_key' AS reason
 FROM standard_revenue_mapped""")
 
 _WIDE_STORED = f"""SELECT {_padded({c: c for c in (
@@ -327,10 +350,10 @@ ORACLES["stream_partial"] = ORACLES["merge_partial"]
 _UPDATED = {
     c: f"{alias}.{c}"
     for alias, columns in (
-        ("a", SOURCES["job_activity"].owned),
+        ("a", OWNED["job_activity"]),
         ("j", ("job_title", "location")),
         ("x", ("excluded_reason",)),
-        ("r", [c for c in SOURCES["standard_revenue"].owned if c != "bcworkerid"]),
+        ("r", [c for c in OWNED["standard_revenue"] if c != "bcworkerid"]),
     )
     for c in columns
 }
