@@ -5,8 +5,9 @@ size bands; within a band the hash space is cut into segments, and a document's
 hold the XOR of the shingles that fall into them. Two sets that differ in ``d`` shingles
 differ in at most ``d`` segments. A similarity of 0.8 bounds ``d`` by a quarter of the
 smaller set's size, so by the pigeonhole principle the first ``d + 1`` segments of each,
-in one fixed order of all (filled ones first), have one in common. Those are the join
-keys. A larger document also takes part in the band below if it is within a quarter of
+in one fixed order of all, have one in common. Those are the join keys. The fullest
+segments come first: they hold several shingles, so that a passage or line which many
+documents share rarely makes a key on its own. A larger document also takes part in the band below if it is within a quarter of
 it. Candidates whose parity sketches differ in more bits than ``d`` are dropped (each
 differing shingle flips one bit): a first sketch of 256 bits, then one of two bits or more
 for each shingle. The others are verified on whole shingle sets.
@@ -125,10 +126,9 @@ def segment_keys(hashes: np.ndarray, band: int, differences: int) -> np.ndarray:
         segment = ((own >> np.uint64(32)) % np.uint64(m)).astype(np.int64)
         content = np.zeros(m, np.uint64)
         np.bitwise_xor.at(content, segment, own)
-        filled = np.flatnonzero(content)
-        if len(filled) <= differences:  # too few: empty segments follow the filled ones
-            filled = np.concatenate([filled, np.flatnonzero(content == 0)])
-        chosen = filled[: differences + 1]
+        # fullest first: equal segments are equally full, so this is one order for all documents
+        fullness = np.bincount(segment, minlength=m)
+        chosen = np.argsort(-fullness, kind="stable")[: differences + 1]
         keys = mixed(content[chosen] + (chosen.astype(np.uint64) + np.uint64(1)) * _MULTIPLIERS[0] + salt * _MULTIPLIERS[1])
     return keys
 
@@ -309,7 +309,7 @@ def spread(keyed: DataFrame, profile: DataFrame) -> DataFrame:
 
 
 def near_edges(docs: DataFrame, profile: DataFrame, copies: DataFrame) -> DataFrame:
-    """Links (a, b) between different sets, enough of them for whole components."""
+    """Pairs (a, b) whose components are those of all links between different sets."""
     single = profile.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(
         small_side(copies.select(F.col("b").alias("doc_id"))), "doc_id", "left_anti"
     )
@@ -348,9 +348,10 @@ def near_edges(docs: DataFrame, profile: DataFrame, copies: DataFrame) -> DataFr
         (F.col("key") == F.col("key_b")) & (F.col("component") < F.col("component_b")) & possible("_a", "_b"),
     ).select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b")).distinct()
     second = stored(candidates(across, profile).join(first, ["a", "b"], "left_anti"), "candidates")
+    stars = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
     if second.isEmpty():
-        return links
-    return links.unionByName(verified(second, docs))
+        return stars
+    return stars.unionByName(verified(second, docs))
 
 
 def link(docs: DataFrame) -> DataFrame:
@@ -358,9 +359,12 @@ def link(docs: DataFrame) -> DataFrame:
     profile = stored(profiles(docs), "profiles")
     members = profile.filter("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", "set_id")
     # equal sets are linked to the smallest document that has the set, which stands for all from here on
-    repeated = members.groupBy("set_id").agg(F.min("doc_id").alias("a"), F.count("*").alias("n")).filter("n > 1")
+    repeated = stored(
+        members.groupBy("set_id").agg(F.min("doc_id").alias("a"), F.count("*").alias("n")).filter("n > 1").drop("n"),
+        "repeated-sets",
+    )
     copies = stored(
-        members.join(repeated, "set_id").filter("doc_id <> a").select("a", F.col("doc_id").alias("b")), "copies"
+        members.join(small_side(repeated), "set_id").filter("doc_id <> a").select("a", F.col("doc_id").alias("b")), "copies"
     )
     labels = components(copies.unionByName(near_edges(docs, profile, copies)))
     return (
