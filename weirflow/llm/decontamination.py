@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import small_side, stored
+from weirflow.llm.common import free_name, small_side, stored
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.5  # share of an item's own weight
@@ -226,5 +226,6 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> Da
 
 def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` into which no item leaked."""
-    found = stored(leaks(docs, items).select(F.col("doc_id").alias("_leak_id")).distinct(), "leaks")
-    return docs.join(small_side(found), docs["doc_id"].eqNullSafe(F.col("_leak_id")), "left_anti")
+    leak_id = free_name(docs, "_leak_id")
+    found = stored(leaks(docs, items).select(F.col("doc_id").alias(leak_id)).distinct(), "leaks")
+    return docs.join(small_side(found), docs["doc_id"].eqNullSafe(F.col(leak_id)), "left_anti")

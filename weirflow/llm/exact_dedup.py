@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import shuffle_width, small_side, stored
+from weirflow.llm.common import free_name, shuffle_width, small_side, stored
 from weirflow.session import work_folder
 
 
@@ -116,13 +116,14 @@ def fresh_index(spark: SparkSession) -> DigestIndex:
 
 def without_copies(docs: DataFrame, index: DigestIndex) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
+    copy_id, copy_digest = free_name(docs, "_copy_id"), free_name(docs, "_copy_digest")
     copies = stored(
         deduplicate(docs, index).filter(~F.col("kept"))
-        .select(F.col("doc_id").alias("_copy_id"), F.col("digest").alias("_copy_digest")),
+        .select(F.col("doc_id").alias(copy_id), F.col("digest").alias(copy_digest)),
         "copies",
     )
     return docs.join(
         small_side(copies),
-        docs["doc_id"].eqNullSafe(F.col("_copy_id")) & (digest(docs["text"]) == F.col("_copy_digest")),
+        docs["doc_id"].eqNullSafe(F.col(copy_id)) & (digest(docs["text"]) == F.col(copy_digest)),
         "left_anti",
     )

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import shuffle_width, small_side, stored
+from weirflow.llm.common import free_name, shuffle_width, small_side, stored
 
 WORDS = 5
 NUMERATOR, DENOMINATOR = 4, 5  # the similarity that links, 0.8
@@ -376,7 +376,8 @@ def link(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose document is the smallest of its component; texts without shingles stay."""
+    other_id = free_name(docs, "_other_id")
     others = stored(
-        link(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("_other_id")).distinct(), "near-copies"
+        link(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias(other_id)).distinct(), "near-copies"
     )
-    return docs.join(small_side(others), docs["doc_id"].cast("bigint") == F.col("_other_id"), "left_anti")
+    return docs.join(small_side(others), docs["doc_id"].cast("bigint") == F.col(other_id), "left_anti")
