@@ -262,6 +262,24 @@ def test_main_text(spark):
     assert html_template.main_texts(pages.limit(0)).collect() == []
 
 
+def texts_of(spark, rows):
+    pages = spark.createDataFrame(rows, "page_id BIGINT, url STRING, html STRING")
+    return {r.page_id: r.text for r in html_template.main_texts(pages).collect()}
+
+
+@pytest.mark.parametrize(("body", "wrap"), [
+    ("body class='single no-sidebar'", "article class='post comments-open'"),
+    ("body class='search'", "div class='content with-sidebar'"), ("body", "main class='social'"),
+])
+def test_names_of_other_things_drop_no_article(spark, body, wrap):
+    page = (
+        "<html><{0}><div class='cookie-banner'>we bake {2}</div><{1}><h1>Head {2}</h1><p>a text of its own {2}</p></{3}>"
+        "<div class='comment-list'><p>nice {2}</p></div></body></html>"
+    )
+    got = texts_of(spark, [(n, f"http://a.org/{n}", page.format(body, wrap, n, wrap.split()[0])) for n in range(6)])
+    assert got == {n: f"Head {n}\n\na text of its own {n}" for n in range(6)}
+
+
 def test_main_text_of_given_pages(spark):
     rows = CORPUS_QUERIES["op6_html_extraction"](spark, SMALL).collect()
     source = {r.page_id: r.html for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}

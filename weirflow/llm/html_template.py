@@ -57,49 +57,61 @@ INLINE = frozenset(
 LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote figcaption caption td th tr ul ol dl".split())
 CLOSED_BY_BLOCK = frozenset({"p"})
 SAME_CLOSES = frozenset("li dt dd tr td th option".split())
-#: Parts that are no article: by element, and by words in class, id and role.
+#: Parts that are no article: by element, and by class, id and role.
 DROPPED = frozenset(
     "head nav header footer aside form button select fieldset dialog menu object canvas audio video".split()
 ) | RAW
-DROPPED_WORDS = frozenset(
+COMMENT_WORDS = frozenset("comment comments reply replies disqus respond".split())
+DROPPED_WORDS = COMMENT_WORDS | frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent "
     "notice notices alert gdpr nav navbar navigation menu breadcrumb breadcrumbs sidebar side footer header masthead "
-    "comment comments reply replies disqus respond share sharing social related recommended newsletter subscribe "
+    "share sharing social related recommended newsletter subscribe "
     "signup login popup modal overlay widget toolbar pagination pager search skip".split()
 )
+#: Words that may stand beside those in the name of a part (``comment-list``); any other makes it another name.
+PART_WORDS = frozenset("area bar block box container list site thread wrap wrapper".split())
+#: Elements that names never drop.
+HOLDERS = frozenset("html body main article".split())
+KEPT, BY_NAME, COMMENTS, BY_ELEMENT = range(4)
 
 
-def _is_dropped(name: str, attributes: str) -> bool:
+def _level(name: str, attributes: str) -> int:
+    """How an element is dropped: not, by a name of other parts or of comments, or as an element of its kind.
+
+    Only a whole class, id or role names a part: ``no-sidebar`` or ``comments-open`` tell something else.
+    """
     if name in DROPPED:
-        return True
-    if "=" not in attributes:
-        return False
+        return BY_ELEMENT
+    if "=" not in attributes or name in HOLDERS:
+        return KEPT
+    level = KEPT
     for match in NAMES.finditer(attributes):
-        for word in re.findall(r"[a-z]+", (match[1] or match[2] or match[3] or "").lower()):
-            if word in DROPPED_WORDS:
-                return True
-    return False
+        for token in (match[1] or match[2] or match[3] or "").lower().split():
+            named = set(re.findall(r"[a-z]+", token)) - PART_WORDS
+            if named and named <= DROPPED_WORDS:
+                level = max(level, COMMENTS if named <= COMMENT_WORDS else BY_NAME)
+    return level
 
 
 def _label(name: str, attributes: str) -> str:
     """An element's name with its classes: what tells equal elements of a template apart."""
     found = NAMES.search(attributes) if "=" in attributes else None
     value = " ".join((found[1] or found[2] or found[3] or "").split()) if found else ""
-    # numbered names are one name
-    return f"{name}.{re.sub(r'[0-9]+', '0', value)}" if value else name
+    # numbered names are one name; a slash would be a step of the path
+    return f"{name}.{re.sub(r'[0-9]+', '0', value).replace('/', '|')}" if value else name
 
 
-def events(page: str) -> Iterator[tuple[str, str, bool]]:
-    """("open" | "close", path, dropped), ("text", text, dropped) and ("break", "", dropped) events of a page.
+def events(page: str, spared: str = "") -> Iterator[tuple[str, str, int]]:
+    """("open" | "close", path, level), ("text", text, level) and ("break", "", level) events of a page.
 
-    ``dropped`` tells that an element around is no article. Inline elements and void ones
-    are no part of the path.
+    ``level`` tells how the elements around drop the place; names of the element with the path
+    ``spared`` and of those around it do not count. Inline elements and void ones are no part of the path.
     """
-    stack: list[tuple[str, str, bool]] = []  # name, path, dropped
+    stack: list[tuple[str, str, int]] = []  # name, path, level
     at, raw = 0, None
 
-    def dropped() -> bool:
-        return bool(stack) and stack[-1][2]
+    def level() -> int:
+        return stack[-1][2] if stack else KEPT
 
     for tag in TAG.finditer(page):
         name = (tag[2] or "").lower()
@@ -108,36 +120,39 @@ def events(page: str) -> Iterator[tuple[str, str, bool]]:
                 continue
             at = tag.start()
         elif tag.start() > at:
-            yield "text", page[at : tag.start()], dropped()
+            yield "text", page[at : tag.start()], level()
         at, raw = tag.end(), None
         if not name:
             continue
         if not tag[1]:
             if name == "br":
-                yield "text", " ", dropped()
+                yield "text", " ", level()
             elif name in VOID:
-                yield "break", "", dropped()
+                yield "break", "", level()
             elif name not in INLINE:
-                yield "break", "", dropped()
+                yield "break", "", level()
                 if name in SAME_CLOSES and stack and stack[-1][0] == name or (
                     stack and stack[-1][0] in CLOSED_BY_BLOCK
                 ):
-                    yield "close", stack.pop()[1], dropped()
+                    yield "close", stack.pop()[1], level()
                 path = f"{stack[-1][1] if stack else ''}/{_label(name, tag[3])}"
-                stack.append((name, path, dropped() or _is_dropped(name, tag[3])))
+                own = _level(name, tag[3])
+                if own < BY_ELEMENT and f"{spared}/".startswith(f"{path}/"):
+                    own = KEPT
+                stack.append((name, path, max(level(), own)))
                 yield "open", path, stack[-1][2]
                 if name in RAW:
                     raw = name
         elif name not in INLINE and name not in VOID:
-            yield "break", "", dropped()
+            yield "break", "", level()
             if any(s[0] == name for s in stack):
                 while True:
                     closed = stack.pop()
-                    yield "close", closed[1], dropped()
+                    yield "close", closed[1], level()
                     if closed[0] == name:
                         break
     if not raw and at < len(page):
-        yield "text", page[at:], dropped()
+        yield "text", page[at:], level()
 
 
 def tokens_of(page: str) -> tuple[dict, dict]:
@@ -145,14 +160,14 @@ def tokens_of(page: str) -> tuple[dict, dict]:
     counts: dict[str, list[int]] = defaultdict(lambda: [0, 0])
     chars: dict[str, int] = defaultdict(int)
     position, path = 0, ""
-    for kind, value, dropped in events(page):
+    for kind, value, level in events(page):
         if kind in ("open", "close"):
             token = ("<" if kind == "open" else ">") + value
             position += 1
             counts[token][0] += 1
             counts[token][1] += position
             path = value if kind == "open" else value.rpartition("/")[0]
-        elif kind == "text" and not dropped:
+        elif kind == "text" and level == KEPT:
             chars[path] += len(value.strip())
     return counts, chars
 
@@ -247,6 +262,8 @@ def extract(page: str | None, containers: list[str]) -> str:
     own = list(events(page or ""))
     opened = {value for kind, value, _ in own if kind == "open"}
     container = next((c for c in containers if c in opened), None)
+    if any(kind == "open" and value == container and level for kind, value, level in own):
+        own = list(events(page or "", container))
     blocks, current, inside = [], [], 0 if container else 1
 
     def end() -> None:
@@ -255,12 +272,12 @@ def extract(page: str | None, containers: list[str]) -> str:
             blocks.append(text)
         current.clear()
 
-    for kind, value, dropped in own:
+    for kind, value, level in own:
         if kind in ("open", "close", "break"):
             end()
             if value and value == container:
                 inside += 1 if kind == "open" else -1
-        elif inside > 0 and not dropped:
+        elif inside > 0 and level == KEPT:
             current.append(value)
     end()
     return "\n\n".join(blocks)
