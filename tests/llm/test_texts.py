@@ -280,6 +280,26 @@ def test_names_of_other_things_drop_no_article(spark, body, wrap):
     assert got == {n: f"Head {n}\n\na text of its own {n}" for n in range(6)}
 
 
+def slug(n):
+    return "".join(chr(97 + int(c)) for c in str(n))
+
+
+@pytest.mark.parametrize("pages", [12, 1200])
+def test_articles_under_paths_of_their_own(spark, pages):
+    page = "<html><body><div class='teaser'>read on {0}</div><div id='post-{1}'><p>an article of its own {0}, much longer</p></div></body></html>"
+    got = texts_of(spark, [(n, f"http://a.org/{n}", page.format(n, slug(n))) for n in range(pages)])
+    assert all(f"an article of its own {n}, much longer" in got[n] for n in range(pages))
+
+
+def test_template_overrules_a_name_around_the_container(spark):
+    page = (
+        "<html><body><div class='top'>hello {0}</div><div class='layout sidebar'><div class='w-1/2'><p>an article of its own {0}, "
+        "much longer</p></div></div></body></html>"
+    )
+    got = texts_of(spark, [(n, f"http://a.org/{n}", page.format(n)) for n in range(6)])
+    assert got == {n: f"an article of its own {n}, much longer" for n in range(6)}
+
+
 def test_main_text_of_given_pages(spark):
     rows = CORPUS_QUERIES["op6_html_extraction"](spark, SMALL).collect()
     source = {r.page_id: r.html for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}

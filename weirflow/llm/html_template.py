@@ -155,25 +155,63 @@ def events(page: str, spared: str = "") -> Iterator[tuple[str, str, int]]:
         yield "text", page[at:], level()
 
 
-def tokens_of(page: str) -> tuple[dict, dict]:
-    """Counts and summed positions of a page's tokens, and the length of kept text by path."""
-    counts: dict[str, list[int]] = defaultdict(lambda: [0, 0])
-    chars: dict[str, int] = defaultdict(int)
-    position, path = 0, ""
-    for kind, value, level in events(page):
-        if kind in ("open", "close"):
-            token = ("<" if kind == "open" else ">") + value
+def blocks(page: str, spared: str = "") -> Iterator[tuple[str, str, str, int]]:
+    """("open" | "close", path, "", level) and ("block", path, text, level) events: texts between breaks, unescaped."""
+    current: list[str] = []
+    stack, at = [""], KEPT
+    for kind, value, level in events(page, spared):
+        if kind == "text":
+            current.append(value)
+            at = level
+            continue
+        if current:
+            if text := " ".join(html.unescape("".join(current)).split()):
+                yield "block", stack[-1], text, at
+            current.clear()
+        if kind == "open":
+            stack.append(value)
+            yield kind, value, "", level
+        elif kind == "close":
+            stack.pop()
+            yield kind, value, "", level
+    if text := " ".join(html.unescape("".join(current)).split()):
+        yield "block", stack[-1], text, at
+
+
+def tokens_of(page: str) -> dict[str, list[int]]:
+    """By token of a page its count, summed positions, and the length of the text in its path and below.
+
+    The length is given twice: of kept text, and with the text that only names (but not those
+    of comments) drop. The token ``""`` stands for the whole page.
+    """
+    tokens: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0, 0])
+    own: dict[str, list[int]] = defaultdict(lambda: [0, 0])
+    position = 0
+    for kind, path, text, level in blocks(page):
+        if kind != "block":
             position += 1
-            counts[token][0] += 1
-            counts[token][1] += position
-            path = value if kind == "open" else value.rpartition("/")[0]
-        elif kind == "text" and level == KEPT:
-            chars[path] += len(value.strip())
-    return counts, chars
-
-
-def template(tokens: pd.DataFrame, pages: int) -> str | None:
-    """The path of the element that holds the article, from a host's tokens."""
+            row = tokens[("<" if kind == "open" else ">") + path]
+            row[0] += 1
+            row[1] += position
+        elif level <= BY_NAME:
+            own[path][0] += len(text) if level == KEPT else 0
+            own[path][1] += len(text)
+    for path, (kept, loose) in own.items():
+        while True:
+            row = tokens["<" + path if path else ""]
+            row[2] += kept
+            row[3] += loose
+            if not path:
+                break
+            path = path.rpartition("/")[0]
+    return tokens
+
+
+def template(tokens: pd.DataFrame, pages: int, whole: int | None = None) -> str | None:
+    """The path of the element that holds the article, from a host's frequent tokens and its length of text.
+
+    ``chars`` of a token is the text in its path and below, on all pages.
+    """
     classes = defaultdict(list)
     for row in tokens.itertuples(index=False):
         classes[row.f1, row.f2].append(row)
@@ -188,13 +226,13 @@ def template(tokens: pd.DataFrame, pages: int) -> str | None:
             continue  # crosses a class already taken
         taken.append(rows)
         spans.append((low, high))
-    chars = {r.token[1:]: 0 for rows in taken for r in rows}
-    texts = tokens[tokens.chars > 0]
-    whole = texts.chars.sum()
+    chars: dict[str, int] = defaultdict(int)
+    for rows in taken:
+        for r in rows:
+            chars[r.token[1:]] += r.chars
+    whole = max(chars.values(), default=0) if whole is None else whole
     if not whole:
         return None
-    for path in chars:
-        chars[path] = texts.chars[(texts.token.str[1:] == path) | texts.token.str[1:].str.startswith(path + "/")].sum()
 
     def name(path: str) -> str:
         return path.rpartition("/")[2].partition(".")[0]
@@ -207,51 +245,60 @@ def template(tokens: pd.DataFrame, pages: int) -> str | None:
     return min(named, key=len) if named else max(holders, key=len, default=None)
 
 
+SUMS = ("pages", "total", "position", "f1", "f2", "chars", "loose")
+HELD = 50_000  # tokens that a task sums up before it sends them on
+
+
 def deduce(pages: DataFrame) -> DataFrame:
     """Per host, and for all hosts as ``*``: the container's path; pages have page_id, host and html."""
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def sent() -> pa.RecordBatch:
+            keys = list(sums)
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
+                    *(pa.array([sums[k][c] for k in keys], pa.int64()) for c in range(len(SUMS))),
+                ],
+                ["host", "token", *SUMS],
+            )
+
         for batch in batches:
-            sums: dict[tuple[str, str], list[int]] = defaultdict(lambda: [0] * 6)
+            sums: dict[tuple[str, str], list[int]] = defaultdict(lambda: [0] * len(SUMS))
             for page_id, host, page in zip(*(c.to_pylist() for c in batch.columns)):
-                counts, chars = tokens_of(page or "")
                 key = f"{page_id} {len(page or '')}".encode()
                 h1, h2 = zlib.crc32(key), zlib.crc32(key[::-1], 77)
-                for own in (host, ALL):
-                    for token in counts.keys() | {f"<{p}" for p in chars if p}:
-                        n, position = counts.get(token, (0, 0))
+                for token, (n, position, chars, loose) in {"": (0, 0, 0, 0), **tokens_of(page or "")}.items():
+                    for own in (host, ALL):
                         row = sums[own, token]
-                        row[0] += n > 0
+                        row[0] += 1
                         row[1] += n
                         row[2] += position
                         row[3] += h1 * n
                         row[4] += h2 * n
-                        row[5] += chars.get(token[1:], 0) if token[0] == "<" else 0
-                    sums[own, ""][0] += 1
-                    sums[own, ""][5] += sum(chars.values())
-            keys = list(sums)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
-                    *(pa.array([sums[k][c] for k in keys], pa.int64()) for c in range(6)),
-                ],
-                ["host", "token", "pages", "total", "position", "f1", "f2", "chars"],
-            )
-
-    names = ("pages", "total", "position", "f1", "f2", "chars")
-    schema = "host STRING, token STRING, " + ", ".join(f"{c} BIGINT" for c in names)
+                        row[5] += chars
+                        row[6] += loose
+                if len(sums) > HELD:
+                    yield sent()
+                    sums.clear()
+            yield sent()
+
+    schema = "host STRING, token STRING, " + ", ".join(f"{c} BIGINT" for c in SUMS)
     sums = pages.select("page_id", "host", "html").mapInArrow(collect, schema)
-    sums = stored(sums.groupBy("host", "token").agg(*(F.sum(c).alias(c) for c in names)), "tokens")
-    hosts = sums.filter("token = ''").select("host", F.col("pages").alias("host_pages"), F.col("chars").alias("host_chars"))
-    # rare tokens are in no template and hold little text: what is left per host is as much as a few
-    # pages have, and at most a thousand places of text
-    frequent = sums.filter("token <> ''").join(small_side(stored(hosts, "hosts")), "host").filter(
-        (F.col("pages") >= FREQUENT * F.col("host_pages")) | (F.col("chars") * 1000 > F.col("host_chars"))
+    sums = stored(sums.groupBy("host", "token").agg(*(F.sum(c).alias(c) for c in SUMS)), "tokens")
+    hosts = sums.filter("token = ''").select(
+        "host", F.col("pages").alias("host_pages"), F.col("chars").alias("host_chars"), F.col("loose").alias("host_loose")
     ).filter((F.col("host_pages") >= LEAST_PAGES) | (F.col("host") == ALL))
+    # rare tokens are in no template; their text is in the sums of the paths around them
+    frequent = sums.filter("token <> ''").join(small_side(stored(hosts, "hosts")), "host").filter(
+        F.col("pages") >= FREQUENT * F.col("host_pages")
+    )
 
     def one_host(rows: pd.DataFrame) -> pd.DataFrame:
-        path = template(rows[rows.total > 0], int(rows.host_pages.iloc[0]))
-        return pd.DataFrame({"host": [rows.host.iloc[0]], "container": [path]})
+        host, number, whole, loose = (rows[c].iloc[0] for c in ("host", "host_pages", "host_chars", "host_loose"))
+        if whole < (1 - MOST_TEXT) * loose:  # most text stands below a name of other parts: its name tells something else
+            rows, whole = rows.assign(chars=rows.loose), loose
+        return pd.DataFrame({"host": [host], "container": [template(rows, int(number), int(whole))]})
 
     found = frequent.groupBy("host").applyInPandas(one_host, "host STRING, container STRING")
     return found.filter("container IS NOT NULL")
@@ -259,28 +306,15 @@ def deduce(pages: DataFrame) -> DataFrame:
 
 def extract(page: str | None, containers: list[str]) -> str:
     """The text blocks of the first container that the page has, else of the whole page."""
-    own = list(events(page or ""))
-    opened = {value for kind, value, _ in own if kind == "open"}
-    container = next((c for c in containers if c in opened), None)
-    if any(kind == "open" and value == container and level for kind, value, level in own):
-        own = list(events(page or "", container))
-    blocks, current, inside = [], [], 0 if container else 1
-
-    def end() -> None:
-        text = " ".join(html.unescape("".join(current)).split())
-        if text:
-            blocks.append(text)
-        current.clear()
-
-    for kind, value, level in own:
-        if kind in ("open", "close", "break"):
-            end()
-            if value and value == container:
-                inside += 1 if kind == "open" else -1
-        elif inside > 0 and level == KEPT:
-            current.append(value)
-    end()
-    return "\n\n".join(blocks)
+    own = list(blocks(page or ""))
+    opened = {path: level for kind, path, _, level in own if kind == "open"}
+    container = next((c for c in containers if c in opened), "")
+    if opened.get(container):
+        own = list(blocks(page or "", container))
+    return "\n\n".join(
+        text for kind, path, text, level in own
+        if kind == "block" and level == KEPT and f"{path}/".startswith(f"{container}/")
+    )
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
