@@ -300,6 +300,21 @@ def test_template_overrules_a_name_around_the_container(spark):
     assert got == {n: f"an article of its own {n}, much longer" for n in range(6)}
 
 
+def test_texts_of_the_template_are_no_article(spark):
+    page = (
+        "<html><body><article><h1>Head {0}</h1><div class='x1'><p>Sign up <b>now</b></p></div><p>first text {0}</p>"
+        "<p>A paragraph that all repeat</p><div class='q'>{1}</div></article></body></html>"
+    )
+    rows = [(n, f"http://a.org/{n}", page.format(n, "All rights kept" if n else "Once told")) for n in range(24)]
+    rows += [(100 + n, f"http://copies.org/{n}", page.format(0, "All rights kept")) for n in range(4)]
+    got = texts_of(spark, rows)
+    for n in range(1, 24):
+        assert got[n] == f"Head {n}\n\nfirst text {n}\n\nA paragraph that all repeat"
+    assert got[0] == "Head 0\n\nfirst text 0\n\nA paragraph that all repeat\n\nOnce told"
+    copy = "Head 0\n\nSign up now\n\nfirst text 0\n\nA paragraph that all repeat\n\nAll rights kept"
+    assert [got[100 + n] for n in range(4)] == [copy] * 4
+
+
 def test_main_text_of_given_pages(spark):
     rows = CORPUS_QUERIES["op6_html_extraction"](spark, SMALL).collect()
     source = {r.page_id: r.html for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}

@@ -1,7 +1,8 @@
 """Main text of web pages by equivalence-class template deduction.
 
 Pages of one host come from few templates. A page is a sequence of tokens: opening and
-closing tags, told apart by the path of elements they stand in. The occurrence vector of
+closing tags and texts, told apart by the path of elements they stand in. A text is one
+token with all its words, from one break to the next. The occurrence vector of
 a token counts it on every page of the host; tokens with equal vectors form an
 equivalence class. Vectors are compared by fingerprints, sums over pages of a page's hash
 times the token's count, so a host of any size is reduced by partial sums before the
@@ -11,23 +12,27 @@ cross a class already taken, instead of nesting in one of its slots, is invalid.
 left is the host's template, and the text between its tokens lies in its slots. The
 element whose slots hold the article is the innermost container with most of the host's
 text outside of navigation, notices, adverts, forms and comments; the text of its slots
-is extracted page by page. Tables of tokens that all hosts share serve pages whose host
+is extracted page by page. A text that half of the host's pages have in one path belongs to
+the template, unless that path has other texts too on more than a few pages: then it is a
+slot, and the text a paragraph that articles repeat. A page without any other text keeps
+its own. Tables of tokens that all hosts share serve pages whose host
 has too few pages, or that lack their host's container.
 
 Defined results: null, empty and markup-free pages give the text outside of any markup,
 mostly none; a null or odd URL belongs to the host ``''``; equal rows give equal texts;
 an empty table gives none; other columns are ignored. Nothing but the named parts of a
-page is dropped, repeated paragraphs included. Unclosed comments, scripts and tags run to
+page and the texts of its host's template is dropped; repeated paragraphs are kept. Unclosed comments, scripts and tags run to
 the end of the page.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import pandas as pd
 import pyarrow as pa
@@ -39,6 +44,7 @@ from weirflow.llm.url_filter import host_and_path
 
 FREQUENT = 0.5  # share of a host's pages that a class of its template is on
 LEAST_PAGES = 3  # of a host with a template of its own
+OTHER_TEXTS = 0.1  # in a path of template texts: other texts for each of these, at most
 MOST_TEXT = 0.6  # share of the text outside of dropped parts that the container holds
 ALL = "*"
 
@@ -178,13 +184,17 @@ def blocks(page: str, spared: str = "") -> Iterator[tuple[str, str, str, int]]:
         yield "block", stack[-1], text, at
 
 
+def text_hash(path: str, text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(f"{path}\n{text}".encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
 def tokens_of(page: str) -> dict[str, list[int]]:
-    """By token of a page its count, summed positions, and the length of the text in its path and below.
+    """By token of a page its count, summed positions, length of the text in its path and below, and texts in its path.
 
     The length is given twice: of kept text, and with the text that only names (but not those
-    of comments) drop. The token ``""`` stands for the whole page.
+    of comments) drop. Tokens of texts are ``=``, their hash and their path; ``""`` stands for the whole page.
     """
-    tokens: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0, 0])
+    tokens: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0, 0, 0])
     own: dict[str, list[int]] = defaultdict(lambda: [0, 0])
     position = 0
     for kind, path, text, level in blocks(page):
@@ -196,6 +206,13 @@ def tokens_of(page: str) -> dict[str, list[int]]:
         elif level <= BY_NAME:
             own[path][0] += len(text) if level == KEPT else 0
             own[path][1] += len(text)
+            row = tokens[f"={text_hash(path, text)} {path}"]
+            row[0] += 1
+            row[1] += position
+            row[2] += len(text) if level == KEPT else 0
+            row[3] += len(text)
+            if path:
+                tokens["<" + path][4] += 1
     for path, (kept, loose) in own.items():
         while True:
             row = tokens["<" + path if path else ""]
@@ -213,6 +230,7 @@ def template(tokens: pd.DataFrame, pages: int, whole: int | None = None) -> str
     ``chars`` of a token is the text in its path and below, on all pages.
     """
     classes = defaultdict(list)
+    tokens = tokens[~tokens.token.str.startswith("=")]
     for row in tokens.itertuples(index=False):
         classes[row.f1, row.f2].append(row)
     taken: list[list] = []
@@ -245,12 +263,37 @@ def template(tokens: pd.DataFrame, pages: int, whole: int | None = None) -> str
     return min(named, key=len) if named else max(holders, key=len, default=None)
 
 
-SUMS = ("pages", "total", "position", "f1", "f2", "chars", "loose")
+def without_template_texts(tokens: pd.DataFrame) -> tuple[pd.DataFrame, list[int], int, int]:
+    """A host's frequent tokens less its template's texts, the hashes of these, and their two lengths."""
+    is_text = tokens.token.str.startswith("=")
+    texts = tokens[is_text].assign(path=[token.partition(" ")[2] for token in tokens.token[is_text]])
+    tokens = tokens[~is_text].copy()
+    at = {token[1:]: k for k, token in enumerate(tokens.token) if token[0] == "<"}
+    column = {c: tokens.columns.get_loc(c) for c in ("chars", "loose")}
+    hashes, lengths = [], [0, 0]
+    for path, own in texts.groupby("path"):
+        if path not in at:
+            continue  # outside of all elements
+        if tokens.texts.iloc[at[path]] - own.total.sum() > OTHER_TEXTS * own.total.sum():
+            continue  # a slot
+        hashes += [int(token.partition(" ")[0][1:]) for token in own.token]
+        for k, name in enumerate(column):
+            length = int(own[name].sum())
+            lengths[k] += length
+            around = path
+            while around:
+                if around in at:
+                    tokens.iloc[at[around], column[name]] -= length
+                around = around.rpartition("/")[0]
+    return tokens, hashes, *lengths
+
+
+SUMS = ("pages", "total", "position", "f1", "f2", "chars", "loose", "texts")
 HELD = 50_000  # tokens that a task sums up before it sends them on
 
 
 def deduce(pages: DataFrame) -> DataFrame:
-    """Per host, and for all hosts as ``*``: the container's path; pages have page_id, host and html."""
+    """Per host, and for all hosts as ``*``: the container's path and the template's texts; pages have page_id, host and html."""
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def sent() -> pa.RecordBatch:
@@ -268,8 +311,9 @@ def deduce(pages: DataFrame) -> DataFrame:
             for page_id, host, page in zip(*(c.to_pylist() for c in batch.columns)):
                 key = f"{page_id} {len(page or '')}".encode()
                 h1, h2 = zlib.crc32(key), zlib.crc32(key[::-1], 77)
-                for token, (n, position, chars, loose) in {"": (0, 0, 0, 0), **tokens_of(page or "")}.items():
-                    for own in (host, ALL):
+                for token, (n, position, chars, loose, texts) in {"": (0,) * 5, **tokens_of(page or "")}.items():
+                    # texts are of one host's template only
+                    for own in (host,) if token[:1] == "=" else (host, ALL):
                         row = sums[own, token]
                         row[0] += 1
                         row[1] += n
@@ -278,6 +322,7 @@ def deduce(pages: DataFrame) -> DataFrame:
                         row[4] += h2 * n
                         row[5] += chars
                         row[6] += loose
+                        row[7] += texts
                 if len(sums) > HELD:
                     yield sent()
                     sums.clear()
@@ -285,36 +330,42 @@ def deduce(pages: DataFrame) -> DataFrame:
 
     schema = "host STRING, token STRING, " + ", ".join(f"{c} BIGINT" for c in SUMS)
     sums = pages.select("page_id", "host", "html").mapInArrow(collect, schema)
-    sums = stored(sums.groupBy("host", "token").agg(*(F.sum(c).alias(c) for c in SUMS)), "tokens")
-    hosts = sums.filter("token = ''").select(
-        "host", F.col("pages").alias("host_pages"), F.col("chars").alias("host_chars"), F.col("loose").alias("host_loose")
-    ).filter((F.col("host_pages") >= LEAST_PAGES) | (F.col("host") == ALL))
+    hosts = pages.groupBy("host").agg(F.count("*").alias("host_pages")).filter(F.col("host_pages") >= LEAST_PAGES)
+    hosts = stored(hosts.union(pages.agg(F.lit(ALL), F.count("*"))), "hosts")
     # rare tokens are in no template; their text is in the sums of the paths around them
-    frequent = sums.filter("token <> ''").join(small_side(stored(hosts, "hosts")), "host").filter(
-        F.col("pages") >= FREQUENT * F.col("host_pages")
-    )
+    sums = sums.groupBy("host", "token").agg(*(F.sum(c).alias(c) for c in SUMS)).join(small_side(hosts), "host")
+    frequent = stored(sums.filter((F.col("pages") >= FREQUENT * F.col("host_pages"))), "tokens")
+    whole = frequent.filter("token = ''").select("host", F.col("chars").alias("host_chars"), F.col("loose").alias("host_loose"))
+    frequent = frequent.filter("token <> ''").join(small_side(whole), "host")
 
     def one_host(rows: pd.DataFrame) -> pd.DataFrame:
         host, number, whole, loose = (rows[c].iloc[0] for c in ("host", "host_pages", "host_chars", "host_loose"))
+        left, hashes, kept, named = without_template_texts(rows)
+        if whole > kept or loose > named:
+            rows, whole, loose = left, whole - kept, loose - named
+        else:  # the pages are copies of one page
+            rows, hashes = rows[~rows.token.str.startswith("=")], []
         if whole < (1 - MOST_TEXT) * loose:  # most text stands below a name of other parts: its name tells something else
             rows, whole = rows.assign(chars=rows.loose), loose
-        return pd.DataFrame({"host": [host], "container": [template(rows, int(number), int(whole))]})
+        return pd.DataFrame({"host": [host], "container": [template(rows, int(number), int(whole))], "texts": [hashes]})
 
-    found = frequent.groupBy("host").applyInPandas(one_host, "host STRING, container STRING")
+    found = frequent.groupBy("host").applyInPandas(one_host, "host STRING, container STRING, texts ARRAY<BIGINT>")
     return found.filter("container IS NOT NULL")
 
 
-def extract(page: str | None, containers: list[str]) -> str:
-    """The text blocks of the first container that the page has, else of the whole page."""
+def extract(page: str | None, containers: list[str], texts: Collection[int] = ()) -> str:
+    """The text blocks of the first container that the page has, else of the whole page, but for the template's texts."""
     own = list(blocks(page or ""))
     opened = {path: level for kind, path, _, level in own if kind == "open"}
     container = next((c for c in containers if c in opened), "")
     if opened.get(container):
         own = list(blocks(page or "", container))
-    return "\n\n".join(
-        text for kind, path, text, level in own
+    inside = [
+        (path, text) for kind, path, text, level in own
         if kind == "block" and level == KEPT and f"{path}/".startswith(f"{container}/")
-    )
+    ]
+    slots = [text for path, text in inside if not texts or text_hash(path, text) not in texts]
+    return "\n\n".join(slots or [text for _, text in inside])
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
@@ -328,14 +379,14 @@ def main_texts(pages: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [
-                extract(page, [c for c in (container, *general) if c])
-                for page, container in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+                extract(page, [c for c in (container, *general) if c], frozenset(own or ()))
+                for page, container, own in zip(*(batch.column(c).to_pylist() for c in (2, 3, 4)))
             ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"]
             )
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return placed.select("page_id", "url", "html", "container").mapInArrow(
+    return placed.select("page_id", "url", "html", "container", "texts").mapInArrow(
         run, f"page_id {kind}, url STRING, text STRING"
     )
