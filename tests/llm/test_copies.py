@@ -158,6 +158,17 @@ def test_leaks(spark, documents, odd_texts):
     assert decontamination.leaks(documents(rows), empty).collect() == []
 
 
+def test_short_items_leak_as_a_whole(spark, documents):
+    items = spark.createDataFrame([(1, "Who wrote Faust? Goethe."), (2, "?!"), (3, ITEMS[0][1])], "item_id BIGINT, text STRING")
+    filler = " ".join(f"filler{i % 211}" for i in range(300))
+    rows = [
+        (1, f"{filler} who wrote\nFAUST - Goethe {filler}"), (2, "Goethe wrote Faust, who else"), (3, "who wrote faust goethes"),
+        (4, "?!"), (5, "who wrote faust"),
+    ]
+    assert [(r.doc_id, r.item_id) for r in decontamination.leaks(documents(rows), items).collect()] == [(1, 1)]
+    assert sorted(r.doc_id for r in decontamination.without_leaks(documents(rows), items).collect()) == [2, 3, 4, 5]
+
+
 def test_leaks_in_blocks_equal_one_index(spark, documents, monkeypatch):
     items = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")

@@ -10,14 +10,15 @@ alone (non-essential lists); the others are looked up as block maxima, summed pe
 and block of items, and only blocks whose sum and common-term bound reach the threshold
 are scored item by item. A retrieved item counts as leaked if enough word trigrams of its
 question and of its answer stand in the passage. An item's last sentence is taken as its
-answer; an item of one sentence is split after three quarters of its words.
+answer; an item of one sentence is split after three quarters of its words. An item under
+``SHORT`` words leaks only where all its words stand in the passage one after the other.
 
 Items are indexed in blocks of at most about ``ITEMS`` and each block is searched by all
 passages, so what is broadcast is bounded however many items there are. Every block has
 its own statistics.
 
-Defined results: null or empty texts have no passages; an item under ``LEAST_WORDS``
-words is no evidence and never matches; equal items all match; an item that leaks
+Defined results: null or empty texts have no passages; an item without words
+never matches; equal items all match; an item that leaks
 several times into a document gives one row, of its best passage; repeated rows are
 judged one by one; without items or documents the result is empty; other columns are
 ignored.
@@ -41,7 +42,7 @@ from weirflow.llm.common import free_name, small_side, stored
 K1, B = 1.2, 0.75
 THRESHOLD = 0.5  # share of an item's own weight
 OVERLAP = 0.6  # share of trigrams, of the question and of the answer
-LEAST_WORDS = 8
+SHORT = 8  # items under so many words count only as a whole
 ITEMS = 20_000
 BLOCK = 8  # items that share a block maximum
 CELLS = 2_000_000  # block sums held at once
@@ -77,10 +78,11 @@ class Index:
     """A BM25 inverted index of some items with block maxima."""
 
     def __init__(self, items: list[tuple[int, str | None]], threshold: float):
-        kept = [(i, t) for i, t in items if len(words(t)) >= LEAST_WORDS]
+        kept = [(i, t) for i, t in items if words(t)]
         self.threshold = threshold
         self.ids = [i for i, _ in kept]
         self.parts = [tuple(map(trigrams, question_and_answer(t))) for _, t in kept]
+        self.whole = [b" ".join([b"", *own, b""]) if len(own := words(t)) < SHORT else None for _, t in kept]
         counts = [Counter(words(t)) for _, t in kept]
         lengths = [sum(c.values()) for c in counts]
         self.stretch = max(lengths, default=1)
@@ -107,7 +109,10 @@ class Index:
             t = self.vocabulary[term]
             where = [i for i, _ in holders[t]]
             add = np.array([w for _, w in holders[t]])
-            if (rest[where] + add).max() > 0.6 * threshold:
+            over = rest[where] + add > 0.6 * threshold
+            if over.any():
+                if all(self.whole[i] for i, o in zip(where, over) if o):
+                    continue  # a few words of a short item weigh much: it alone keeps the list essential
                 break
             rest[where] += add
             common.add(t)
@@ -175,6 +180,8 @@ class Index:
                         continue
                     k, start = owner[stretch]
                     own = texts[k][start : start + 2 * self.stretch]
+                    if self.whole[i] and self.whole[i] not in b" ".join([b"", *own, b""]):
+                        continue
                     passage = set().union(*(grams(own, n) for n in {len(g) for p in self.parts[i] for g in p}))
                     question, answer = (
                         len(part & passage) / len(part) if part else 1.0 for part in self.parts[i]
