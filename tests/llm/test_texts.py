@@ -193,6 +193,17 @@ def test_secret_spans_equal_brute_force(documents):
     assert secrets.scan(documents([])).collect() == []
 
 
+@pytest.mark.parametrize(("text", "found"), [
+    ("K7QX2MZB4TLW5NPD6RVA3GYH", True), ("9F3A7C05E1B84D26F07A9C3E5B18", True), ("k7qx2mzb4tlw9npd0rva3gyh", True),
+    ("example/Zx9Qw8Er7Ty6Ui5Op4As3Df2", True), ("Zx9Qw8Er7Ty6Ui5Op4As3Df2_1234567890", True),
+    ("Zx9Qw8Er7exampleUi5Op4As3", False), ("0123456789ABCDEF0123456789ABCDEF", False),
+    ("550E8400-E29B-41D4-A716-446655440000", False), ("some/long/path/of/words/x1", False), ("AAAAAAAAAA2222222222", False),
+])
+def test_entropy_spans_by_class(documents, text, found):
+    (row,) = secrets.scan(documents([(1, f"é {text} .")])).collect()
+    assert [tuple(s) for s in row.spans] == ([(2, 3, 2 + len(text))] if found else [])
+
+
 def test_secret_scan_is_native(documents):
     plan = secrets.scan(documents(SECRETS))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)

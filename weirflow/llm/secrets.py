@@ -5,9 +5,10 @@ spans: long runs of key characters are candidates, and a window slides over each
 Shannon entropy is kept by incremental counts: a character that enters or leaves changes
 one count, and with it one term of ``sum c log2 c``. So do the numbers of digits, upper and
 lower case letters and characters that are no hex digits. A candidate is a secret if some
-window of one character class (hex, or digits with letters of both cases) reaches the
-entropy of that class. Candidates on the allow list, and those that overlap a base span,
-add nothing.
+window of one character class (hex of one case, digits with letters of one case, or digits
+with letters of both cases) reaches the entropy of that class. Candidates that are on the
+allow list as a whole, windows that overlap an allowed part, and candidates that overlap a
+base span, add nothing.
 
 Positions are those of code points: the lengths of the pieces between matches and of the
 matches, added up. Everything is a column expression of one row; nothing is shuffled.
@@ -32,15 +33,17 @@ LEAST_ASSIGNED = 6
 
 WINDOW = 20
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
-HEX_BITS, MIXED_BITS = 3.0, 3.6
-#: Allow list, on whole candidates: UUIDs, numbers with marks, counting sequences, placeholders, paths of words.
+HEX_BITS, ONE_CASE_BITS, MIXED_BITS = 3.0, 3.4, 3.6
+#: Allow list, on whole candidates: UUIDs, numbers with marks, paths of words.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
     r"|^[0-9+/_=-]+$"
-    r"|0123456789|1234567890|abcdefgh|ABCDEFGH"
-    r"|(?i)example|placeholder|changeme|x{6}"
     r"|^/?([A-Za-z]+[0-9]{0,2}[/_=-])*[A-Za-z]+[0-9]{0,2}/?$"
 )
+#: Allow list, on parts of candidates: counting sequences, placeholders. What stands beside them is judged by itself.
+ALLOWED_PARTS = (
+    r"0123456789ABCDEF|0123456789abcdef|0123456789|1234567890|abcdefgh|ABCDEFGH|(?i:example|placeholder|changeme|x{6,})"
+)
 
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 
@@ -78,7 +81,7 @@ def spans_of(text: Column, kind: int, pattern: str, keep=None, value_group: int
 
 
 def window_entropy(candidate: Column) -> Column:
-    """The greatest window entropies of a candidate by class: struct (hex, mixed), -1 where no window is of the class."""
+    """The greatest window entropies of a candidate by class: struct (hex, one_case, mixed), -1 where no window is of the class."""
 
     def term(n: Column) -> Column:
         return F.when(n > 1, n * F.log2(n.cast("double"))).otherwise(0.0)
@@ -104,20 +107,24 @@ def window_entropy(candidate: Column) -> Column:
         upper = kept("upper", lambda c: between(c, "A", "Z"))
         lower = kept("lower", lambda c: between(c, "a", "z"))
         hexes = kept("hexes", lambda c: between(c, "0", "9") + between(c, "a", "f"))
+        upper_hexes = kept("upper_hexes", lambda c: between(c, "0", "9") + between(c, "A", "F"))
         bits = F.lit(math.log2(WINDOW)) - sum_now / WINDOW
         full = i >= WINDOW - 1
-        is_hex = full & (hexes == WINDOW) & (digits >= 3) & (digits <= WINDOW - 3)
+        is_hex = full & ((hexes == WINDOW) | (upper_hexes == WINDOW)) & (digits >= 3) & (digits <= WINDOW - 3)
+        is_one_case = full & ((digits + upper == WINDOW) | (digits + lower == WINDOW)) & (digits >= 2) & (digits <= WINDOW - 2)
         is_mixed = full & (digits >= 2) & (upper >= 2) & (lower >= 2)
         return F.struct(
-            counts.alias("counts"), sum_now.alias("sum"), digits, upper, lower, hexes,
+            counts.alias("counts"), sum_now.alias("sum"), digits, upper, lower, hexes, upper_hexes,
             F.greatest(state["hex"], F.when(is_hex, bits).otherwise(-1.0)).alias("hex"),
+            F.greatest(state["one_case"], F.when(is_one_case, bits).otherwise(-1.0)).alias("one_case"),
             F.greatest(state["mixed"], F.when(is_mixed, bits).otherwise(-1.0)).alias("mixed"),
         )
 
     zero = F.lit(0)
     start = F.struct(
         F.array_repeat(zero, 128).alias("counts"), F.lit(0.0).alias("sum"), zero.alias("digits"), zero.alias("upper"),
-        zero.alias("lower"), zero.alias("hexes"), F.lit(-1.0).alias("hex"), F.lit(-1.0).alias("mixed"),
+        zero.alias("lower"), zero.alias("hexes"), zero.alias("upper_hexes"), F.lit(-1.0).alias("hex"),
+        F.lit(-1.0).alias("one_case"), F.lit(-1.0).alias("mixed"),
     )
 
     def slide(codes: Column) -> Column:
@@ -130,7 +137,7 @@ def window_entropy(candidate: Column) -> Column:
             ),
         )
         return F.aggregate(
-            steps, start, step, lambda state: F.struct(state["hex"].alias("hex"), state["mixed"].alias("mixed"))
+            steps, start, step, lambda state: F.struct(*(state[c].alias(c) for c in ("hex", "one_case", "mixed")))
         )
 
     # candidates are ASCII; the empty string at the end of the split is dropped
@@ -143,8 +150,15 @@ def entropy_spans(text: Column, base: Column) -> Column:
     def hot(candidate: Column) -> Column:
         # a digit and a letter are in every window that counts
         plain = candidate.rlike("[0-9]") & candidate.rlike("[A-Za-z]") & ~candidate.rlike(ALLOWED)
-        entropy = let(window_entropy(candidate), lambda best: (best["hex"] >= HEX_BITS) | (best["mixed"] >= MIXED_BITS))
-        return F.when(plain, entropy).otherwise(False)
+        pieces = F.filter(F.split(candidate, ALLOWED_PARTS), lambda p: F.char_length(p) >= WINDOW)
+
+        def reaches(piece: Column) -> Column:
+            return let(
+                window_entropy(piece),
+                lambda best: (best["hex"] >= HEX_BITS) | (best["one_case"] >= ONE_CASE_BITS) | (best["mixed"] >= MIXED_BITS),
+            )
+
+        return F.when(plain, F.exists(pieces, reaches)).otherwise(False)
 
     found = spans_of(text, KINDS.index("entropy"), CANDIDATE, hot)
     return F.filter(
