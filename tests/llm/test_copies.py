@@ -177,6 +177,14 @@ def test_leaks_in_blocks_equal_one_index(spark, documents, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in decontamination.leaks(docs, items).collect()} == whole
 
 
+def test_scores_do_not_depend_on_blocks(spark, monkeypatch):
+    items = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    whole = sorted(map(tuple, decontamination.leaks(docs, items).collect()))
+    monkeypatch.setattr(decontamination, "ITEM_WORDS", 300)
+    assert whole and sorted(map(tuple, decontamination.leaks(docs, items).collect())) == whole
+
+
 def test_every_retrieved_item_is_found_by_exhaustive_scoring(spark):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
     docs = [decontamination.words(r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]

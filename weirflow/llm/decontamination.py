@@ -13,9 +13,10 @@ question and of its answer stand in the passage. An item's last sentence is take
 answer; an item of one sentence is split after three quarters of its words. An item under
 ``SHORT`` words leaks only where all its words stand in the passage one after the other.
 
-Items are indexed in blocks of at most about ``ITEMS`` and each block is searched by all
-passages, so what is broadcast is bounded however many items there are. Every block has
-its own statistics.
+Items are indexed in blocks of at most about ``ITEMS`` items and ``ITEM_WORDS`` words and each
+block is searched by all passages, so what is broadcast is bounded however many items there
+are. The statistics are those of all items: scores and passages do not depend on the blocks.
+Tasks build the blocks' indexes; the driver passes them on one by one, as bytes.
 
 Defined results: null or empty texts have no passages; an item without words
 never matches; equal items all match; an item that leaks
@@ -27,13 +28,16 @@ ignored.
 from __future__ import annotations
 
 import math
+import pickle
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import repeat
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +47,7 @@ K1, B = 1.2, 0.75
 THRESHOLD = 0.5  # share of an item's own weight
 OVERLAP = 0.6  # share of trigrams, of the question and of the answer
 SHORT = 8  # items under so many words count only as a whole
-ITEMS = 20_000
+ITEMS, ITEM_WORDS = 20_000, 2_000_000  # of a block
 BLOCK = 8  # items that share a block maximum
 CELLS = 2_000_000  # block sums held at once
 
@@ -74,10 +78,19 @@ def question_and_answer(text: str) -> tuple[list[bytes], list[bytes]]:
     return own[:cut], own[cut:]
 
 
+class Statistics(NamedTuple):
+    """Of all items: their number, mean and greatest length, and the items that have a term."""
+
+    items: int
+    mean: float
+    longest: int
+    df: dict[bytes, int]
+
+
 class Index:
-    """A BM25 inverted index of some items with block maxima."""
+    """A BM25 inverted index of some items with block maxima; without statistics, those of the items hold."""
 
-    def __init__(self, items: list[tuple[int, str | None]], threshold: float):
+    def __init__(self, items: list[tuple[int, str | None]], threshold: float, known: Statistics | None = None):
         kept = [(i, t) for i, t in items if words(t)]
         self.threshold = threshold
         self.ids = [i for i, _ in kept]
@@ -85,18 +98,19 @@ class Index:
         self.whole = [b" ".join([b"", *own, b""]) if len(own := words(t)) < SHORT else None for _, t in kept]
         counts = [Counter(words(t)) for _, t in kept]
         lengths = [sum(c.values()) for c in counts]
-        self.stretch = max(lengths, default=1)
-        mean = sum(lengths) / max(1, len(lengths))
         df = Counter(term for c in counts for term in c)
+        if known is None:
+            known = Statistics(len(kept), sum(lengths) / max(1, len(lengths)), max(lengths, default=1), df)
+        self.stretch, mean = known.longest, known.mean
         self.vocabulary = {term: k for k, term in enumerate(df)}
         self.weights: list[dict[int, float]] = []
         for c, length in zip(counts, lengths):
             own = {
-                self.vocabulary[t]: math.log(1 + (len(kept) - df[t] + 0.5) / (df[t] + 0.5))
+                self.vocabulary[t]: math.log(1 + (known.items - known.df[t] + 0.5) / (known.df[t] + 0.5))
                 * n * (K1 + 1) / (n + K1 * (1 - B + B * length / mean))
                 for t, n in c.items()
             }
-            total = sum(own.values())
+            total = math.fsum(own.values())  # in any order of the terms
             self.weights.append({t: w / total for t, w in own.items()})
         # the most common terms, as long as they leave every item far from the threshold
         rest = np.zeros(len(kept))
@@ -175,7 +189,7 @@ class Index:
                 lo, hi = np.searchsorted(stretch_of, [stretch, min(stretch + 2, base)])
                 has = set(terms[lo:hi].tolist())
                 for i in range(block * BLOCK, min((block + 1) * BLOCK, len(self.ids))):
-                    score = sum(w for t, w in self.weights[i].items() if t in has)
+                    score = math.fsum(w for t, w in self.weights[i].items() if t in has)
                     if score < self.threshold:
                         continue
                     k, start = owner[stretch]
@@ -192,13 +206,55 @@ class Index:
             yield k, i, *found
 
 
-def _search_block(docs: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
-    rows = [(r["item_id"], r["text"]) for r in items.select("item_id", "text").distinct().collect()]
-    rows.sort(key=lambda r: (r[0] is None, r[0], r[1] or ""))
-    index = docs.sparkSession.sparkContext.broadcast(Index(rows, threshold))
+def _indexes(items: DataFrame, threshold: float) -> tuple[DataFrame, int]:
+    """The pickled index of each block of distinct items, built in tasks, and the number of blocks."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [words(t) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0), batch.column(1), pa.array([len(w) for w in own], pa.int64()),
+                    pa.array([sorted(set(w)) for w in own], pa.list_(pa.binary())),
+                ],
+                ["item_id", "text", "length", "terms"],
+            )
+
+    known = items.distinct().mapInArrow(split, "item_id BIGINT, text STRING, length BIGINT, terms ARRAY<BINARY>")
+    known = stored(known.filter("length > 0"), "items")
+    number, total, longest = known.agg(F.count("*"), F.sum("length"), F.max("length")).first()
+    if not number:
+        return known, 0
+    blocks = max(-(-number // ITEMS), -(-total // ITEM_WORDS))
+    known = known.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)).cast("int"))
+    # a term goes to each block that has it, with the number of all items that have it
+    terms = known.select("block", F.explode("terms").alias("term")).groupBy("term", "block").count()
+    terms = terms.groupBy("term").agg(F.sum("count").alias("df"), F.collect_list("block").alias("blocks"))
+    rows = known.select(
+        "block", "item_id", "text", F.lit(None).cast("binary").alias("term"), F.lit(None).cast("bigint").alias("df")
+    ).union(
+        terms.select(
+            F.explode("blocks").alias("block"), F.lit(None).cast("bigint"), F.lit(None).cast("string"), "term", "df"
+        )
+    )
 
+    def build(table: pa.Table) -> pa.Table:
+        own, df = [], {}
+        for item, text, term, n in zip(*(table.column(c).to_pylist() for c in ("item_id", "text", "term", "df"))):
+            if term is None:
+                own.append((item, text))
+            else:
+                df[term] = n
+        own.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+        index = pickle.dumps(Index(own, threshold, Statistics(number, total / number, longest, df)))
+        return pa.table({"block": table.column("block")[:1], "index": pa.array([index], pa.binary())})
+
+    return stored(rows.groupBy("block").applyInArrow(build, "block INT, index BINARY"), "indexes"), blocks
+
+
+def _search(docs: DataFrame, pickled: Broadcast) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = index.value
+        own = pickle.loads(pickled.value)
         for batch in batches:
             for start in range(0, batch.num_rows, 200):
                 part = batch.slice(start, 200)
@@ -213,21 +269,29 @@ def _search_block(docs: DataFrame, items: DataFrame, threshold: float) -> DataFr
                     ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"],
                 )
 
+    return docs.select("doc_id", "text").mapInArrow(run, _found_schema(docs))
+
+
+def _found_schema(docs: DataFrame) -> str:
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, item_id BIGINT, score DOUBLE, question_overlap DOUBLE, answer_overlap DOUBLE"
-    )
+    return f"doc_id {kind}, item_id BIGINT, score DOUBLE, question_overlap DOUBLE, answer_overlap DOUBLE"
 
 
 def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Per document and item that leaked into it: doc_id, item_id, score, question_overlap, answer_overlap."""
-    items = items.select(F.col("item_id").cast("bigint").alias("item_id"), "text")
-    blocks = max(1, -(-items.count() // ITEMS))
-    found = None
+    spark = docs.sparkSession
+    indexes, blocks = _indexes(items.select(F.col("item_id").cast("bigint").alias("item_id"), "text"), threshold)
+    found = spark.createDataFrame([], _found_schema(docs))
     for k in range(blocks):
-        block = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
-        rows = _search_block(docs, block, threshold)
-        found = rows if found is None else found.unionByName(rows)
+        row = indexes.filter(F.col("block") == k).select("index").first()
+        if row is None:
+            continue  # no item fell into it
+        pickled = spark.sparkContext.broadcast(bytes(row["index"]))
+        rows = _search(docs, pickled)
+        if blocks == 1:
+            return rows
+        found = found.unionByName(stored(rows, "found"))
+        pickled.destroy()
     return found
 
 
