@@ -63,6 +63,26 @@ def test_memory_is_bounded(model, monkeypatch):
     assert [r[1] for part in got for r in part] == [",".join(map(str, i)) for i in codec.library.encode(texts)]
 
 
+def test_whole_texts_are_compared_and_decoded_by_the_library(model, monkeypatch):
+    codec = sentencepiece_codec.Codec(model)
+    decoded = []
+
+    class Library:
+        def __getattr__(self, name):
+            return getattr(library, name)
+
+        def decode(self, ids):
+            decoded.append(ids)
+            return library.decode(ids)
+
+    library, codec.library = codec.library, Library()
+    ((n, ids, text),) = codec.process(["one two  three"])
+    assert decoded == [library.encode("one two  three")] and n == len(decoded[0]) and text == library.decode(decoded[0])
+    monkeypatch.setattr(codec, "split", lambda text: list("▁" + text))  # cuts that pieces span
+    with pytest.raises(ValueError, match="differ"):
+        codec.process(["international"])
+
+
 # ---- toxicity ----
 
 

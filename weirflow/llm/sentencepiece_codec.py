@@ -4,8 +4,8 @@ The encoder keeps an agenda of adjacent symbol pairs and always merges the pair
 piece scores highest, leftmost first, until no pair forms a piece; symbols that are no
 piece become bytes. A text is cut into units at places that no piece of the vocabulary
 spans, so units can be encoded one by one and remembered: the memory is bounded, and
-what it forgets is encoded again. Each new unit is compared with the sentencepiece
-library, all new units of an Arrow batch in one call; a difference stops the job.
+what it forgets is encoded again. The ids of each whole text, and with them of each unit, are
+compared with the sentencepiece library; a difference stops the job. Ids are decoded by the library.
 
 Defined results: a null or empty text has no pieces and decodes to the empty text;
 rows are independent, so repeated rows and other columns change nothing; ``doc_id``
@@ -19,6 +19,7 @@ import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -47,12 +48,9 @@ class Codec:
             elif not self.library.is_control(i) and not self.library.is_unknown(i):
                 self.scores[piece] = self.library.get_score(i)
                 self.ids[piece] = i
-        self.raw = [p.replace(SPACE, " ").encode() for p in self.pieces]
-        for b, i in self.bytes.items():
-            self.raw[i] = bytes((b,))
         self.units = self._unit_pattern()
-        self.memory: dict[str, tuple[int, str, bytes]] = {}
-        self.older: dict[str, tuple[int, str, bytes]] = {}
+        self.memory: dict[str, tuple[list[int], str]] = {}
+        self.older: dict[str, tuple[list[int], str]] = {}
 
     def _unit_pattern(self) -> re.Pattern:
         """Cuts a text where no piece spans the cut.
@@ -136,28 +134,15 @@ class Codec:
                 out.append(self.unknown)
         return out
 
-    def decode_ids(self, ids: list[int]) -> bytes:
-        """The bytes of some pieces, space marks as spaces; nothing is stripped."""
-        return b"".join([self.raw[i] for i in ids])
-
     def split(self, text: str) -> list[str]:
         """The units of a text, with the mark that stands before it."""
         return self.units.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
     def learn(self, units: set[str]) -> None:
-        """Encode new units, compare all of them with the library, remember them."""
-        new = sorted(units)
-        own = [self.encode_unit(u) for u in new]
-        # the library puts a space mark before each text, which the unit may lack:
-        # a text of one newline first keeps the unit apart from that mark
-        for unit, ids, theirs in zip(new, own, self.library.encode(["\n" + u for u in new], num_threads=1)):
-            if theirs[self._guard() :] != ids:
-                raise ValueError(f"unit {unit!r}: {ids} here, {theirs[self._guard():]} in the library")
-            self.memory[unit] = (len(ids), ",".join(map(str, ids)), self.decode_ids(ids))
-
-    @lru_cache(maxsize=1)  # noqa: B019  one codec per worker
-    def _guard(self) -> int:
-        return len(self.library.encode("\n"))
+        """Encode new units and remember them."""
+        for unit in units:
+            ids = self.encode_unit(unit)
+            self.memory[unit] = (ids, ",".join(map(str, ids)))
 
     def process(self, texts: list[str | None]) -> list[tuple[int, str, str]]:
         """Per text: number of ids, the ids joined by commas, the decoded text."""
@@ -170,13 +155,12 @@ class Codec:
         self.learn(missing - known)
         get = self.memory.__getitem__
         out = []
-        for units in split:
-            if not units:
-                out.append((0, "", ""))
-                continue
-            counts, ids, parts = zip(*map(get, units))
-            decoded = b"".join(parts).decode("utf-8", "replace")
-            out.append((sum(counts), ",".join(ids), decoded.removeprefix(" ")))
+        for text, units in zip(texts, split):
+            known = list(map(get, units))
+            theirs = self.library.encode(text or "")
+            if theirs != list(chain.from_iterable(ids for ids, _ in known)):
+                raise ValueError(f"the ids of {text[:200]!r}... differ from those of the library")
+            out.append((len(theirs), ",".join([joined for _, joined in known]), self.library.decode(theirs)))
         return out
 
 
@@ -239,10 +223,7 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model)
         for batch in batches:
-            texts = [
-                own.decode_ids(ids or []).decode("utf-8", "replace").removeprefix(" ")
-                for ids in batch.column(1).to_pylist()
-            ]
+            texts = [own.library.decode(ids or []) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"]
             )
