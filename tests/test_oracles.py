@@ -1,8 +1,8 @@
 """Every named query against its SQL oracle on the smallest tables."""
 
 import pytest
-from conftest import SMALL
 from oracle_check import connect, differences
+from sample_tables import SMALL
 
 from weirflow.plans import ORACLES, QUERIES
 

@@ -1,7 +1,7 @@
 """What the physical plans must and must not contain."""
 
 import pytest
-from conftest import SMALL
+from sample_tables import SMALL
 
 from weirflow.plans import QUERIES
 

@@ -32,6 +32,10 @@ def topics(spark, feed, tmp_path):
     return path
 
 
+def runs_of(log):
+    return [name for name in os.listdir(log) if name.startswith("run=")]
+
+
 def run(spark, topics, log, tmp_path, name, files):
     query = ingest(
         stream_change_files(spark, topics, files), log, str(tmp_path / name), name=name, interval=None
@@ -44,9 +48,9 @@ def test_stream_equals_batch_and_replay_changes_nothing(spark, topics, tmp_path)
     expected = rows(merging.merge(mapping.changes(read_change_files(spark, topics))))
     run(spark, topics, log, tmp_path, "first", 2)
     # a batch delivered again replaces itself
-    files = sorted(os.listdir(f"{log}/{os.listdir(log)[0]}"))
-    assert len([f for f in files if f.startswith("batch_id=")]) > 1
-    retry = log_writer(log, os.listdir(log)[0].removeprefix("run="))
+    [one] = runs_of(log)
+    assert len([f for f in os.listdir(f"{log}/{one}") if f.startswith("batch_id=")]) > 1
+    retry = log_writer(log, one.removeprefix("run="))
     first_batch = read_log(spark, log, outcome=None).filter("batch_id = 0")
     offsets = [r.offset for r in first_batch.collect()]
     messages = read_change_files(spark, topics)
@@ -71,7 +75,7 @@ def test_unfinished_batches_are_not_read(spark, topics, tmp_path):
     assert read_log(spark, log).count() == 0
     run(spark, topics, log, tmp_path, "first", 2)
     whole = read_log(spark, log, outcome=None).count()
-    [one] = os.listdir(log)
+    [one] = runs_of(log)
     os.remove(f"{log}/{one}/batch_id=0/_SUCCESS")  # as if it were being written
     assert 0 < read_log(spark, log, outcome=None).count() < whole
 
