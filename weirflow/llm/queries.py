@@ -11,6 +11,7 @@ from weirflow.llm import (
     decontamination,
     exact_dedup,
     html_template,
+    lexical_search,
     near_dup,
     quality,
     secrets,
@@ -18,6 +19,7 @@ from weirflow.llm import (
     sharding,
     toxicity,
     url_filter,
+    weighted_sampling,
 )
 from weirflow.llm.common import fold, table
 
@@ -99,6 +101,14 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op12_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return weighted_sampling.with_edits(table(spark, folder, "documents"))
+
+
 CORPUS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_secrets": op2_secrets,
@@ -110,8 +120,13 @@ CORPUS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_sharding": op10_sharding,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_fingerprints": op12_fingerprints,
 }
 
+#: The terms of a text column, as DuckDB says it.
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
 _PATTERNS = " OR ".join(f"regexp_matches(lower(coalesce(url, '')), '{p.expression}')" for p in url_filter.PATTERNS)
 
 CORPUS_ORACLES: dict[str, str] = {
@@ -146,4 +161,32 @@ CORPUS_ORACLES: dict[str, str] = {
               FROM documents)
         WINDOW same AS (PARTITION BY text_sha256)
     """,
+    "op11_lexical_search": rf"""
+        WITH split AS (
+            SELECT doc_id, {_TERMS} AS terms FROM documents
+        ), sizes AS (
+            SELECT doc_id, len(terms) AS n FROM split WHERE len(terms) > 0
+        ), whole AS (
+            SELECT count(*) AS documents, sum(n)::BIGINT AS total FROM sizes
+        ), items AS (
+            SELECT item_id, term, count(*) AS repeats
+            FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY item_id, term
+        ), counts AS (
+            SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(terms) AS term FROM split)
+            WHERE term IN (SELECT term FROM items) GROUP BY doc_id, term
+        ), weights AS (
+            SELECT term, floor(1000 * ln((2 * documents + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+            FROM counts, whole GROUP BY term, documents
+        ), scores AS (
+            SELECT item_id, doc_id, sum(repeats * weight * (
+                (1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * documents) // total))
+            ))::BIGINT AS score
+            FROM items JOIN counts USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id), whole
+            GROUP BY item_id, doc_id
+        ), ranks AS (
+            SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+            FROM scores WHERE score > 0
+        )
+        SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranks WHERE rank <= 20
+    """,
 }
