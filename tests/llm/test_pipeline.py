@@ -53,7 +53,7 @@ def test_stages_take_an_empty_table(spark, documents):
         assert stage(spark, documents([]), SMALL).collect() == []
 
 
-@pytest.mark.parametrize("n", range(1, 11))
+@pytest.mark.parametrize("n", range(1, 14))
 def test_one_query_for_each_operator(n):
     assert sum(name.startswith(f"op{n}_") for name in CORPUS_QUERIES) == 1
     assert set(CORPUS_ORACLES) <= set(CORPUS_QUERIES)

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from weirflow.llm import lexical_search, weighted_sampling
+from weirflow.llm import lexical_search, spelling_variants, weighted_sampling
 from weirflow.llm.common import table
 from weirflow.llm.queries import CORPUS_QUERIES
 
@@ -155,3 +155,109 @@ def test_words_and_levels(monkeypatch):
     whole = weighted_sampling.fingerprints([text])
     monkeypatch.setattr(weighted_sampling, "WORDS", 7)  # in small blocks
     assert weighted_sampling.fingerprints([text]) == whole
+
+
+# ---- spelling variants ----
+
+
+def brute_words(rows):
+    counts = Counter()
+    for i, t in rows:
+        for run in re.findall("[A-Za-z\u00C0-\u00FF]+", t or ""):
+            run = run.translate(A_TO_Z)
+            if i is not None and (h := zlib.crc32(f"{i}:{run}".encode())) % 97 == 0:
+                k = h % len(run)
+                run = run[:k] + run[k + 1 :]
+            if len(run) >= 5:
+                counts[run] += 1
+    return {w: n for w, n in counts.items() if n >= 3}
+
+
+def brute_near(words):
+    """Pairs one code point apart, by what is left of each without one letter."""
+    holes, shorter = defaultdict(set), defaultdict(set)
+    for w in words:
+        for k in range(len(w)):
+            holes[w[:k], w[k + 1 :]].add(w)
+            shorter[w[:k] + w[k + 1 :]].add(w)
+    near = defaultdict(set)
+    for group in holes.values():
+        for w in group:
+            near[w] |= group - {w}
+    for w in words:
+        for longer in shorter.get(w, ()):
+            near[w].add(longer)
+            near[longer].add(w)
+    return near
+
+
+def brute_variants(rows):
+    counts = brute_words(rows)
+    near = brute_near(set(counts))
+    form = {}
+    for w, n in counts.items():
+        best = min(near[w], key=lambda v: (-counts[v], v), default=None)
+        form[w] = best if best is not None and counts[best] >= 2 * n else None
+    out = Counter()
+    for w, n in counts.items():
+        end = w
+        while form[end] is not None:
+            end = form[end]
+        out[w, n, len(near[w]), form[w], counts.get(form[w]), end] += 1
+    return out
+
+
+def found_variants(frame):
+    return Counter(map(tuple, frame.select("word", "n", "n_near", "form", "form_n", "root").collect()))
+
+
+def misspelt_rows(seed, count):
+    rng = random.Random(seed)
+    stems = ["".join(rng.choices("abcé", k=rng.randint(5, 11))) for _ in range(40)]
+    words = []
+    for stem in stems:
+        for _ in range(rng.randint(1, 6)):
+            own, k = list(stem), rng.randrange(len(stem))
+            own[k : k + 1] = rng.choice([[], [own[k], rng.choice("abcÿ")], [rng.choice("abc")]])
+            words += ["".join(own)] * rng.randint(1, 4)
+        words += [stem] * rng.randint(1, 20)
+    chain = "levels " * 40 + "levelss " * 12 + "levelsss " * 4
+    return [(k, " ".join(rng.choices(words, k=60)) + ".") for k in range(count)] + [(count, chain)]
+
+
+def test_variants_equal_brute_force(documents, odd_texts, monkeypatch):
+    rows = misspelt_rows(1, 60) + odd_texts + [(None, "Straße straße STRASSE, naïve naive Naïve naïve")] * 3
+    want = brute_variants(rows)
+    assert sum(form is not None for _, _, _, form, _, _ in want) > 20 and any(r[3] and r[3] != r[5] for r in want)
+    assert found_variants(spelling_variants.variants(documents(rows).repartition(3))) == want
+    # small blocks cut pieces into parts; small lists cut texts
+    for name, value in (("BLOCK", 5), ("PIECE", 64), ("KEPT", 10), ("QUERIES", 7), ("STEP", 4)):
+        monkeypatch.setattr(spelling_variants, name, value)
+    assert found_variants(spelling_variants.variants(documents(rows))) == want
+
+
+def test_variants_query(spark):
+    rows = [tuple(r) for r in table(spark, SMALL, "documents").select("doc_id", "text").collect()]
+    assert found_variants(CORPUS_QUERIES["op13_spelling_variants"](spark, SMALL)) == brute_variants(rows)
+
+
+def test_variants_of_empty_tables(documents):
+    assert spelling_variants.variants(documents([])).collect() == []
+    assert spelling_variants.variants(documents([(1, None), (2, "a b c 123"), (3, "words words")])).collect() == []
+
+
+def test_long_chains_of_forms(spark):
+    chain = [(f"w{k:03}", f"w{k + 1:03}") for k in range(50)]
+    forms = spark.createDataFrame(chain, "word STRING, form STRING")
+    assert {r.root for r in spelling_variants.roots(forms).collect()} == {"w050"}
+
+
+def test_index_counts_and_finds():
+    rng = random.Random(8)
+    words = sorted({"".join(rng.choices("abc", k=rng.randint(5, 8))).encode() for _ in range(300)})
+    index = spelling_variants.Variants(words)
+    text = b"\0" + b"\0".join(words) + b"\0"
+    assert sorted(range(len(text)), key=lambda k: text[k:]) == index.indexes[0].ranks.tolist()
+    found = {(words[i], words[j]) for a, b in index.near(words) for i, j in zip(a.tolist(), b.tolist())}
+    near = brute_near({w.decode() for w in words})
+    assert found == {(a.encode(), b.encode()) for a in near for b in near[a]}

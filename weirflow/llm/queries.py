@@ -17,6 +17,7 @@ from weirflow.llm import (
     secrets,
     sentencepiece_codec,
     sharding,
+    spelling_variants,
     toxicity,
     url_filter,
     weighted_sampling,
@@ -109,6 +110,10 @@ def op12_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return weighted_sampling.with_edits(table(spark, folder, "documents"))
 
 
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants.variants(table(spark, folder, "documents"))
+
+
 CORPUS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_secrets": op2_secrets,
@@ -122,6 +127,7 @@ CORPUS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sharding": op10_sharding,
     "op11_lexical_search": op11_lexical_search,
     "op12_fingerprints": op12_fingerprints,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 #: The terms of a text column, as DuckDB says it.
