@@ -333,7 +333,7 @@ def test_template_overrules_a_name_around_the_container(spark):
 
 def test_texts_of_the_template_are_no_article(spark):
     page = (
-        "<html><body><article><h1>Head {0}</h1><div class='x1'><p>Sign up <b>now</b></p></div><p>first text {0}</p>"
+        "<html><body><article><h1>Head {0}</h1><div class='x1'>Sign up <b>now</b></div><p>first text {0}</p>"
         "<p>A paragraph that all repeat</p><div class='q'>{1}</div></article></body></html>"
     )
     rows = [(n, f"http://a.org/{n}", page.format(n, "All rights kept" if n else "Once told")) for n in range(24)]
@@ -346,6 +346,27 @@ def test_texts_of_the_template_are_no_article(spark):
     assert [got[100 + n] for n in range(4)] == [copy] * 4
 
 
+def test_repeated_paragraphs_and_headings_are_kept(spark):
+    body = "".join(f"<p>paragraph {k} of a text that three pages have</p>" for k in range(12))
+    page = "<html><body><div class='post'><h1>Title {0}</h1><{1}>{2}</{1}><div>updated {0}</div></div></body></html>"
+    own = "".join(f"<p>another paragraph {k}</p>" for k in range(12))
+    rows = [(n, f"http://near.org/{n}", page.format(n, "section", body if n else own)) for n in range(4)]
+    # plain divisions instead of paragraphs: too much of the page to be a template's
+    rows += [(10 + n, f"http://plain.org/{n}", page.format(n, "section", (body if n else own).replace("p>", "div>"))) for n in range(4)]
+    parts = (
+        "<html><body><article><h1>Head {0}</h1><h2>Introduction</h2><p>first {0}</p><ul><li>Same item</ul><h2>Conclusion</h2>"
+        "<p>last {0}</p><div class='x'>Sign up now</div></article></body></html>"
+    )
+    rows += [(20 + n, f"http://heads.org/{n}", parts.format(n)) for n in range(6)]
+    got = texts_of(spark, rows)
+    for n in range(1, 4):
+        for first in (0, 10):
+            lines = got[first + n].split("\n\n")
+            assert lines[:13] == [f"Title {n}", *(f"paragraph {k} of a text that three pages have" for k in range(12))]
+    for n in range(6):
+        assert got[20 + n] == "\n\n".join([f"Head {n}", "Introduction", f"first {n}", "Same item", "Conclusion", f"last {n}"])
+
+
 def test_main_text_of_given_pages(spark):
     rows = CORPUS_QUERIES["op6_html_extraction"](spark, SMALL).collect()
     source = {r.page_id: r.html for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}

@@ -10,12 +10,13 @@ shuffle, and no task holds its pages. Classes that are large (two tokens or more
 frequent (on half of the host's pages) are taken in order of support; one that would
 cross a class already taken, instead of nesting in one of its slots, is invalid. What is
 left is the host's template, and the text between its tokens lies in its slots. The
-element whose slots hold the article is the innermost container with most of the host's
-text outside of navigation, notices, adverts, forms and comments; the text of its slots
+element whose slots hold the article is the innermost container with the article's main
+heading, if pages have one of their own, and most of the host's text outside of navigation, notices, adverts, forms and comments; the text of its slots
 is extracted page by page. A text that half of the host's pages have in one path belongs to
 the template, unless that path has other texts too on more than a few pages: then it is a
-slot, and the text a paragraph that articles repeat. A page without any other text keeps
-its own. Tables of tokens that all hosts share serve pages whose host
+slot. Headings and paragraphs (``PARAGRAPHS``) always are: articles repeat them, and pages of a
+host may be near copies of each other. For the same reason a page that would lose more than
+half of its container's text keeps all of it. Tables of tokens that all hosts share serve pages whose host
 has too few pages, or that lack their host's container.
 
 Defined results: null, empty and markup-free pages give the text outside of any markup,
@@ -60,6 +61,8 @@ INLINE = frozenset(
     "a abbr b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup "
     "time tt u var".split()
 )
+#: Texts in these are slots, never part of a template.
+PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote figcaption caption td th".split())
 LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote figcaption caption td th tr ul ol dl".split())
 CLOSED_BY_BLOCK = frozenset({"p"})
 SAME_CLOSES = frozenset("li dt dd tr td th option".split())
@@ -184,6 +187,11 @@ def blocks(page: str, spared: str = "") -> Iterator[tuple[str, str, str, int]]:
         yield "block", stack[-1], text, at
 
 
+def is_paragraph(path: str) -> bool:
+    """Whether a text in this path stands in a heading or paragraph."""
+    return path.rpartition("/")[2].partition(".")[0] in PARAGRAPHS
+
+
 def text_hash(path: str, text: str) -> int:
     return int.from_bytes(hashlib.blake2b(f"{path}\n{text}".encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
@@ -224,10 +232,13 @@ def tokens_of(page: str) -> dict[str, list[int]]:
     return tokens
 
 
-def template(tokens: pd.DataFrame, pages: int, whole: int | None = None) -> str | None:
+def template(
+    tokens: pd.DataFrame, pages: int, whole: int | None = None, repeated: Collection[str] | None = None
+) -> str | None:
     """The path of the element that holds the article, from a host's frequent tokens and its length of text.
 
-    ``chars`` of a token is the text in its path and below, on all pages.
+    ``chars`` of a token is the text in its path and below, on all pages; ``repeated`` are the paths
+    that have a text of many pages: a main heading in another path is an article's and belongs to it.
     """
     classes = defaultdict(list)
     tokens = tokens[~tokens.token.str.startswith("=")]
@@ -259,23 +270,29 @@ def template(tokens: pd.DataFrame, pages: int, whole: int | None = None) -> str
         p for p, n in chars.items() if n >= MOST_TEXT * whole and name(p) not in LEAVES and name(p) not in DROPPED
     ]
     named = [p for p in holders if name(p) in ("article", "main")]
+    if repeated is not None:
+        titles = [p for p, n in chars.items() if n and name(p) == "h1" and p not in repeated]
+        holders = [p for p in holders if any(t.startswith(f"{p}/") for t in titles)] or holders
     # the outermost article, else the innermost container
     return min(named, key=len) if named else max(holders, key=len, default=None)
 
 
-def without_template_texts(tokens: pd.DataFrame) -> tuple[pd.DataFrame, list[int], int, int]:
-    """A host's frequent tokens less its template's texts, the hashes of these, and their two lengths."""
+def without_template_texts(tokens: pd.DataFrame) -> tuple[pd.DataFrame, list[int], int, int, int]:
+    """A host's frequent tokens less its template's texts, the hashes of these, their two lengths, and what repeated paragraphs add to the second."""
     is_text = tokens.token.str.startswith("=")
     texts = tokens[is_text].assign(path=[token.partition(" ")[2] for token in tokens.token[is_text]])
     tokens = tokens[~is_text].copy()
     at = {token[1:]: k for k, token in enumerate(tokens.token) if token[0] == "<"}
     column = {c: tokens.columns.get_loc(c) for c in ("chars", "loose")}
-    hashes, lengths = [], [0, 0]
+    hashes, lengths, repeated = [], [0, 0], 0
     for path, own in texts.groupby("path"):
         if path not in at:
             continue  # outside of all elements
         if tokens.texts.iloc[at[path]] - own.total.sum() > OTHER_TEXTS * own.total.sum():
             continue  # a slot
+        if is_paragraph(path):
+            repeated += int(own["loose"].sum())
+            continue
         hashes += [int(token.partition(" ")[0][1:]) for token in own.token]
         for k, name in enumerate(column):
             length = int(own[name].sum())
@@ -285,7 +302,7 @@ def without_template_texts(tokens: pd.DataFrame) -> tuple[pd.DataFrame, list[int
                 if around in at:
                     tokens.iloc[at[around], column[name]] -= length
                 around = around.rpartition("/")[0]
-    return tokens, hashes, *lengths
+    return tokens, hashes, *lengths, repeated
 
 
 SUMS = ("pages", "total", "position", "f1", "f2", "chars", "loose", "texts")
@@ -340,14 +357,15 @@ def deduce(pages: DataFrame) -> DataFrame:
 
     def one_host(rows: pd.DataFrame) -> pd.DataFrame:
         host, number, whole, loose = (rows[c].iloc[0] for c in ("host", "host_pages", "host_chars", "host_loose"))
-        left, hashes, kept, named = without_template_texts(rows)
-        if whole > kept or loose > named:
+        fixed = None if host == ALL else {t.partition(" ")[2] for t in rows.token if t.startswith("=")}
+        left, hashes, kept, named, repeated = without_template_texts(rows)
+        if loose > named + repeated:
             rows, whole, loose = left, whole - kept, loose - named
         else:  # the pages are copies of one page
             rows, hashes = rows[~rows.token.str.startswith("=")], []
         if whole < (1 - MOST_TEXT) * loose:  # most text stands below a name of other parts: its name tells something else
             rows, whole = rows.assign(chars=rows.loose), loose
-        return pd.DataFrame({"host": [host], "container": [template(rows, int(number), int(whole))], "texts": [hashes]})
+        return pd.DataFrame({"host": [host], "container": [template(rows, int(number), int(whole), fixed)], "texts": [hashes]})
 
     found = frequent.groupBy("host").applyInPandas(one_host, "host STRING, container STRING, texts ARRAY<BIGINT>")
     return found.filter("container IS NOT NULL")
@@ -364,8 +382,12 @@ def extract(page: str | None, containers: list[str], texts: Collection[int] = ()
         (path, text) for kind, path, text, level in own
         if kind == "block" and level == KEPT and f"{path}/".startswith(f"{container}/")
     ]
-    slots = [text for path, text in inside if not texts or text_hash(path, text) not in texts]
-    return "\n\n".join(slots or [text for _, text in inside])
+    if texts:
+        slots = [(path, text) for path, text in inside if text_hash(path, text) not in texts]
+        # most of the text is no template's: the page is a near copy of others
+        if 2 * sum(len(text) for _, text in slots) >= sum(len(text) for _, text in inside):
+            inside = slots
+    return "\n\n".join(text for _, text in inside)
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
