@@ -54,13 +54,17 @@ def test_heap_and_scan_merge_alike(model):
         assert codec.merge(unit) == codec._merge_long(list(unit))
 
 
-def test_memory_is_bounded(model, monkeypatch):
-    monkeypatch.setattr(sentencepiece_codec, "REMEMBERED", 50)
+def test_batches_and_segments_change_nothing(model, monkeypatch):
     codec = sentencepiece_codec.Codec(model)
-    texts = [f"word{i}x other{i * 7} text" for i in range(400)]
-    got = [codec.process(texts[k : k + 20]) for k in range(0, 400, 20)]
-    assert len(codec.memory) < 50 + 20 * 30
-    assert [r[1] for part in got for r in part] == [",".join(map(str, i)) for i in codec.library.encode(texts)]
+    texts = [f"word{i}x  other{i * 7} text ▁ éü{i}" * (1 + i % 9) for i in range(200)] + ["", "x" * 300, "  ", None]
+    want = [codec.library.encode(t or "") for t in texts]
+    for rows, chars in ((500, 1 << 20), (7, 50), (1, 1)):
+        monkeypatch.setattr(sentencepiece_codec, "ROWS", rows)
+        monkeypatch.setattr(sentencepiece_codec, "CHARS", chars)
+        got = codec.process(texts)
+        assert [ids for ids, _, _ in got] == want
+        assert [joined.decode() for _, joined, _ in got] == [",".join(map(str, i)) for i in want]
+        assert [text for _, _, text in got] == [codec.library.decode(i) for i in want]
 
 
 def test_whole_texts_are_compared_and_decoded_by_the_library(model, monkeypatch):
@@ -71,14 +75,14 @@ def test_whole_texts_are_compared_and_decoded_by_the_library(model, monkeypatch)
         def __getattr__(self, name):
             return getattr(library, name)
 
-        def decode(self, ids):
-            decoded.append(ids)
-            return library.decode(ids)
+        def decode(self, ids, **how):
+            decoded.extend(ids)
+            return library.decode(ids, **how)
 
     library, codec.library = codec.library, Library()
-    ((n, ids, text),) = codec.process(["one two  three"])
-    assert decoded == [library.encode("one two  three")] and n == len(decoded[0]) and text == library.decode(decoded[0])
-    monkeypatch.setattr(codec, "split", lambda text: list("▁" + text))  # cuts that pieces span
+    ((ids, _, text),) = codec.process(["one two  three"])
+    assert decoded == [library.encode("one two  three")] == [ids] and text == library.decode(decoded[0])
+    monkeypatch.setattr(codec, "joined", codec.joined & False)  # cuts that pieces span
     with pytest.raises(ValueError, match="differ"):
         codec.process(["international"])
 
