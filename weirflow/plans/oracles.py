@@ -378,6 +378,7 @@ LEFT JOIN last_client x ON a.company_name = x.company_name
 LEFT JOIN last_revenue r ON a.bcworkerid = r.bcworkerid""")
 
 ORACLES["compact_match_update"] = ORACLES["match_update_two_batches"] = ORACLES["merge_match_update"]
+ORACLES["refresh_match_update"] = ORACLES["stream_maintained_match_update"] = ORACLES["merge_match_update"]
 ORACLES["compact_composite"] = ORACLES["merge_replace_row_composite"]
 ORACLES["refresh_replace_row"] = ORACLES["merge_replace_row"]
 ORACLES["refresh_partial"] = ORACLES["merge_partial"]
@@ -420,6 +421,7 @@ UNION ALL SELECT {_padded({c: c for c in _INSERTED})} FROM (VALUES
 
 ORACLES["stream_replace_row"] = ORACLES["merge_replace_row"]
 ORACLES["stream_replay_idempotent"] = ORACLES["merge_replace_row"]
+ORACLES["stream_maintained"] = ORACLES["merge_replace_row"]
 
 
 # --- generated events --------------------------------------------------------

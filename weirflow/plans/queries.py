@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weirflow.functions import parse_datetime as to_datetime, parse_decimal as to_decimal
@@ -12,6 +13,7 @@ from weirflow.operators import mapping, merge as merging, target
 from weirflow.operators.envelope import image_select as select_images, parse_envelope, passthrough
 from weirflow.schema import COMPOSITE_KEY, SOURCES, TARGET_COLUMNS
 from weirflow.session import work_folder
+from weirflow.sinks import maintained
 from weirflow.sinks import (
     compact_log,
     delete_maintained,
@@ -21,6 +23,8 @@ from weirflow.sinks import (
     read_target,
     refresh_target,
     target_row,
+    target_rows,
+    target_writer,
     write_target,
 )
 from weirflow.sources import (
@@ -39,7 +43,7 @@ from weirflow.sources import (
 )
 from weirflow.sources import generator
 from weirflow.sources.topics import TOPIC_COLUMNS
-from weirflow.streaming import ingest
+from weirflow.streaming import apply_batches, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -368,7 +372,8 @@ def target_like_count(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def target_in_list(spark: SparkSession, sf: str) -> DataFrame:
     ids = ["101", "JOB_12", "BC7", "client_record"]
-    return target.report(_read_back(spark, sf), ids, "test_record")
+    rows = target_rows(spark, _stored_target(spark, sf), [{"activity_id": i} for i in ids])
+    return target.report(rows, ids, "test_record")
 
 
 @query
@@ -491,6 +496,67 @@ def refresh_partial(spark: SparkSession, sf: str) -> DataFrame:
     return _refreshed(spark, feed, "partial", False)
 
 
+@query
+def refresh_match_update(spark: SparkSession, sf: str) -> DataFrame:
+    return _refreshed(spark, _feed(spark, sf), "match_update", False)
+
+
+class _Killed(Exception):
+    pass
+
+
+def _stopped_once(write: Callable[[DataFrame, int], None], at: int) -> Callable[[DataFrame, int], None]:
+    """A writer that stops once in the middle of batch ``at``: its data are written, the commit is not."""
+    stopped = []
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        if batch_id != at or stopped:
+            return write(batch, batch_id)
+        stopped.append(batch_id)
+
+        def stop(*_):
+            raise _Killed
+
+        whole, maintained.commit = maintained.commit, stop
+        try:
+            write(batch, batch_id)
+        finally:
+            maintained.commit = whole
+
+    return run
+
+
+def _maintained(spark: SparkSession, feed: DataFrame, mode: str, literals: bool) -> DataFrame:
+    """A feed worked into a target in three batches: one is stopped before its commit and
+    delivered again by the restarted stream, and the first is delivered again at the end."""
+    topics, path, checkpoint = work_folder(spark, "topics"), work_folder(spark, "maintained"), work_folder(spark, "checkpoint")
+    feed.select(*TOPIC_COLUMNS).repartition(3).write.parquet(topics)
+    write = target_writer(path, "run", mode, literals=literals)
+    stopping = _stopped_once(write, 1)
+    for _ in range(2):
+        run = apply_batches(
+            stream_change_files(spark, topics, files_per_batch=1), stopping, checkpoint,
+            name=path.rsplit("/", 1)[-1], interval=None,
+        )
+        try:
+            run.awaitTermination()
+        except StreamingQueryException as error:
+            if "_Killed" not in str(error):
+                raise
+    write(read_change_files(spark, topics), 0)  # what has been worked in changes nothing
+    return read_maintained(spark, path)
+
+
+@query
+def stream_maintained(spark: SparkSession, sf: str) -> DataFrame:
+    return _maintained(spark, _feed(spark, sf), "replace_row", True)
+
+
+@query
+def stream_maintained_match_update(spark: SparkSession, sf: str) -> DataFrame:
+    return _maintained(spark, _feed(spark, sf), "match_update", False)
+
+
 @query
 def target_delete_then_refresh(spark: SparkSession, sf: str) -> DataFrame:
     """Deleted rows stay away after a replay; later changes of their keys come back."""

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -96,6 +98,21 @@ def finished_batches(spark: SparkSession, log: str) -> dict[tuple[str, int], str
     return found
 
 
+def finished_after(spark: SparkSession, log: str, marks: Mapping[str, int]) -> list[tuple[str, int]]:
+    """Finished batches of each run that come after its mark, up to the first that is not finished.
+
+    The batches of a run are numbered from 0; those up to the mark are not looked at.
+    """
+    found = []
+    for folder in found_paths(spark, f"{log}/run=*"):
+        run = folder.rsplit("run=", 1)[1]
+        batch = marks.get(run, -1) + 1
+        while found_paths(spark, f"{folder}/batch_id={batch}/_SUCCESS"):
+            found.append((run, batch))
+            batch += 1
+    return found
+
+
 def read_log(
     spark: SparkSession,
     log: str,
@@ -104,9 +121,12 @@ def read_log(
     batches: Sequence[tuple[str, int]] | None = None,
 ) -> DataFrame:
     """Changes kept in a log, of finished batches only. Only the folders of the
-    named sources, batches and of the outcome are read (``outcome=None``: of all)."""
-    finished = finished_batches(spark, log)
-    folders = [finished[b] for b in (finished if batches is None else batches)]
+    named sources, batches and of the outcome are read (``outcome=None``: of all);
+    ``batches`` are to be finished ones."""
+    if batches is None:
+        folders = list(finished_batches(spark, log).values())
+    else:
+        folders = [f"{log}/run={run}/batch_id={batch}" for run, batch in batches]
     if not folders:
         return spark.createDataFrame([], LOG_SCHEMA)
     rows = spark.read.schema(LOG_SCHEMA).option("basePath", log).parquet(*folders)
@@ -163,12 +183,10 @@ def write_target(
     """
     spark = rows.sparkSession
     spark.createDataFrame([(list(keys), buckets)], SPEC).write.mode("overwrite").parquet(f"{path}.spec")
-    (
-        rows.withColumn("bucket", _bucket(keys, buckets))
-        .write.mode("overwrite")
-        .partitionBy("bucket")
-        .parquet(path)
-    )
+    writer = rows.withColumn("bucket", _bucket(keys, buckets)).write.mode("overwrite").partitionBy("bucket")
+    for key in keys:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
+    writer.parquet(path)
 
 
 def _read_bucketed(spark: SparkSession, path: str) -> DataFrame:
@@ -181,15 +199,23 @@ def read_target(spark: SparkSession, path: str) -> DataFrame:
     return _read_bucketed(spark, path).select(*TARGET_COLUMNS)
 
 
-def target_row(spark: SparkSession, path: str, key: dict[str, str]) -> DataFrame:
-    """The rows of one key, given as all key columns. Only its bucket's folder is
-    read; the table itself tells its key columns and bucket count."""
+def target_rows(spark: SparkSession, path: str, keys: Sequence[dict[str, str]]) -> DataFrame:
+    """The rows of some keys, each given as all key columns. Only their buckets' folders are
+    read, and of those, by Bloom filters, few row groups; the table itself tells its key
+    columns and bucket count."""
     spec = spark.read.schema(SPEC).parquet(f"{path}.spec").first()
-    if set(key) != set(spec["keys"]):
-        raise ValueError(f"the key columns of this table are {spec['keys']}, not {list(key)}")
-    values = [F.lit(key[c]) for c in spec["keys"]]
-    rows = _read_bucketed(spark, path)
-    rows = rows.filter(F.col("bucket") == F.pmod(F.hash(*values), F.lit(spec["buckets"])))
-    for column, value in key.items():
-        rows = rows.filter(F.col(column).eqNullSafe(value))
-    return rows.select(*TARGET_COLUMNS)
+    for key in keys:
+        if set(key) != set(spec["keys"]):
+            raise ValueError(f"the key columns of this table are {spec['keys']}, not {list(key)}")
+    wanted = spark.createDataFrame(
+        [tuple(key[c] for c in spec["keys"]) for key in keys], ", ".join(f"{c} STRING" for c in spec["keys"])
+    )
+    numbers = wanted.select(_bucket(spec["keys"], spec["buckets"]).alias("b")).distinct()
+    rows = _read_bucketed(spark, path).filter(F.col("bucket").isin([r["b"] for r in numbers.collect()]))
+    same = [reduce(and_, [F.col(c).eqNullSafe(key[c]) for c in spec["keys"]]) for key in keys]
+    return rows.filter(reduce(or_, same, F.lit(False))).select(*TARGET_COLUMNS)
+
+
+def target_row(spark: SparkSession, path: str, key: dict[str, str]) -> DataFrame:
+    """The rows of one key; see :func:`target_rows`."""
+    return target_rows(spark, path, [key])

@@ -1,3 +1,3 @@
-from weirflow.streaming.ingest import apply_batches, ingest
+from weirflow.streaming.ingest import apply_batches, ingest, maintain
 
-__all__ = ["apply_batches", "ingest"]
+__all__ = ["apply_batches", "ingest", "maintain"]

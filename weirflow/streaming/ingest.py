@@ -8,12 +8,14 @@ change log itself, not streaming state that would grow without bound.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from weirflow.sinks.parquet import log_writer
+from weirflow.schema import TARGET_KEY
+from weirflow.sinks.maintained import target_writer
+from weirflow.sinks.parquet import BUCKETS, log_writer
 
 INTERVAL = "60 seconds"
 
@@ -41,6 +43,32 @@ def apply_batches(
     return writer.trigger(processingTime=interval).start()
 
 
+def run_of(checkpoint: str) -> str:
+    """The name of a run. The checkpoint is what makes it: batches are numbered within it."""
+    return hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
+
+
+def maintain(
+    feed: DataFrame,
+    path: str,
+    checkpoint: str,
+    mode: str = "replace_row",
+    keys: Sequence[str] = TARGET_KEY,
+    buckets: int = BUCKETS,
+    sink: str = "selective",
+    literals: bool = True,
+    name: str = "target_maintenance",
+    interval: str | None = INTERVAL,
+) -> StreamingQuery:
+    """Work a feed into a maintained target as it arrives.
+
+    Each micro-batch is one transaction with the number of the batch in it, so that after a
+    failure at any point the batch delivered again is worked in exactly once.
+    """
+    write = target_writer(path, run_of(checkpoint), mode, keys, buckets, sink, literals)
+    return apply_batches(feed, write, checkpoint, name, interval)
+
+
 def ingest(
     feed: DataFrame,
     log: str,
@@ -50,9 +78,6 @@ def ingest(
     name: str = "change_ingest",
     interval: str | None = INTERVAL,
 ) -> StreamingQuery:
-    """Write a feed to a change log, from which the target can be merged.
-
-    The checkpoint is what makes a run: batches are numbered within it.
-    """
-    run = hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
-    return apply_batches(feed, log_writer(log, run, sink, literals), checkpoint, name, interval)
+    """Write a feed to a change log, from which the target can be merged."""
+    write = log_writer(log, run_of(checkpoint), sink, literals)
+    return apply_batches(feed, write, checkpoint, name, interval)
