@@ -421,6 +421,15 @@ UNION ALL SELECT {_padded({c: c for c in _INSERTED})} FROM (VALUES
 
 ORACLES["stream_replace_row"] = ORACLES["merge_replace_row"]
 ORACLES["stream_replay_idempotent"] = ORACLES["merge_replace_row"]
+ORACLES["redrive_rejects"] = ORACLES["merge_replace_row"]
+ORACLES["stream_state_partial"] = ORACLES["merge_partial"]
+ORACLES["ingest_progress"] = (
+    f"SELECT sum(events)::BIGINT AS events, sum(events)::BIGINT AS told FROM ({ORACLES['drop_audit']})"
+)
+_add("resume_from_offset", f"""
+SELECT topic, count(*) AS events, min(ord) AS first_offset, max(ord) AS last_offset,
+  count(*) FILTER (op = 'u') AS updates
+FROM {_all_topics('t')} WHERE ord >= 100 AND NOT broken GROUP BY topic""")
 ORACLES["stream_maintained"] = ORACLES["merge_replace_row"]
 
 

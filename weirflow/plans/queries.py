@@ -43,7 +43,8 @@ from weirflow.sources import (
 )
 from weirflow.sources import generator
 from weirflow.sources.topics import TOPIC_COLUMNS
-from weirflow.streaming import apply_batches, ingest
+from weirflow.sources.offsets import append_messages, end_positions, read_offsets
+from weirflow.streaming import ProgressTable, apply_batches, ingest, maintain_partial, redrive
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -450,6 +451,70 @@ def ingest_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return read_metrics(spark, log).groupBy("reason").agg(F.sum("events").cast("bigint").alias("events"))
 
 
+@query
+def ingest_progress(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as a listener's progress table and the ingest's own metrics count them."""
+    log, topics = work_folder(spark, "log"), _stored(_audited_feed(spark, sf), spark)
+    table = ProgressTable(spark, work_folder(spark, "progress"))
+    spark.streams.addListener(table)
+    try:
+        run = ingest(
+            stream_change_files(spark, topics), log, work_folder(spark, "checkpoint"),
+            name=log.rsplit("/", 1)[-1], interval=None,
+        )
+        run.awaitTermination()
+        table.wait(str(run.runId))
+    finally:
+        spark.streams.removeListener(table)
+    counted = read_metrics(spark, log).select("events", F.lit(0).cast("bigint").alias("told"))
+    told = table.read().select(F.lit(0).cast("bigint").alias("events"), F.col("rows").alias("told"))
+    return counted.unionByName(told).agg(*(F.sum(c).cast("bigint").alias(c) for c in counted.columns))
+
+
+@query
+def redrive_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """A feed is ingested under a mapping that leaves most events without a key; those are
+    worked again under the right one. The result is that of a clean first run."""
+    topics, log = _stored(_feed(spark, sf), spark), work_folder(spark, "log")
+    run = ingest(
+        stream_change_files(spark, topics), log, work_folder(spark, "checkpoint"), sink="full_row",
+        name=log.rsplit("/", 1)[-1], interval=None,
+    )
+    run.awaitTermination()
+    for _ in range(2):
+        redrive(spark, log, "redriven")
+    return merging.merge(read_log(spark, log), "replace_row")
+
+
+@query
+def resume_from_offset(spark: SparkSession, sf: str) -> DataFrame:
+    """Sums over what a second run reads of a stored topic: from where the first one ended."""
+    path = work_folder(spark, "offsets")
+    append_messages(_feed(spark, sf), path)
+    # the first run ends at offset 100 of each topic
+    ended = dict.fromkeys(end_positions(spark, path), 100)
+    events = select_images(read_offsets(spark, path, starting=ended))
+    return events.groupBy("topic").agg(
+        F.count("*").alias("events"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"),
+        F.count_if(F.col("op") == "u").alias("updates"),
+    )
+
+
+@query
+def stream_state_partial(spark: SparkSession, sf: str) -> DataFrame:
+    """Column-wise merging in the state store; the stream is stopped half way and restarted."""
+    feed = keyed_by_customer_feed(_rows(spark, sf, "orders"))
+    topics, path, checkpoint = work_folder(spark, "topics"), work_folder(spark, "maintained"), work_folder(spark, "checkpoint")
+    for half in (0, 1):
+        part = feed.filter(f"offset % 2 = {half}").select(*TOPIC_COLUMNS)
+        part.write.mode("append").parquet(topics)
+        run = maintain_partial(
+            stream_change_files(spark, topics), path, checkpoint, name=path.rsplit("/", 1)[-1], interval=None
+        )
+        run.awaitTermination()
+    return read_maintained(spark, path)
+
+
 @query
 def stream_replay_idempotent(spark: SparkSession, sf: str) -> DataFrame:
     """The feed is worked off twice, in different batches, into one log; the
