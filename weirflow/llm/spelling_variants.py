@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import stored
+from weirflow.llm.common import shuffle_width, stored
 
 LETTERS, OCCURRENCES = 5, 3  # the least of a word
 LOSES = 97  # one in so many different runs of a document loses a letter
@@ -346,7 +346,9 @@ def near_pairs(words: DataFrame) -> DataFrame:
             "near_n": pa.array([known[b] for _, b in out], pa.int64()),
         })
 
-    found = _entries(words).groupBy("block").applyInArrow(search, "word STRING, near STRING, near_n BIGINT")
+    # searching costs far more than the bytes of a block tell: one partition for each part of the shuffle
+    entries = _entries(words).repartition(shuffle_width(words.sparkSession), "block")
+    found = entries.groupBy("block").applyInArrow(search, "word STRING, near STRING, near_n BIGINT")
     return found.distinct()
 
 
