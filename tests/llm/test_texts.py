@@ -105,6 +105,43 @@ def test_grammar_composes(text, want):
     assert kinds(text) == want
 
 
+def brute_kinds(words):
+    """The kinds of a clause's matches, each told from the words around it."""
+    classes = toxicity.prior().classes
+    of = ["insult" if w == "idiot" else classes.get(w, "other") for w in words]
+    out = []
+    for k, kind in enumerate(of):
+        near, before = of[max(0, k - 4) : k], of[:k]
+        if kind == "threat" and "modal" not in near or kind not in ("insult", "threat"):
+            continue
+        out.append(
+            "negated" if "negation" in near else "reported" if "report" in before else "threat" if kind == "threat"
+            else "targeted" if "target" in of else "insult"
+        )
+    return out
+
+
+def test_composition_equals_its_statement():
+    rng = np.random.default_rng(4)
+    words = ["idiot", "kill", "will", "you", "not", "said", "x", "y", "z", "w"]
+    for _ in range(3000):
+        own = rng.choice(words, rng.integers(0, 12)).tolist()
+        assert kinds(" ".join(own)) == brute_kinds(own), own
+
+
+def test_contrasts(spark):
+    grammars = [toxicity.prior(), toxicity.fit(
+        spark.read.parquet(f"{MIDDLE}/documents.parquet"), spark.read.parquet(f"{MIDDLE}/labels.parquet"), 5, 0
+    )]
+    for grammar in grammars:
+        alone, aimed, twice = (grammar.score(t) for t in ("idiot", "You are an idiot", "idiot. what a moron"))
+        assert alone < 0.5 <= min(aimed, twice)
+        assert grammar.score("the book about trash is nice") < 0.5
+        for text in ("You are not an idiot", "He said you are an idiot", "never an idiot"):
+            assert grammar.score(text) < alone
+        assert grammar.score("Du bist ein Dummkopf") >= 0.5 <= grammar.score("tu es un connard")
+
+
 def test_learned_words_tell_held_out_texts_apart(spark):
     rows = CORPUS_QUERIES["op1_toxicity"](spark, "/root/testdata/sf0.1")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "toxic")
@@ -263,6 +300,19 @@ def test_urls_equal_brute_force(spark):
     assert {r.verdict for r in url_filter.judge(pages, [], ()).collect()} == {"allow"}
 
 
+def test_rules_without_tokens_and_blocks_of_rules(spark, monkeypatch):
+    rows = [(1, "http://пример.рф/a"), (2, "http://a.пример.рф/b"), (3, "http://рф/"), (4, None), (5, "x://shop.org/fr/ads/x")]
+    rows += [(10 + k, "http://hot.net/x") for k in range(200)] + [(300 + k, None) for k in range(100)]
+    pages = spark.createDataFrame(rows, "page_id BIGINT, url STRING")
+    hosts = [*HOST_RULES, url_filter.HostRule("пример.рф", "/", "block"), url_filter.HostRule("пример.рф", "/b", "allow")]
+    want = {1: ("пример.рф/", "block"), 2: ("пример.рф/b", "allow"), 3: (None, "allow"), 4: (None, "allow"), 5: ("org/fr/", "allow")}
+    want |= {10 + k: ("net/", "block") for k in range(200)} | {300 + k: (None, "allow") for k in range(100)}
+    for size in (url_filter.RULES, 3):
+        monkeypatch.setattr(url_filter, "RULES", size)
+        got = [(r.page_id, (r.rule, r.verdict)) for r in url_filter.judge(pages, hosts).collect()]
+        assert len(got) == len(rows) and dict(got) == want
+
+
 def test_rules_are_fetched_by_their_rarest_token():
     rule = url_filter.HostRule("example.net", "/en/", "allow")
     assert sorted(rule.tokens) == ["en", "example", "net"]

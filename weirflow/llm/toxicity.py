@@ -3,13 +3,16 @@
 Words become classes (insult, threat verb, modal, target, negation, report, other).
 Small transducers rewrite the class sequence of a clause, one composed with the next: the
 negation transducer marks the words in a negation's scope, the report transducer those
-after a verb of saying, the target transducer notes whether someone is addressed, and the
-threat transducer lets a threat verb through only after a modal or with a target. What
-comes out of the composition are scored matches: a clause counts, not an isolated word.
-A document's score is a logistic function of its strongest and its summed matches of each
-kind, so a negated or reported match weighs what the labels say it weighs.
-
-The insult words are learned: word beginnings and whole words that labelled toxic texts
+after a verb of saying, the target transducer those in a clause that addresses someone before
+them (and, run from the clause's end, after them), and the threat transducer lets a threat verb
+through only after a modal. The insult transducer runs over what the clauses of a document give:
+an insult without a target is held back until another follows, so that a text's one isolated
+word comes out as ``single``, which weighs little, and repeated ones as ``repeated``. What
+comes out are scored matches; a document's score is a logistic function of its strongest and its
+summed matches of each kind. Weights are learned from the labels, near prior ones that hold where labels
+have no contrast: negated and reported matches weigh less than single ones.
+
+Insult words are the fixed ones and learned ones: word beginnings and whole words that labelled toxic texts
 have and clean ones lack. Learning uses at most ``TOXIC`` and ``CLEAN`` labelled rows, taken in
 order of a hash of their ids, one of each set of near copies; counting runs in Spark, and
 the driver gets only entries that pass the test, and one row of sums per sampled text.
@@ -102,6 +105,19 @@ def target(state: int, symbol):
     return state, symbol
 
 
+def insult(state: tuple, match):
+    """Over a document: holds the first insult without a target, and gives it as repeated when a second comes.
+
+    Gives a list of matches (kind, weight); what is held at the end is a single one.
+    """
+    kind, weight = match
+    if kind != "insult":
+        return state, [match]
+    if state is None:
+        return (weight,), []
+    return (), [("repeated", w) for w in (*state, weight)]
+
+
 def threat(state: int, symbol):
     """Lets a threat verb pass up to four words after a modal; others are plain words."""
     kind, marks = symbol
@@ -126,9 +142,9 @@ def compose(*transducers):
 
 
 START, STEP = compose(threat, negation, report, target)
-KINDS = ("insult", "targeted", "negated", "reported", "threat")
+KINDS = ("single", "repeated", "targeted", "negated", "reported", "threat")
 #: Prior means of the logistic weights: intercept, then strongest and summed match of each kind.
-PRIOR = np.array([-4.0, 5.0, 6.0, 3.0, 3.0, 5.0, 0.5, 0.5, 0.2, 0.2, 0.5])
+PRIOR = np.array([-4.0, 2.0, 5.0, 6.0, 1.0, 1.0, 5.0, 0.2, 0.5, 0.5, 0.1, 0.1, 0.5])
 
 
 @dataclass
@@ -167,25 +183,38 @@ class Grammar:
 
     def clause(self, words: list[str]) -> list[tuple[str, float]]:
         """The scored matches of a clause: (kind, weight)."""
-        state, found, addressed = START, [], False
+        state, symbols, weights = START, [], []
         for word in words:
             kind, weight = self.classify(word)
-            addressed |= kind == "target"
-            state, (kind, marks) = STEP(state, (kind, frozenset()))
-            if kind in ("insult", "threat"):
-                found.append((kind, marks, weight))
+            state, symbol = STEP(state, (kind, frozenset()))
+            symbols.append(symbol)
+            weights.append(weight)
+        back = 0
+        for k in range(len(symbols) - 1, -1, -1):
+            back, symbols[k] = target(back, symbols[k])
         return [
             (
                 "negated" if "negated" in marks
                 else "reported" if "reported" in marks
                 else "threat" if kind == "threat"
-                else "targeted" if "targeted" in marks or addressed
+                else "targeted" if "targeted" in marks
                 else "insult",
                 weight,
             )
-            for kind, marks, weight in found
+            for (kind, marks), weight in zip(symbols, weights) if kind in ("insult", "threat")
         ]
 
+    def matches(self, lower: str) -> Iterator[tuple[str, float]]:
+        """The scored matches of a text in lower case: (kind, weight)."""
+        held = None
+        for part in CLAUSE.split(lower):
+            if self.trigger.search(part):
+                for match in self.clause(WORD.findall(part)):
+                    held, given = insult(held, match)
+                    yield from given
+        for weight in held or ():
+            yield "single", weight
+
     def features(self, text: str | None) -> np.ndarray:
         """Intercept, then the strongest and the (damped) sum of clause matches by kind."""
         out = np.zeros(1 + 2 * len(KINDS))
@@ -194,12 +223,10 @@ class Grammar:
         if not self.trigger.search(lower):
             return out
         sums = dict.fromkeys(KINDS, 0.0)
-        for part in CLAUSE.split(lower):
-            if self.trigger.search(part):
-                for kind, weight in self.clause(WORD.findall(part)):
-                    k = 1 + KINDS.index(kind)
-                    out[k] = max(out[k], weight)
-                    sums[kind] += weight
+        for kind, weight in self.matches(lower):
+            k = 1 + KINDS.index(kind)
+            out[k] = max(out[k], weight)
+            sums[kind] += weight
         out[1 + len(KINDS) :] = [math.log1p(s) for s in sums.values()]
         return out
 
@@ -237,7 +264,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, folds: int, held: int) -
     for value, most in ((1, TOXIC), (0, CLEAN)):
         part = known.filter(F.col("toxic") == value).orderBy(F.xxhash64("label_id"), "label_id").limit(most)
         chosen = part if chosen is None else chosen.unionByName(part)
-    key = F.udf(near_copy_key, "string")
+    key = F.udf(near_copy_key, "string", useArrow=True)
     sample = docs.select("doc_id", "text").filter("text IS NOT NULL").join(
         F.broadcast(chosen), F.col("doc_id") == F.col("label_id")
     )
@@ -324,7 +351,7 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0) -> Gr
     """The grammar learned from labelled rows whose fold is not ``held``."""
     sample = labelled_sample(docs, labels, folds, held)
     entries = learned_entries(sample)
-    grammar = Grammar(entries or prior().entries, PRIOR)
+    grammar = Grammar({**prior().entries, **entries}, PRIOR)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

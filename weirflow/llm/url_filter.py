@@ -4,7 +4,11 @@ A rule is a host with a path, or a pattern. Each has literal tokens, and any URL
 has all of them. How often each of these tokens stands in the URLs at hand is counted in
 one pass; a rule is then indexed under its rarest token only. The tokens of a URL fetch
 its candidate rules by an equality join with that index, and only those run their
-regular expressions.
+regular expressions. A rule without any literal token, as of a host without ASCII letters and
+digits, is indexed under a token that every URL has. Rules are broadcast in blocks of
+``RULES``; the winner among all is taken over the blocks. Each different URL is judged once; the
+verdicts of those that hold more than a partition's share of the rows, fewer than there are partitions, are broadcast
+to the rows, so that no task has all rows of one URL.
 
 Host rules fit a host and all its subdomains if the path starts with theirs, the longest
 wins, and they settle the verdict. Otherwise a blocking pattern that fits blocks, else
@@ -19,14 +23,15 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import stored
+from weirflow.llm.common import shuffle_width, stored
 
-#: Rules are part of the program text; a longer list would be searched in blocks of this size.
-RULES = 10_000
+RULES = 10_000  # of a block
+EVERY = ""  # the token that every URL has
 TOKEN = r"[a-z0-9]+"
 
 
@@ -102,9 +107,9 @@ def tokens_of(text: Column) -> Column:
 
 
 def index(rules: list, frequencies: dict[str, int]) -> list[tuple[int, str]]:
-    """Per rule its position and rarest token, ties by name."""
+    """Per rule its position and rarest token, ties by name; without any token, that of every URL."""
     return [
-        (k, min(rule.tokens, key=lambda t: (frequencies.get(t, 0), t))) for k, rule in enumerate(rules) if rule.tokens
+        (k, min(rule.tokens, key=lambda t: (frequencies.get(t, 0), t), default=EVERY)) for k, rule in enumerate(rules)
     ]
 
 
@@ -115,39 +120,60 @@ def judge(pages: DataFrame, hosts: list[HostRule], patterns: tuple[PatternRule,
     urls = pages.select("page_id", host.alias("host"), path.alias("path"), F.coalesce("url", F.lit("")).alias("url"))
     # one row per different host, path and url to judge: repeated and hot URLs are judged once
     urls = stored(urls, "urls")
-    distinct = urls.select("host", "path", "url").distinct().withColumn(
-        "tokens", tokens_of(F.concat_ws(" ", "host", "path", "url"))
-    )
+    distinct = urls.groupBy("host", "path", "url").agg(F.count("*").alias("rows"))
     rules = [*hosts, *patterns]
-    if len(rules) > RULES:
-        raise ValueError(f"more than {RULES} rules: judge them in blocks")
-    literal = sorted({t for r in rules for t in r.tokens})
-    counts = distinct.select(F.explode("tokens").alias("token")).filter(F.col("token").isin(literal))
+    literal = spark.createDataFrame([(t,) for t in {t for r in rules for t in r.tokens}], "token STRING")
+    tokens = tokens_of(F.concat_ws(" ", "host", "path", "url"))
+    counts = distinct.select(F.explode(tokens).alias("token")).join(F.broadcast(literal), "token", "left_semi")
     frequencies = {r["token"]: r["count"] for r in counts.groupBy("token").count().collect()}  # tokens of rules only
-    entries = spark.createDataFrame(
-        [
-            (token, k, isinstance(rules[k], HostRule), rules[k].name, rules[k].path,
-             getattr(rules[k], "verdict", "block"), rules[k].expression)
-            for k, token in index(rules, frequencies)
-        ],
-        "token STRING, position INT, is_host BOOLEAN, name STRING, rule_path STRING, rule_verdict STRING, expression STRING",
-    )
-    candidates = distinct.select("host", "path", "url", F.explode("tokens").alias("token")).join(
-        F.broadcast(entries), "token"
+    entries = index(rules, frequencies)
+    order = F.struct(F.length("name").alias("n"), (-F.col("position")).alias("p"), F.col("name"), F.col("rule_verdict"))
+    found = []
+    for start in range(0, len(entries), RULES):
+        block = spark.createDataFrame(
+            [
+                (token, k, isinstance(rules[k], HostRule), rules[k].name, rules[k].path,
+                 getattr(rules[k], "verdict", "block"), rules[k].expression)
+                for k, token in entries[start : start + RULES]
+            ],
+            "token STRING, position INT, is_host BOOLEAN, name STRING, rule_path STRING, rule_verdict STRING, expression STRING",
+        )
+        every = any(token == EVERY for _, token in entries[start : start + RULES])
+        own = F.array_append(tokens, F.lit(EVERY)) if every else tokens
+        candidates = distinct.select("host", "path", "url", F.explode(own).alias("token")).join(F.broadcast(block), "token")
+        fits = F.when(F.col("is_host"), F.expr("startswith(path, rule_path) AND host RLIKE expression")).otherwise(
+            F.expr("lower(url) RLIKE expression")
+        )
+        found.append(candidates.filter(fits).select(
+            "host", "path", "url", F.when(F.col("is_host"), order).alias("best"),
+            F.when(~F.col("is_host"), F.col("name")).alias("pattern"), F.lit(0).cast("bigint").alias("rows"),
+        ))
+    # how many rows a URL has goes with its winners
+    sized = distinct.select(
+        "host", "path", "url", F.lit(None).cast("struct<n:int,p:int,name:string,rule_verdict:string>").alias("best"),
+        F.lit(None).cast("string").alias("pattern"), "rows",
     )
-    fits = F.when(F.col("is_host"), F.expr("startswith(path, rule_path) AND host RLIKE expression")).otherwise(
-        F.expr("lower(url) RLIKE expression")
+    judged = stored(
+        reduce(DataFrame.unionByName, found, sized).groupBy("host", "path", "url").agg(
+            F.max("best").alias("best"), F.min("pattern").alias("pattern"), F.max("rows").alias("rows")
+        ),
+        "judged",
     )
-    order = F.struct(F.length("name").alias("n"), (-F.col("position")).alias("p"), F.col("name"), F.col("rule_verdict"))
-    best = candidates.filter(fits).groupBy("host", "path", "url").agg(
-        F.max(F.when(F.col("is_host"), order)).alias("best"),
-        F.min(F.when(~F.col("is_host"), F.col("name"))).alias("pattern"),
+    share = judged.agg((F.sum("rows") / shuffle_width(spark)).alias("share")).first()["share"] or 0.0
+    is_hot = F.col("rows") > max(share, 1.0)
+    hot = judged.filter(is_hot).select(
+        *(F.col(c).alias(f"hot_{c}") for c in ("host", "path", "url", "best", "pattern"))
+    )  # fewer than partitions
+    same = [urls[c] == F.col(f"hot_{c}") for c in ("host", "path", "url")]
+    marked = urls.join(F.broadcast(hot), same, "left")
+    in_hot = marked.filter("hot_url IS NOT NULL").select(
+        "page_id", "host", "path", F.col("hot_best").alias("best"), F.col("hot_pattern").alias("pattern")
     )
-    return (
-        urls.join(best, ["host", "path", "url"], "left")
-        .select(
-            "page_id", "host", "path", F.col("best.name").alias("rule"),
-            F.coalesce("best.rule_verdict", F.when(F.col("pattern").isNotNull(), "block").otherwise("allow")).alias("verdict"),
-            F.when(F.col("best").isNull(), F.col("pattern")).alias("pattern"),
-        )
+    rest = marked.filter("hot_url IS NULL").select("page_id", "host", "path", "url").join(
+        judged.filter(~is_hot).drop("rows"), ["host", "path", "url"]
+    ).select("page_id", "host", "path", "best", "pattern")
+    return in_hot.unionByName(rest).select(
+        "page_id", "host", "path", F.col("best.name").alias("rule"),
+        F.coalesce("best.rule_verdict", F.when(F.col("pattern").isNotNull(), "block").otherwise("allow")).alias("verdict"),
+        F.when(F.col("best").isNull(), F.col("pattern")).alias("pattern"),
     )
