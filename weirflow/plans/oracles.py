@@ -139,7 +139,17 @@ WITH job_activity_all AS (
       WHEN 0 THEN 12.35 WHEN 1 THEN 5.00
       WHEN 3 THEN CAST(o_totalprice AS DECIMAL(10,2))
     END::DECIMAL(10,2) AS adjrevenue,
-    o_orderkey % 6 IN (3, 4) OR o_orderkey % 5 = 2 AS unreadable
+    o_orderkey % 6 IN (3, 4) OR o_orderkey % 5 = 2 AS unreadable,
+    'WJ' || o_custkey AS job_id, 'JD' || (o_orderkey % 1000) AS jobdiva_no,
+    'WC_' || (o_custkey % 50) AS company_name, o_orderstatus AS job_title,
+    CASE WHEN o_orderkey % 9 <> 0 THEN o_orderpriority END AS location,
+    'r' || (o_orderkey % 3) AS excluded_reason,
+    strftime(o_orderdate, '%Y-%m') AS standard_revenue_report_month,
+    'E' || (o_custkey % 7) AS clienterpid, 'WB' || (o_custkey % 200) AS bcworkerid,
+    o_orderdate AS assignment_end_date, o_orderdate AS sr_assignment_start,
+    CASE WHEN o_orderkey % 8 <> 0 THEN o_orderdate END AS sr_assignment_end,
+    CAST(o_totalprice AS DECIMAL(10,2)) AS adjustedstbillrate, 7.25::DECIMAL(10,2) AS adjustedstpayrate,
+    (o_orderkey % 100)::DECIMAL(10,2) AS adjgphrst, (-(o_orderkey % 100) - 0.5)::DECIMAL(10,2) AS stbillrate
   FROM orders
 ), job_activity_live AS (
   SELECT * FROM job_activity_all WHERE op IS DISTINCT FROM 'd'
@@ -198,7 +208,9 @@ def _add(name: str, body: str) -> None:
 
 
 _add("cdc_feed_counts", f"""
-SELECT topic, count(*) AS events, min(ord) AS first_offset, max(ord) AS last_offset
+SELECT topic, count(*) AS events, min(ord) AS first_offset, max(ord) AS last_offset,
+  sum(('0x' || substr(md5(concat_ws('|', CASE WHEN NOT broken THEN 'read' ELSE 'broken' END, op, a, j, c,
+    CASE WHEN NOT broken THEN b END)), 1, 8))::BIGINT)::BIGINT AS checksum
 FROM {_all_topics('t')} GROUP BY topic""")
 
 _add("cdc_topic_split", f"""
@@ -243,12 +255,8 @@ UNION ALL SELECT '{CUSTOMERS_TOPIC}', ord, NULL, NULL FROM customers_all
 _add("route_case_insensitive", """
 SELECT table_name, 'jobs' AS source_table, count(*) AS events FROM jobs_all GROUP BY table_name""")
 
-_add("bind_by_name", """
-SELECT ord AS "offset",
-  CASE WHEN op IS DISTINCT FROM 'd' THEN activity_id END AS activity_id,
-  CASE WHEN op IS DISTINCT FROM 'd' THEN candidate END AS candidate,
-  CASE WHEN op IS DISTINCT FROM 'd' THEN assignment_start_date END AS assignment_start_date,
-  CASE WHEN op IS DISTINCT FROM 'd' THEN adjrevenue END AS adjrevenue,
+_add("bind_by_name", f"""
+SELECT ord AS "offset", {', '.join(f"CASE WHEN op IS DISTINCT FROM 'd' THEN {c} END AS {c}" for c in TARGET_COLUMNS)},
   CASE WHEN op = 'd' THEN 'delete' WHEN unreadable THEN 'bad_value'
        WHEN activity_id IS NULL THEN 'null_key' END AS reason
 FROM wide_all""")
@@ -278,9 +286,7 @@ _add("sink_revenue_keyless", f"""
 SELECT ord AS "offset", {', '.join(OWNED['standard_revenue'])}, 'null_key' AS reason
 FROM standard_revenue_mapped""")
 
-_WIDE_STORED = f"""SELECT {_padded({c: c for c in (
-    'activity_id', 'candidate', 'assignment_start_date', 'adjrevenue')})}
-FROM wide_live WHERE NOT unreadable AND activity_id IS NOT NULL"""
+_WIDE_STORED = f"SELECT {COLUMNS} FROM wide_live WHERE NOT unreadable AND activity_id IS NOT NULL"
 
 _add("sink_full_row_upsert", f"""
 SELECT {COLUMNS} FROM merged WHERE source_table = 'job_activity'
@@ -358,7 +364,10 @@ _UPDATED = {
     for c in columns
 }
 
-_add("merge_match_update", f"""
+
+def _match_update(revenue: str) -> str:
+    """Common tables up to ``matched``: the target of ``match_update`` with the revenue changes chosen."""
+    return f"""
 , last_activity AS (
   SELECT * FROM job_activity_live
   QUALIFY row_number() OVER (PARTITION BY activity_id ORDER BY ord DESC) = 1
@@ -368,14 +377,31 @@ _add("merge_match_update", f"""
   SELECT * FROM clients_to_exclude_live
   QUALIFY row_number() OVER (PARTITION BY company_name ORDER BY ord DESC) = 1
 ), last_revenue AS (
-  SELECT * FROM standard_revenue_live
+  SELECT * FROM standard_revenue_live WHERE {revenue}
   QUALIFY row_number() OVER (PARTITION BY bcworkerid ORDER BY ord DESC) = 1
+), matched AS (
+  SELECT {', '.join(f'{_UPDATED[c]} AS {c}' for c in TARGET_COLUMNS)}
+  FROM last_activity a
+  LEFT JOIN last_job j ON a.job_id = j.job_id
+  LEFT JOIN last_client x ON a.company_name = x.company_name
+  LEFT JOIN last_revenue r ON a.bcworkerid = r.bcworkerid
+)"""
+
+
+_add("merge_match_update", f"{_match_update('true')} SELECT * FROM matched")
+
+_REVENUE = [c for c in OWNED["standard_revenue"] if c != "bcworkerid"]
+# rows with a client take the last change of worker and client, others the last of the worker
+_add("match_existing_two_part", f"""{_match_update('ord % 2 = 0')}, later AS (
+  SELECT *, row_number() OVER (PARTITION BY bcworkerid ORDER BY ord DESC) AS of_worker,
+    row_number() OVER (PARTITION BY bcworkerid, clienterpid ORDER BY ord DESC) AS of_both
+  FROM standard_revenue_live WHERE ord % 2 = 1
 )
-SELECT {', '.join(f'{_UPDATED[c]} AS {c}' for c in TARGET_COLUMNS)}
-FROM last_activity a
-LEFT JOIN last_job j ON a.job_id = j.job_id
-LEFT JOIN last_client x ON a.company_name = x.company_name
-LEFT JOIN last_revenue r ON a.bcworkerid = r.bcworkerid""")
+SELECT {', '.join(
+    f"CASE WHEN l.ord IS NULL THEN m.{c} ELSE l.{c} END AS {c}" if c in _REVENUE else f"m.{c}" for c in TARGET_COLUMNS
+)}
+FROM matched m LEFT JOIN later l ON m.bcworkerid = l.bcworkerid
+  AND CASE WHEN m.clienterpid IS NULL THEN of_worker = 1 ELSE of_both = 1 AND l.clienterpid = m.clienterpid END""")
 
 ORACLES["compact_match_update"] = ORACLES["match_update_two_batches"] = ORACLES["merge_match_update"]
 ORACLES["refresh_match_update"] = ORACLES["stream_maintained_match_update"] = ORACLES["merge_match_update"]

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weirflow.functions import parse_datetime as to_datetime, parse_decimal as to_decimal
 from weirflow.operators import mapping, merge as merging, target
-from weirflow.operators.envelope import image_select as select_images, parse_envelope, passthrough
+from weirflow.operators.envelope import IMAGE, image_select as select_images, parse_envelope, passthrough
 from weirflow.schema import COMPOSITE_KEY, SOURCES, TARGET_COLUMNS
 from weirflow.session import work_folder
 from weirflow.sinks import maintained
@@ -105,10 +105,18 @@ def _read_back(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def cdc_feed_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return _feed(spark, sf).groupBy("topic").agg(
+    """Counts, and a checksum over what every event says."""
+    events = parse_envelope(_feed(spark, sf), before=True)
+    image = F.expr(IMAGE)
+    said = F.md5(F.concat_ws(
+        "|", F.when(F.col("event.readable"), "read").otherwise("broken"), "event.op",
+        *(image[c] for c in ("activity_id", "job_id", "client_id", "bcworkerid")),
+    ))
+    return events.groupBy("topic").agg(
         F.count("*").alias("events"),
         F.min("offset").alias("first_offset"),
         F.max("offset").alias("last_offset"),
+        F.sum(F.conv(F.substring(said, 1, 8), 16, 10).cast("bigint")).alias("checksum"),
     )
 
 
@@ -184,9 +192,7 @@ def route_case_insensitive(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def bind_by_name(spark: SparkSession, sf: str) -> DataFrame:
     rows = mapping.audited_rows(_wide_feed(spark, sf), sink="full_row")
-    return rows.select(
-        "offset", "activity_id", "candidate", "assignment_start_date", "adjrevenue", "reason"
-    )
+    return rows.select("offset", *TARGET_COLUMNS, "reason")
 
 
 @query
@@ -351,6 +357,20 @@ def match_update_two_batches(spark: SparkSession, sf: str) -> DataFrame:
         earlier = merging.compact(batch if earlier is None else earlier.unionByName(batch))
 
 
+@query
+def match_existing_two_part(spark: SparkSession, sf: str) -> DataFrame:
+    """A merged table whose changes are gone, after a batch of revenue changes: rows that have a
+    client match on worker and client, others on the worker."""
+
+    def changes(name: str, chosen: str = "true") -> DataFrame:
+        return mapping.changes(SOURCE_FEEDS[name](spark, sf).filter(chosen), literals=False, sources=[name])
+
+    earlier = {name: changes(name, "offset % 2 = 0" if name == "standard_revenue" else "true") for name in SOURCE_FEEDS}
+    path = work_folder(spark, "target")
+    write_target(merging.merge(earlier, "match_update"), path)
+    return merging.match_existing(read_target(spark, path), changes("standard_revenue", "offset % 2 = 1"))
+
+
 # --- reading and editing the target -------------------------------------------
 
 

@@ -209,6 +209,22 @@ def wide_rows_feed(orders: DataFrame) -> DataFrame:
                 "'12.345'", "'5.'", "' 5.00'",
                 "CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS STRING)",
             ),
+            "job_id": "concat('WJ', o_custkey)",
+            "jobdiva_no": "concat('JD', o_orderkey % 1000)",
+            "company_name": "concat('WC_', o_custkey % 50)",
+            "job_title": "o_orderstatus",
+            "location": "IF(o_orderkey % 9 = 0, NULL, o_orderpriority)",
+            "excluded_reason": "concat('r', o_orderkey % 3)",
+            "standard_revenue_report_month": _stamp("o_orderdate", "yyyy-MM"),
+            "clienterpid": "concat('E', o_custkey % 7)",
+            "bcworkerid": "concat('WB', o_custkey % 200)",
+            "assignment_end_date": _stamp("o_orderdate"),
+            "sr_assignment_start": _stamp("o_orderdate"),
+            "sr_assignment_end": "IF(o_orderkey % 8 = 0, NULL, " + _stamp("o_orderdate") + ")",
+            "adjustedstbillrate": "CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS STRING)",
+            "adjustedstpayrate": "'7.25'",
+            "adjgphrst": "CAST(o_orderkey % 100 AS STRING)",
+            "stbillrate": "concat('-', o_orderkey % 100, '.5')",
         },
     )
 
