@@ -13,8 +13,9 @@ differing shingle flips one bit): a first sketch of 256 bits, then one of two bi
 for each shingle. The others are verified on whole shingle sets.
 
 Linking needs no pair list. In a first round each member of a key's group is compared
-with the smallest member; the links give components. In a second round only members of
-one group that are still in different components are compared, so groups of copies,
+with the smallest member; the links give components. In a second round groups that still hold
+several components compare these first, as wholes, once for each two components however many keys they share,
+and then only the members of components that may have similar ones; so groups of copies,
 however large, cost as much as their number. Keys that hold a large share of the rows
 are found from a hash sample of documents and spread over as many parts as there are
 shuffle partitions, each with a smallest member of its own; the sample affects only the
@@ -45,6 +46,8 @@ NUMERATOR, DENOMINATOR = 4, 5  # the similarity that links, 0.8
 FIRST, GROWTH, COARSE_FROM = 12, 1.5, 96
 #: Keys held by more than one in so many sampled documents are spread.
 HOT_SHARE, SAMPLE = 500, 64
+#: So many keys of a component are looked at to tell under which of its keys a pair is made.
+FIRST_KEYS = 16
 
 _MULTIPLIERS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64
@@ -308,6 +311,93 @@ def spread(keyed: DataFrame, profile: DataFrame) -> DataFrame:
     )
 
 
+SKETCH = range(4)
+
+
+def component_profiles(members: DataFrame) -> DataFrame:
+    """Per component its number of members, its sizes, and the sketch bits that all members have, or any."""
+    return members.groupBy("component").agg(
+        F.count("*").alias("number"), F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"),
+        *(F.bit_and(f"s{k}").alias(f"all{k}") for k in SKETCH), *(F.bit_or(f"s{k}").alias(f"any{k}") for k in SKETCH),
+    )
+
+
+def may_hold_similar(a: str, b: str):
+    """Profiles of two sides, told apart by suffix, that allow similar members.
+
+    Bits that all members of one side have and no member of the other are lower bounds of the difference.
+    """
+
+    def opposed(k: int):
+        one = F.col(f"all{k}{a}").bitwiseAND(F.bitwise_not(F.col(f"any{k}{b}")))
+        return F.bit_count(one.bitwiseOR(F.col(f"all{k}{b}").bitwiseAND(F.bitwise_not(F.col(f"any{k}{a}")))))
+
+    distance = sum((opposed(k) for k in SKETCH), F.lit(0))
+    return (
+        (F.col(f"most{a}") * DENOMINATOR >= F.col(f"least{b}") * NUMERATOR)
+        & (F.col(f"most{b}") * DENOMINATOR >= F.col(f"least{a}") * NUMERATOR)
+        & (distance * (DENOMINATOR + NUMERATOR) <= (F.col(f"most{a}") + F.col(f"most{b}")) * (DENOMINATOR - NUMERATOR))
+    )
+
+
+def component_pairs(opened: DataFrame, profile: DataFrame) -> DataFrame:
+    """Pairs (c1, c2) of components, the one with more members first, that share a key and may hold similar documents.
+
+    Keys held by the same components count once, and a pair that shares several keys is made under
+    the first of them, as far as the first ``FIRST_KEYS`` of each component tell.
+    """
+    held = stored(opened.select("key", "component").distinct(), "held")
+    sets = held.groupBy("key").agg(
+        F.count("*").alias("n"),
+        *(F.sum(F.xxhash64(F.lit(k), "component").cast("decimal(38,0)")).alias(f"h{k}") for k in range(2)),
+    )
+    kept = stored(sets.groupBy("n", "h0", "h1").agg(F.min("key").alias("key")).select("key"), "kept-keys")
+    held = stored(held.join(kept, "key", "left_semi"), "held")
+    rank = Window.partitionBy("component").orderBy("key")
+    firsts = (
+        held.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= FIRST_KEYS)
+        .groupBy("component").agg(F.collect_list("key").alias("firsts"))
+    )
+    sides = held.join(profile.join(firsts, "component"), "component")
+    left, right = (sides.select("key", *(F.col(c).alias(f"{c}_{s}") for c in sides.columns if c != "key")) for s in "ab")
+    first = F.array_min(F.array_intersect("firsts_a", "firsts_b"))
+    both = left.alias("l").join(
+        right.alias("r"),
+        (F.col("l.key") == F.col("r.key")) & (F.col("component_a") < F.col("component_b")) & may_hold_similar("_a", "_b")
+        & (F.coalesce(first, F.col("l.key")) == F.col("l.key")),
+    )
+    larger = F.col("number_a") >= F.col("number_b")
+    return both.select(
+        F.when(larger, F.col("component_a")).otherwise(F.col("component_b")).alias("c1"),
+        F.when(larger, F.col("component_b")).otherwise(F.col("component_a")).alias("c2"),
+    ).distinct()
+
+
+def across_components(opened: DataFrame, profile: DataFrame) -> DataFrame:
+    """Pairs (a, b) of documents of different components with a key in common that sizes and sketches allow.
+
+    ``opened``: key, doc_id, component of the groups that still hold several components. A
+    member of the larger component is first held against the smaller one as a whole.
+    """
+    known = ["doc_id", "n_shingles", "s0", "s1", "s2", "s3"]
+    members = stored(
+        opened.select("doc_id", "component").distinct().join(profile.select(*known), "doc_id"), "members"
+    )
+    wholes = stored(component_profiles(members), "component-profiles")
+    pairs = stored(component_pairs(opened, wholes), "component-pairs")
+    pairs = pairs.join(wholes.select(F.col("component").alias("c2"), *(F.col(c).alias(f"{c}_w") for c in wholes.columns[1:])), "c2")
+    left = members.select(
+        F.col("component").alias("c1"), *(F.col(c).alias(f"{c}_a") for c in known),
+        *(F.col("n_shingles").alias(f"{c}_x") for c in ("least", "most")),
+        *(F.col(f"s{k}").alias(f"{c}{k}_x") for c in ("all", "any") for k in SKETCH),
+    )
+    right = members.select(F.col("component").alias("c2"), *(F.col(c).alias(f"{c}_b") for c in known))
+    one = pairs.alias("p").join(left.alias("m"), (F.col("p.c1") == F.col("m.c1")) & may_hold_similar("_x", "_w"))
+    one = stored(one.select("c2", *(f"{c}_a" for c in known)), "members-and-components")
+    both = one.join(right, "c2").filter(possible("_a", "_b"))
+    return both.select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b")).distinct()
+
+
 def near_edges(docs: DataFrame, profile: DataFrame, copies: DataFrame) -> DataFrame:
     """Pairs (a, b) whose components are those of all links between different sets."""
     single = profile.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(
@@ -337,16 +427,7 @@ def near_edges(docs: DataFrame, profile: DataFrame, copies: DataFrame) -> DataFr
     ).select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     opened = labelled.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
     opened = stored(labelled.join(opened.filter("c1 <> c2"), "key", "left_semi"), "open-groups")
-    known = profile.select("doc_id", "n_shingles", "s0", "s1", "s2", "s3")
-    sides = opened.join(known, "doc_id")
-    left = sides.select("key", "component", *(F.col(c).alias(f"{c}_a") for c in known.columns))
-    right = sides.select(
-        F.col("key").alias("key_b"), F.col("component").alias("component_b"), *(F.col(c).alias(f"{c}_b") for c in known.columns)
-    )
-    across = left.join(
-        right,
-        (F.col("key") == F.col("key_b")) & (F.col("component") < F.col("component_b")) & possible("_a", "_b"),
-    ).select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b")).distinct()
+    across = across_components(opened, profile)
     second = stored(candidates(across, profile).join(first, ["a", "b"], "left_anti"), "candidates")
     stars = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
     if second.isEmpty():
