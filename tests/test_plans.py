@@ -42,3 +42,13 @@ def test_only_used_columns_are_read(spark):
 
 def test_a_merge_has_one_shuffle(spark):
     assert plan(spark, "merge_replace_row").count("Exchange") == 1
+
+
+def test_match_update_shuffles_each_side_once(spark):
+    frame = QUERIES["merge_match_update"](spark, SMALL)
+    frame.collect()
+    text = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    shuffles = [line for line in text.split("\n") if "Exchange hashpartitioning" in line and "ReusedExchange" not in line]
+    for key in ("activity_id", "job_id", "company_name", "bcworkerid"):
+        assert sum(f"hashpartitioning({key}#" in line for line in shuffles) <= 1, key
+    assert "__salt" not in text

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 # The frequent-item sketch takes no smaller share than this.
 LEAST_SHARE = 1e-4
+#: One in so many rows is looked at to find frequent keys, chosen by a hash of the row.
+SAMPLE = 4
 
 
 def shuffle_partitions(rows: DataFrame) -> int:
@@ -17,14 +19,14 @@ def shuffle_partitions(rows: DataFrame) -> int:
 def hot_keys(
     rows: DataFrame, key_sets: Sequence[Sequence[str]], share: float | None = None
 ) -> list[DataFrame]:
-    """For each set of key columns, the keys that may hold at least ``share`` of
-    ``rows``: none of those is missed, a few others may be named, and there are
-    never more than ``len(key_sets) / share``. By default a key is hot if it has
-    more than one shuffle partition's share of the rows.
+    """For each set of key columns, the keys that hold about ``share`` of ``rows`` or more; a
+    few others may be named, and there are never more than ``len(key_sets) / share``. By
+    default a key is hot if it has more than one shuffle partition's share of the rows. Which
+    keys are named affects the speed of joins, not their result.
 
-    One pass for all sets, and no shuffle of the rows. The filter is always
-    true; it reads every column, so that a shuffle that made ``rows`` has the
-    same columns here as where the rows are used and is run once for both.
+    One pass for all sets, and no shuffle of the rows. The sample is chosen by the whole row,
+    so a shuffle that made ``rows`` has the same columns here as where the rows are used
+    and is run once for both.
     """
     share = max(share or 1 / shuffle_partitions(rows), LEAST_SHARE * len(key_sets))
     named = [
@@ -33,7 +35,7 @@ def hot_keys(
         for i, keys in enumerate(key_sets)
     ]
     packed = (
-        rows.filter(f"xxhash64({', '.join(rows.columns)}) % 2 < 2")
+        rows.filter(f"pmod(xxhash64({', '.join(rows.columns)}), {SAMPLE}) = 0")
         .selectExpr(f"explode(array({', '.join(named)})) AS named")
     )
     items = packed.freqItems(["named"], share / len(key_sets)).selectExpr(
@@ -54,25 +56,34 @@ def spread_join(
     keys: Sequence[str],
     spread_by: str,
     hot: DataFrame,
-    parts: int | None = None,
 ) -> DataFrame:
     """Left join with ``right``, which has one row per key.
 
-    Rows of a key in ``hot`` (see :func:`hot_keys`) are spread over ``parts``
-    shuffle keys, by default one for each shuffle partition, and its one right row is copied to each; rows without a key,
-    which match nothing, are spread over all tasks. The result does not depend
-    on which keys are taken as hot.
+    The right rows of the keys in ``hot`` (see :func:`hot_keys`), no more than there are such keys,
+    are broadcast to the left rows that have them. All others are joined on the key; rows of hot
+    keys and rows without a key get a key of their own there, which matches nothing and spreads
+    them over all tasks. ``right`` keeps the partitioning by key that it comes with. The
+    result does not depend on which keys are taken as hot.
     """
-    parts = parts or shuffle_partitions(left)
-    hot = F.broadcast(hot.selectExpr("*", "true AS __hot"))
+    values = [c for c in right.columns if c not in keys]
+    flagged = F.broadcast(hot.selectExpr("*", "true AS __hot"))
+    few = right.join(flagged, list(keys), "left").filter("__hot").select(
+        *(F.col(k).alias(f"__{k}") for k in keys), *(F.col(c).alias(f"__few_{c}") for c in values)
+    )
+    named = hot.select(*(F.col(k).alias(f"__{k}") for k in keys)).join(
+        F.broadcast(few), [f"__{k}" for k in keys], "left"
+    ).withColumn("__hot", F.lit(True))
     no_key = " OR ".join(f"{k} IS NULL" for k in keys)
-    salted = left.join(hot, list(keys), "left").selectExpr(
-        *left.columns,
-        f"CASE WHEN {no_key} THEN xxhash64({spread_by}) "
-        f"WHEN __hot THEN pmod(xxhash64({spread_by}), {parts}L) ELSE 0L END AS __salt",
+    marked = left.join(
+        F.broadcast(named), [F.col(k) == F.col(f"__{k}") for k in keys], "left"
+    ).withColumn("__alone", F.expr(f"coalesce(__hot, {no_key})"))
+    first, *others = keys
+    marked = marked.withColumn("__on", F.expr(f"IF(__alone, concat('\\0', xxhash64({spread_by})), {first})"))
+    plain = right.select(
+        *(F.col(k).alias(f"__right_{k}") for k in keys), *(F.col(c).alias(f"__plain_{c}") for c in values)
     )
-    copies = right.join(hot, list(keys), "left").selectExpr(
-        *right.columns,
-        f"explode(IF(__hot, sequence(0L, {parts - 1}L), array(0L))) AS __salt",
+    on = [F.col("__on") == F.col(f"__right_{first}"), *(F.col(k) == F.col(f"__right_{k}") for k in others)]
+    return marked.join(plain, on, "left").select(
+        *left.columns,
+        *(F.expr(f"CASE WHEN __hot THEN __few_{c} WHEN NOT __alone THEN __plain_{c} END").alias(c) for c in values),
     )
-    return salted.join(copies, [*keys, "__salt"], "left").drop("__salt")
