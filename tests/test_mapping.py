@@ -157,3 +157,19 @@ def test_images_and_keys(feed):
 def test_unknown_names_are_refused(feed):
     with pytest.raises(ValueError):
         mapping.audited_rows(feed("{}"), sink="other")
+
+
+def test_passthrough_keeps_the_last_of_a_repeated_field_and_drops_what_is_unusable(feed):
+    got = rows(passthrough(feed(
+        '{"op": "c", "source": {"table": "Extra"}, "after": {"a": 1, "b": "x", "a": null, "c": {"d": 2}, "b": "y"}}',
+        '{"op": "d", "source": {"table": "extra"}, "before": {"a": 1}, "after": {"a": 1}}',
+        '{"op": "c", "source": {"table": "extra"}, "after": {}}',
+        '{"op": "c", "source": {"table": "extra"}, "after": null}',
+        '{"op": "c", "source": {}, "after": {"a": 1}}',
+        '{"op": "c", "source": {"table": "JOBS"}, "after": {"a": 1}}',
+        "{ invalid json }", '{"op": "c", "source": {"table": "extra"}, "after": 5}',
+        '{"op": "c", "source": {"table": "extra"}, "before": 5, "after": {"a": 1}}',
+    )))
+    assert [(r["offset"], r["table_name"], r["image"]) for r in got] == [
+        (0, "extra", {"a": None, "b": "y", "c": '{"d":2}'})
+    ]

@@ -23,8 +23,9 @@ def test_no_python_and_no_products(spark, name):
 
 
 def test_text_is_parsed_once(spark):
-    text = plan(spark, "sink_jobs")
-    assert text.count("from_json(") == 1
+    for name in ("sink_jobs", "map_unknown_passthrough"):
+        text = plan(spark, name)
+        assert text.count("from_json(") == 1 and "get_json_object(value" not in text.split("from_json(")[0]
 
 
 def test_last_change_is_reduced_before_the_shuffle(spark):

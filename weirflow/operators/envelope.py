@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from weirflow.schema import (
     CORRUPT_FIELD,
     DELETE_OPS,
-    OPEN_IMAGE_SCHEMA,
+    OPEN_ENVELOPE_SCHEMA,
     SOURCE_NAMES,
     TAG_FIELD,
     envelope_schema,
@@ -105,12 +105,31 @@ def image_select(feed: DataFrame) -> DataFrame:
     )
 
 
+# A map in which a repeated field has its last value.
+_LAST_OF_EACH = (
+    "IF(size(array_distinct(map_keys(m))) = size(m), m, map_from_entries(transform(array_distinct(map_keys(m)), "
+    "k -> named_struct('key', k, 'value', element_at(filter(map_entries(m), e -> e.key = k), -1).value))))"
+)
+
+
 def passthrough(feed: DataFrame) -> DataFrame:
     """Events of tables without a mapping, with every field of the row image in
-    the map ``image``."""
-    image = F.from_json("value", OPEN_IMAGE_SCHEMA, STRICT_JSON)["after"]
-    return usable(parse_envelope(feed)).filter("NOT event.mapped").select(
-        *[c for c in feed.columns if c != "value"],
-        "event.table_name",
-        image.alias("image"),
+    the map ``image``; of a repeated field the last value.
+
+    The text is parsed once, with the image as a map; see :func:`parse_envelope`
+    for the one-element ``explode``.
+    """
+    options = {"columnNameOfCorruptRecord": CORRUPT_FIELD, **STRICT_JSON}
+    parsed = f"from_json(value, '{OPEN_ENVELOPE_SCHEMA}', map({_quoted(sum(options.items(), ()))}))"
+    usable_here = (
+        f"e.{CORRUPT_FIELD} IS NULL AND NOT {_IS_DELETE} AND size(e.after) > 0 "
+        f"AND e.source.table IS NOT NULL AND NOT {_IS_MAPPED}"
+    )
+    event = (
+        f"transform(array({parsed}), e -> transform(array(lower(e.source.table)), t -> "
+        f"named_struct('table_name', t, 'usable', coalesce({usable_here}, false), "
+        f"'image', transform(array(e.after), m -> {_LAST_OF_EACH})[0]))[0])"
+    )
+    return feed.select("*", F.expr(f"explode({event})").alias("event")).filter("event.usable").select(
+        *[c for c in feed.columns if c != "value"], "event.table_name", "event.image"
     )

@@ -173,5 +173,8 @@ def envelope_schema(before: bool = False) -> T.StructType:
     ])
 
 
-# The image of an event whose table has no mapping.
-OPEN_IMAGE_SCHEMA = "after MAP<STRING, STRING>"
+# A change event whose table has no mapping, with its images as maps.
+OPEN_ENVELOPE_SCHEMA = (
+    f"op STRING, source STRUCT<table: STRING, ts_ms: STRING>, before MAP<STRING, STRING>, "
+    f"after MAP<STRING, STRING>, {CORRUPT_FIELD} STRING"
+)
