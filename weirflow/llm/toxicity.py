@@ -166,8 +166,11 @@ class Grammar:
         """Finds the words that can make a clause match."""
         words = [re.escape(e[:-1]) + r"(?![^\W\d_])" if e.endswith("$") else re.escape(e) for e in self.entries]
         words += [re.escape(w) + r"(?![^\W\d_])" for w in THREATS.split()]
-        first = "".join(sorted({re.escape(e[0]) for e in [*self.entries, *THREATS.split()]}))
-        return re.compile(rf"(?<![^\W\d_])(?=[{first}])(?:{'|'.join(sorted(words))})")
+        # by first letter: most places need a look at one branch each only
+        rest: dict[str, list[str]] = {}
+        for word in sorted(words):
+            rest.setdefault(word[0], []).append(word[1:])
+        return re.compile(rf"(?<![^\W\d_])(?:{'|'.join(f'{c}(?:{"|".join(own)})' for c, own in rest.items())})")
 
     @cached_property
     def lengths(self) -> list[int]:
