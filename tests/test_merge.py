@@ -1,9 +1,11 @@
 """Merge rules on hand-written changes, their algebra, and skewed keys."""
 
+import os
 import random
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from weirflow.operators import merge as merging, target
 from weirflow.operators.mapping import bind_columns
@@ -204,6 +206,14 @@ def test_hot_and_missing_keys_are_spread(spark):
         map(str, expected.select("pk", "k", "v").collect()))
 
 
+def test_hot_keys_that_differ_when_looked_at_again_lose_no_match(spark):
+    chosen = F.udf(lambda k: os.urandom(1)[0] < 128, "boolean").asNondeterministic()
+    keys = spark.range(200).selectExpr("CAST(id AS STRING) AS k")
+    left, right = keys.selectExpr("k AS pk", "k"), keys.selectExpr("k", "CAST(k AS INT) AS v")
+    joined = spread_join(left, right, ["k"], spread_by="pk", hot=keys.filter(chosen("k")))
+    assert sorted(r.v for r in joined.collect() if r.v is not None) == list(range(200))
+
+
 def test_target_reads_and_edits(spark):
     rows = merging.merge(
         changes(spark, A("test_activity_1"), A("testX"), A("keep", company_name=None)),
