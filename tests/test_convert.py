@@ -3,6 +3,7 @@ from decimal import Decimal
 
 import pytest
 
+from weirflow.functions.convert import standard_decimal, standard_timestamp
 from weirflow.functions import (
     jdbc_timestamp,
     parse_datetime,
@@ -75,3 +76,18 @@ def test_conversion(spark, convert, cases, value, zone):
         spark.conf.set("spark.sql.session.timeZone", kept)
     for n, (text, expected) in enumerate(cases):
         assert got[n] == value(expected), text
+
+
+def test_usual_forms_are_read_as_all_forms_are(spark):
+    """And the text is split once, not anew for every part of the moment."""
+    moments = ["2024-01-01 09:00:00", "2024-02-30 09:00:00", "0999-01-01 00:00:00", "2024-01-01 24:00:00",
+               "2024-01-01 9:0:0.25", " 2024-01-01 09:00:00", "x", "", None]
+    numbers = ["1.25", "-7", "1234567.89", "12345678", "1.255", "5.", ".5", "1e2", " 1", "x", "", None]
+    for texts, all_forms, usual in (
+        (moments, jdbc_timestamp, standard_timestamp), (numbers, plain_decimal, standard_decimal)
+    ):
+        rows = spark.createDataFrame([(t,) for t in texts], "t STRING").selectExpr(
+            "t", f"{all_forms('t')} AS x", f"{usual('t')} AS y"
+        ).collect()
+        assert all(r.y is None or r.y == r.x for r in rows) and rows[0].y is not None
+    assert jdbc_timestamp("t").count("split(") == 1
