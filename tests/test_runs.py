@@ -4,9 +4,11 @@ import re
 
 import pytest
 from pyspark.sql import functions as F
+from sample_tables import SMALL
 from test_mapping import event
 
 from weirflow.operators import mapping, merge as merging
+from weirflow.plans import queries
 from weirflow.schema import TARGET_COLUMNS
 from weirflow.sinks import log_writer, read_log, read_maintained, target_rows, write_target
 from weirflow.sinks.parquet import finished_after
@@ -24,6 +26,18 @@ def messages(feed):
     return feed(*[event("jobs", after={"job_id": f"J{n % 5}", "job_title": f"t{n}"}) for n in range(40)])
 
 
+def test_a_batch_of_a_maintained_target_is_several_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "work_folder", lambda spark, purpose: str(tmp_path / purpose))
+    queries.stream_maintained(spark, SMALL)
+    files = list((tmp_path / "topics").glob("*.parquet"))
+    assert len(files) == 3 * spark.sparkContext.defaultParallelism
+
+
+def test_buckets_grow_with_the_events():
+    assert queries._buckets(0) == queries._buckets(10_000_000) == 10
+    assert queries._buckets(100_000_001) == 101
+
+
 def test_offset_ranges_open_only_their_files(spark, messages, tmp_path):
     path = str(tmp_path / "topic")
     append_messages(messages.filter("offset < 30"), path, rows_per_file=5)
