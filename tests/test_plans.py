@@ -1,9 +1,12 @@
 """What the physical plans must and must not contain."""
 
+import re
+
 import pytest
 from sample_tables import SMALL
 
 from weirflow.plans import QUERIES
+from weirflow.sources import change_feed, read_table
 
 
 def plan(spark, name):
@@ -53,3 +56,16 @@ def test_match_update_shuffles_each_side_once(spark):
     for key in ("activity_id", "job_id", "company_name", "bcworkerid"):
         assert sum(f"hashpartitioning({key}#" in line for line in shuffles) <= 1, key
     assert "__salt" not in text
+
+
+def code_sizes(frame):
+    """Bytes of the largest method that Spark generates for each part of a plan."""
+    debug = getattr(getattr(frame.sparkSession._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    text = debug.codegenString(frame._jdf.queryExecution().executedPlan())
+    return [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+
+
+def test_methods_of_a_feed_are_small_enough_to_be_compiled(spark):
+    feed = change_feed(lambda name: read_table(spark, SMALL, name))
+    sizes = code_sizes(feed)
+    assert sizes and max(sizes) < 8000  # the JVM interprets larger ones
