@@ -5,6 +5,8 @@ import re
 import pytest
 from sample_tables import SMALL
 
+from weirflow.functions.convert import decimal_overflow, java_trim
+from weirflow.operators.envelope import parse_envelope
 from weirflow.plans import QUERIES
 from weirflow.sources import change_feed, read_table
 
@@ -69,3 +71,16 @@ def test_methods_of_a_feed_are_small_enough_to_be_compiled(spark):
     feed = change_feed(lambda name: read_table(spark, SMALL, name))
     sizes = code_sizes(feed)
     assert sizes and max(sizes) < 8000  # the JVM interprets larger ones
+
+
+def test_routing_is_generated_code(spark, feed):
+    text = parse_envelope(feed("{}"))._jdf.queryExecution().executedPlan().toString()
+    (parse,) = [line for line in text.split("\n") if "from_json(" in line]
+    assert "parse_error" in text and "parse_error" not in parse  # it was in the lambda of the parse
+
+
+def test_whether_a_decimal_fits(spark):
+    values = ["12.34", "99999999", "  123456789.00\t", " " * 9, "1e8", "1e7", "123456789", "not a number", None]
+    rows = spark.createDataFrame([(v,) for v in values], "raw STRING")
+    found = rows.selectExpr("raw", f"{java_trim('raw')} AS clean").selectExpr(f"{decimal_overflow('raw', 'clean')} AS x")
+    assert [bool(r.x) for r in found.collect()] == [False, False, True, False, True, False, True, False, False]
