@@ -1,11 +1,14 @@
+import glob
 import os
 from types import SimpleNamespace
 
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from weirflow.operators import mapping, merge as merging
 from weirflow.schema import TARGET_COLUMNS
-from weirflow.session import work_folder
+from weirflow.session import READ_TASKS, spread_reads, work_folder
 from weirflow.sinks import (
     compact_log, log_writer, maintained_row, read_log, read_maintained, read_target, refresh_target,
     target_row, upsert_statement, write_target,
@@ -148,3 +151,26 @@ def test_upsert_statement():
         "INSERT INTO t (activity_id, job_id) SELECT activity_id, job_id FROM s "
         "ON DUPLICATE KEY UPDATE job_id = VALUES(job_id)"
     )
+
+
+def test_files_of_events_can_be_split_between_tasks(spark, feed, tmp_path):
+    """A log's files have several row groups, and its events are read in more tasks than there are cores."""
+    long = F.concat(*[F.sha2(F.concat("id", F.lit(f" {n}")), 512) for n in range(10)])
+    texts = spark.range(0, 40_000, 1, 1).select(
+        long.alias("value"), F.lit("t").alias("topic"), F.lit(0).alias("partition"),
+        F.col("id").alias("offset"), F.timestamp_millis("id").alias("timestamp"),
+    )
+    log = str(tmp_path / "log")
+    log_writer(log, "a")(texts, 0)
+    (file,) = glob.glob(f"{log}/run=a/batch_id=0/outcome=parse_error/*/*.parquet")
+    (groups,) = duckdb.execute("SELECT count(DISTINCT row_group_id) FROM parquet_metadata(?)", [file]).fetchone()
+    assert groups > 3
+
+    def tasks():
+        return read_log(spark, log, outcome="parse_error").select("value").rdd.getNumPartitions()
+
+    few = tasks()
+    with spread_reads(spark):
+        assert few <= spark.sparkContext.defaultParallelism < tasks()
+    assert spark.conf.get(READ_TASKS, None) is None and tasks() == few
+    assert read_log(spark, log, outcome="parse_error").select("value").distinct().count() == 40_000
