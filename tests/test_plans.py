@@ -60,6 +60,15 @@ def test_match_update_shuffles_each_side_once(spark):
     assert "__salt" not in text
 
 
+@pytest.mark.parametrize("name, joins", [("merge_match_update", 3), ("match_existing_two_part", 4)])
+def test_only_changes_of_hot_keys_are_broadcast(spark, name, joins):
+    frame = QUERIES[name](spark, SMALL)
+    assert frame._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin") == joins
+    frame.collect()  # and no more when the shuffles have been measured
+    text = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert text.count("BroadcastHashJoin") <= joins
+
+
 def code_sizes(frame):
     """Bytes of the largest method that Spark generates for each part of a plan."""
     debug = getattr(getattr(frame.sparkSession._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
